@@ -1,0 +1,142 @@
+"""Weighted-ratio string similarity (M1), the reference's default scorer.
+
+Stated definition (the fuzzy-matching library's weighted ratio): both
+strings are pre-processed (non-alphanumerics to blanks, lower case, strip);
+``ratio`` is the indel similarity 200*LCS/(len1+len2).  When the lengths are
+within a factor 1.5 the score is max(ratio, 0.95*token ratio) where token
+ratio is the better of sorted-token and token-set ratios; otherwise partial
+(best-window) ratios are mixed in with scale 0.9 (0.6 beyond a factor 8).
+
+It runs as an Arrow ``pandas_udf`` over *candidate pairs only* (the join in
+``operators.matching`` decides which pairs exist); per pair it is a small
+amount of integer work (bit-parallel LCS on Python ints).
+"""
+
+from __future__ import annotations
+
+import re
+
+import pandas as pd
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_NON_ALNUM = re.compile(r"[^0-9A-Za-z]")
+
+
+def process(s: str) -> str:
+    return _NON_ALNUM.sub(" ", s).lower().strip()
+
+
+def lcs_length(a: str, b: str) -> int:
+    """Longest common subsequence length, bit-parallel over ``a``."""
+    if not a or not b:
+        return 0
+    masks: dict[str, int] = {}
+    for i, ch in enumerate(a):
+        masks[ch] = masks.get(ch, 0) | (1 << i)
+    full = (1 << len(a)) - 1
+    v = full
+    for ch in b:
+        u = v & masks.get(ch, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(a) - bin(v).count("1")
+
+
+def ratio(a: str, b: str) -> float:
+    total = len(a) + len(b)
+    if total == 0:
+        return 100.0
+    return 200.0 * lcs_length(a, b) / total
+
+
+def _norm_distance(dist: int, lensum: int) -> float:
+    return 100.0 if lensum == 0 else 100.0 - 100.0 * dist / lensum
+
+
+def token_sort_ratio(a: str, b: str) -> float:
+    return ratio(" ".join(sorted(a.split())), " ".join(sorted(b.split())))
+
+
+def token_set_ratio(a: str, b: str) -> float:
+    ta, tb = set(a.split()), set(b.split())
+    if not ta or not tb:
+        return 0.0
+    inter, ab, ba = ta & tb, ta - tb, tb - ta
+    if inter and (not ab or not ba):
+        return 100.0
+    ab_s, ba_s = " ".join(sorted(ab)), " ".join(sorted(ba))
+    sect_len = len(" ".join(sorted(inter)))
+    sep = 1 if sect_len else 0
+    sect_ab, sect_ba = sect_len + sep + len(ab_s), sect_len + sep + len(ba_s)
+    indel = len(ab_s) + len(ba_s) - 2 * lcs_length(ab_s, ba_s)
+    result = _norm_distance(indel, sect_ab + sect_ba)
+    if not sect_len:
+        return result
+    return max(result,
+               _norm_distance(sep + len(ab_s), sect_len + sect_ab),
+               _norm_distance(sep + len(ba_s), sect_len + sect_ba))
+
+
+def partial_ratio(a: str, b: str) -> float:
+    """Best ratio of the shorter string against windows of the longer."""
+    if not a or not b:
+        return 0.0
+    short, long_ = (a, b) if len(a) <= len(b) else (b, a)
+    best = _best_window(short, long_)
+    if best < 100.0 and len(a) == len(b):
+        best = max(best, _best_window(long_, short))
+    return best
+
+
+def _best_window(short: str, long_: str) -> float:
+    n, m = len(short), len(long_)
+    chars = set(short)
+    best = 0.0
+    for i in range(1, n):                      # windows cut by the left edge
+        if long_[i - 1] in chars:
+            best = max(best, ratio(short, long_[:i]))
+            if best == 100.0:
+                return best
+    for i in range(m - n + 1):                 # full-length windows
+        if long_[i + n - 1] in chars:
+            best = max(best, ratio(short, long_[i:i + n]))
+            if best == 100.0:
+                return best
+    for i in range(m - n + 1, m):              # windows cut by the right edge
+        if long_[i] in chars:
+            best = max(best, ratio(short, long_[i:]))
+            if best == 100.0:
+                return best
+    return best
+
+
+def partial_token_ratio(a: str, b: str) -> float:
+    sa, sb = a.split(), b.split()
+    ta, tb = set(sa), set(sb)
+    if ta & tb:
+        return 100.0
+    ab, ba = ta - tb, tb - ta
+    result = partial_ratio(" ".join(sorted(sa)), " ".join(sorted(sb)))
+    if len(sa) == len(ab) and len(sb) == len(ba):
+        return result
+    return max(result, partial_ratio(" ".join(sorted(ab)), " ".join(sorted(ba))))
+
+
+def wratio(s1: str, s2: str) -> float:
+    a, b = process(s1), process(s2)
+    if not a or not b:
+        return 0.0
+    longer, shorter = max(len(a), len(b)), min(len(a), len(b))
+    len_ratio = longer / shorter
+    end = ratio(a, b)
+    if len_ratio < 1.5:
+        return max(end, max(token_sort_ratio(a, b), token_set_ratio(a, b)) * 0.95)
+    scale = 0.9 if len_ratio < 8.0 else 0.6
+    end = max(end, partial_ratio(a, b) * scale)
+    return max(end, partial_token_ratio(a, b) * 0.95 * scale)
+
+
+@F.pandas_udf(T.DoubleType())
+def wratio_udf(left: pd.Series, right: pd.Series) -> pd.Series:
+    return pd.Series([wratio(x, y) if x is not None and y is not None else None
+                      for x, y in zip(left, right)], dtype="float64")

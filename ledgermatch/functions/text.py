@@ -9,7 +9,7 @@ from . import rules as R
 
 # Characters Python's str.strip() treats as white space (ASCII controls
 # 0x09-0x0D and 0x1C-0x1F, space, NEL, NBSP and the Unicode space separators).
-PY_WS = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+from .normalise import WS_CLASS as PY_WS
 
 
 def py_strip(col: Column) -> Column:
