@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The reference reads finite CSV files only; it has no streams, watermarks,
+time windows or stateful operators, so nothing is built here.
+"""
