@@ -175,5 +175,6 @@ def wide(long_matches: DataFrame, match_type: str, k: int = DEFAULT_K) -> DataFr
     for i in range(1, k + 1):
         hit = F.col("rank") == i
         aggs.append(F.max(F.when(hit, F.col("match"))).alias(f"best_{match_type}_match_{i}"))
-        aggs.append(F.max(F.when(hit, F.col("score"))).alias(f"best_{match_type}_match_{i}_score"))
+        aggs.append(F.max(F.when(hit, F.col("score"))).cast("double")
+                    .alias(f"best_{match_type}_match_{i}_score"))
     return long_matches.groupBy("NORMALIZED_SUPPLIER").agg(*aggs)

@@ -38,7 +38,7 @@ def wide_with_names(long_named: DataFrame, match_type: str, k: int = 5) -> DataF
         hit = F.col("rank") == i
         base = f"best_{match_type}_match_{i}"
         aggs.append(F.max(F.when(hit, F.col("match"))).alias(base))
-        aggs.append(F.max(F.when(hit, F.col("score"))).alias(base + "_score"))
+        aggs.append(F.max(F.when(hit, F.col("score"))).cast("double").alias(base + "_score"))
         aggs.append(F.max(F.when(hit, F.col("notnormalised"))).alias(base + "_notnormalised"))
     return long_named.groupBy("NORMALIZED_SUPPLIER").agg(*aggs)
 

@@ -387,7 +387,7 @@ def _review_sql():
         for i in range(1, 6):
             base = f"best_{t}_match_{i}"
             aggs += [f"max(CASE WHEN rank = {i} THEN r END) AS {base}",
-                     f"max(CASE WHEN rank = {i} THEN score END) AS {base}_score",
+                     f"CAST(max(CASE WHEN rank = {i} THEN score END) AS DOUBLE) AS {base}_score",
                      f"max(CASE WHEN rank = {i} THEN notnormalised END) AS {base}_notnormalised"]
         ctes.append((f"wide_{t}", f"SELECT s AS NORMALIZED_SUPPLIER, {', '.join(aggs)} FROM m_{t}_top m "
                                   f"LEFT JOIN names_{t} n ON n.match = m.r GROUP BY s"))
@@ -436,7 +436,7 @@ def oracle_sql() -> dict[str, str]:
                                       "contractsfinder_region, NHSSpend_CompanyNumber, NHSSpend_CharityRegNo, "
                                       "NHSSpend_CharitySubNo FROM clean"),
         "payments_output": O.with_ctes(
-            O.clean_ctes() + [("row_names", O.normalise_rel("SELECT DISTINCT SUPPLIER_TEXT FROM clean",
+            O.clean_ctes() + [("row_names!", O.normalise_rel("SELECT DISTINCT SUPPLIER_TEXT FROM clean",
                                                             "SUPPLIER_TEXT", "NORMALIZED_SUPPLIER"))],
             f"SELECT {KEYS_SQL}, {O.quote_escape('SUPPLIER')} AS SUPPLIER, NORMALIZED_SUPPLIER, ORG_COUNT, "
             "date, amount, dept FROM clean LEFT JOIN row_names USING (SUPPLIER_TEXT)"),
@@ -481,7 +481,8 @@ def oracle_sql() -> dict[str, str]:
         "matches_all": _full(all_final, all_ctes),
         "matches_wide": _full("SELECT s AS NORMALIZED_SUPPLIER, " + ", ".join(
             f"max(CASE WHEN rank = {i} THEN r END) AS best_ch_match_{i}, "
-            f"max(CASE WHEN rank = {i} THEN score END) AS best_ch_match_{i}_score" for i in range(1, 6))
+            f"CAST(max(CASE WHEN rank = {i} THEN score END) AS DOUBLE) AS best_ch_match_{i}_score"
+            for i in range(1, 6))
             + " FROM m_top GROUP BY s", O.match_ctes("ch", "jaccard")),
         "unnormalise": _full("SELECT m.r AS match, s AS NORMALIZED_SUPPLIER, CAST(rank AS INTEGER) AS rank, score, "
                              "m.choice_ord, n.notnormalised FROM m_top m LEFT JOIN "

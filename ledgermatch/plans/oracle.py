@@ -151,7 +151,7 @@ def clean_ctes() -> list[tuple[str, str]]:
         ("a1", f"SELECT *, {supplier_clean('supplier')} AS S0 FROM payments_union"),
         ("a2", f"SELECT *, {is_numeric('S0')} AS is_numeric, {strip_html('S0')} AS S FROM a1"),
         ("a3", a3),
-        ("a4", normalise_rel("SELECT * FROM a3", "short_text", "short_norm")),
+        ("a4!", normalise_rel("SELECT * FROM a3", "short_text", "short_norm")),
         ("a5", "SELECT *, coalesce(length(S) <= 3 AND length(short_norm) <= 3, false) AS is_short, "
                f"{org_name('S')} AS org_name, {org_n('S')} AS org_n FROM a4"),
         ("annot", "SELECT *, CASE WHEN S IS NULL THEN 'null_supplier' "
@@ -198,7 +198,7 @@ def supplier_ctes(profile: str = "notebook") -> list[tuple[str, str]]:
                      "JOIN vcse_l v ON v.SUPPLIER = x.SUPPLIER"),
         ("rolled2", f"SELECT * REPLACE ({org_name('SUPPLIER')} AS SUPPLIER), "
                     f"{org_n('SUPPLIER')} AS ORG_COUNT FROM rolled_l"),
-        ("rolled3", normalise_rel("SELECT * FROM rolled2", "SUPPLIER", "NORMALIZED_SUPPLIER")),
+        ("rolled3!", normalise_rel("SELECT * FROM rolled2", "SUPPLIER", "NORMALIZED_SUPPLIER")),
         ("ids", "SELECT DISTINCT supplier AS nhs_supplier, NHSSpend_CompanyName, NHSSpend_CompanyNumber, "
                 "NHSSpend_CharityName, NHSSpend_CharityRegNo, NHSSpend_CharitySubNo, "
                 "NHSSpend_CharityNameNo FROM nhs"),
@@ -244,20 +244,20 @@ def register_ctes() -> list[tuple[str, str]]:
 
     return [
         ("company_first", company_first),
-        ("company_norm", company_norm),
+        ("company_norm!", company_norm),
         ("company_u", unique("company_norm", "NORMALIZED_CompanyName",
                              ["CompanyNumber", "CompanyName", "PostTown", "PostCode", "choice_ord"])),
         ("reg_ch", f"SELECT CompanyNumber, NORMALIZED_CompanyName, {quote_escape('CompanyName')} AS CompanyName, "
                    "PostTown, PostCode, choice_ord FROM company_u"),
         ("spine_base!", duckdb_fixture("spine")),
-        ("spine_norm", spine_norm),
+        ("spine_norm!", spine_norm),
         ("spine_u", unique("spine_norm", "NORMALIZED_organisationname",
                            ["uid", "organisationname", "fulladdress", "city", "postcode",
                             "registerdate", "removeddate", "choice_ord"])),
         ("reg_spine", f"SELECT uid, NORMALIZED_organisationname, {quote_escape('organisationname')} AS organisationname, "
                       f"{quote_escape('fulladdress')} AS fulladdress, city, postcode, registerdate, "
                       f"{parse_dayfirst('removeddate')} AS removeddate, choice_ord FROM spine_u"),
-        ("nhs_norm", nhs_norm),
+        ("nhs_norm!", nhs_norm),
         ("nhs_u", unique("nhs_norm", "NORMALIZED_NHSDigital_Supplier", ["NHSDigital_Supplier", "choice_ord"])),
         ("reg_nhsdigital", f"SELECT {quote_escape('NHSDigital_Supplier')} AS NHSDigital_Supplier, "
                            "NORMALIZED_NHSDigital_Supplier, choice_ord FROM nhs_u"),

@@ -34,7 +34,8 @@ def _norm_value(v):
         return None
     if type(v).__name__ in ("bool_", "bool"):
         return bool(v)
-    if isinstance(v, float):
+    if isinstance(v, float) or type(v).__name__.startswith("float"):
+        v = float(v)
         if math.isnan(v):
             return None
         return round(v, 9)
@@ -42,7 +43,7 @@ def _norm_value(v):
         return v.isoformat()[:10] if type(v).__name__ == "date" else v.isoformat()
     if isinstance(v, bool):
         return v
-    if isinstance(v, (int,)):
+    if isinstance(v, int) or type(v).__name__.startswith(("int", "uint")):
         return int(v)
     return str(v)
 
