@@ -149,13 +149,14 @@ def top_k(scored: DataFrame, k: int = DEFAULT_K) -> DataFrame:
 def match_top_k(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
                 scorer: str = "jaccard", k: int = DEFAULT_K,
                 min_similarity: float = DEFAULT_MIN_SIMILARITY,
-                match_type: str | None = None) -> DataFrame:
+                match_type: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Long match table NORMALIZED_SUPPLIER, rank, match, score, choice_ord
-    (plus match_type when given)."""
-    cands = candidate_pairs(left, left_key, right, right_key, min_similarity)
+    (plus match_type when given, plus register columns named in ``carry``)."""
+    cands = candidate_pairs(left, left_key, right, right_key, min_similarity,
+                            right_extra=("choice_ord", *carry))
     best = top_k(score_pairs(cands, scorer), k)
     cols = [F.col("s").alias("NORMALIZED_SUPPLIER"), F.col("rank").cast("int").alias("rank"),
-            F.col("r").alias("match"), "score", "choice_ord"]
+            F.col("r").alias("match"), "score", "choice_ord", *carry]
     if match_type is not None:
         cols.insert(0, F.lit(match_type).alias("match_type"))
     return best.select(*cols)

@@ -23,12 +23,14 @@ def matchable(suppliers_df: DataFrame) -> DataFrame:
                                & (F.col("NORMALIZED_SUPPLIER") != ""))
 
 
-def unnormalise(long_matches: DataFrame, register: DataFrame, norm_col: str,
-                name_col: str) -> DataFrame:
-    """Original register name for every matched normalised name."""
-    names = (register.groupBy(F.col(norm_col).alias("match"))
-             .agg(F.min_by(F.col(name_col), F.col("choice_ord")).alias("notnormalised")))
-    return long_matches.join(names, "match", "left")
+def unnormalise(long_matches: DataFrame, name_col: str) -> DataFrame:
+    """Original register name for every matched normalised name.
+
+    The register's original name travels with each candidate pair through
+    the match (register names are unique per normalised name after E7), so
+    no lookup join back to the register is needed.
+    """
+    return long_matches.withColumnRenamed(name_col, "notnormalised")
 
 
 def wide_with_names(long_named: DataFrame, match_type: str, k: int = 5) -> DataFrame:

@@ -21,6 +21,7 @@ from ..operators import payments as PM
 from ..operators import registers as RG
 from ..operators import review as RV
 from ..operators import suppliers as SP
+from ..session import ensure_checkpoint_dir
 from ..sources.fixtures import fixture, read_table
 from . import oracle as O
 from . import pipeline as P
@@ -205,7 +206,14 @@ def q_register_asof_split(spark, sf):
 
 
 def _sup_regs(spark, sf):
-    return P.suppliers_table(spark, sf), P.all_registers(spark, sf)
+    """Suppliers and registers, each cut from its lineage with a reliable
+    checkpoint (shared checkpoint dir): the match plans that follow stay
+    small, join these tables with themselves without re-deriving them, and
+    a lost executor recomputes from the checkpoint, not from the feeds."""
+    ensure_checkpoint_dir(spark)
+    sup = P.suppliers_table(spark, sf).checkpoint()
+    regs = {t: df.checkpoint() for t, df in P.all_registers(spark, sf).items()}
+    return sup, regs
 
 
 def q_exact_match(spark, sf):
@@ -256,8 +264,8 @@ def q_matches_wide(spark, sf):
 
 def q_unnormalise(spark, sf):
     sup, regs = _sup_regs(spark, sf)
-    long = P.matches(sup, regs, "ch")
-    return RV.unnormalise(long, regs["ch"], "NORMALIZED_CompanyName", "CompanyName").drop("match_type")
+    long = P.matches(sup, regs, "ch", with_names=True)
+    return RV.unnormalise(long, "CompanyName").drop("match_type")
 
 
 def q_review_wide(spark, sf):

@@ -88,12 +88,15 @@ def matchable_registers(regs: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 # -- matching and review ------------------------------------------------------------
 def matches(supplier_df: DataFrame, regs: dict[str, DataFrame], match_type: str,
-            scorer: str = "jaccard", min_similarity: float = matching.DEFAULT_MIN_SIMILARITY
-            ) -> DataFrame:
+            scorer: str = "jaccard", min_similarity: float = matching.DEFAULT_MIN_SIMILARITY,
+            with_names: bool = False) -> DataFrame:
     reg, key = register_for(match_type, matchable_registers(regs))
     left = review.matchable(supplier_df)
+    base = "spine" if match_type.startswith("spine") else match_type
+    carry = (REGISTER_KEYS[base][1],) if with_names else ()
     return matching.match_top_k(left, "NORMALIZED_SUPPLIER", reg, key, scorer=scorer,
-                                min_similarity=min_similarity, match_type=match_type)
+                                min_similarity=min_similarity, match_type=match_type,
+                                carry=carry)
 
 
 def review_wide(supplier_df: DataFrame, regs: dict[str, DataFrame], scorer: str = "jaccard",
@@ -103,9 +106,8 @@ def review_wide(supplier_df: DataFrame, regs: dict[str, DataFrame], scorer: str
     for t in review.REVIEW_TYPES:
         long = (long_by_type or {}).get(t)
         if long is None:
-            long = matches(supplier_df, regs, t, scorer, min_similarity)
-        norm_col, name_col = REGISTER_KEYS[t]
-        named[t] = review.wide_with_names(review.unnormalise(long, regs[t], norm_col, name_col), t)
+            long = matches(supplier_df, regs, t, scorer, min_similarity, with_names=True)
+        named[t] = review.wide_with_names(review.unnormalise(long, REGISTER_KEYS[t][1]), t)
     return review.review_table(supplier_df, named)
 
 
@@ -134,11 +136,16 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     save("payments_output", payments.payments_output(rows))
     sup = save("suppliers", suppliers.by_spend(suppliers_table(spark, sf_dir, profile, rows)))
     regs = {t: save(f"register_{t}", df) for t, df in all_registers(spark, sf_dir).items()}
-    long_parts = [matches(sup, regs, mt, scorer, min_similarity) for mt in MATCH_TYPES]
+    long_parts = [matches(sup, regs, mt, scorer, min_similarity, with_names=True)
+                  .withColumnRenamed(REGISTER_KEYS["spine" if mt.startswith("spine") else mt][1],
+                                     "notnormalised")
+                  for mt in MATCH_TYPES]
     long_all = long_parts[0]
     for part in long_parts[1:]:
         long_all = long_all.unionByName(part)
     long_all = save("matches", long_all, partition_by="match_type")
-    by_type = {t: long_all.filter(F.col("match_type") == t) for t in review.REVIEW_TYPES}
+    by_type = {t: long_all.filter(F.col("match_type") == t)
+               .withColumnRenamed("notnormalised", REGISTER_KEYS[t][1])
+               for t in review.REVIEW_TYPES}
     save("review", review_wide(sup, regs, scorer, min_similarity, by_type))
     return paths
