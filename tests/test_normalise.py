@@ -31,7 +31,7 @@ GOLDEN = [
     ("The", ""),
     ('"Acme Limited"', "ACME LIMITED"),
     ("nan", "NAN"),
-    ("A  B C", "A BC"),
+    ("A  B C", "ABC"),  # blanks collapse (N4) before initials join (N11)
     ("X Y Z AB C D", "XYZ AB CD"),
 ]
 
