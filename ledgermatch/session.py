@@ -20,8 +20,6 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Arrow batches for the pair scorer: bounded memory per Python worker.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "20000",
     "spark.ui.enabled": "false",
 }
 
@@ -41,22 +39,27 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the cluster.
+    """Return the shared folder that the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is.  Only when it is unset (local tests) is a scratch folder
-    created and registered.
+    The setting is read from the session and used as it is.  A scratch folder
+    is made only where it is unset and the master is a single process (tests);
+    on any other master a missing setting is an error, as executors do not
+    share a machine's temporary folder.
     """
     sc = spark.sparkContext
-    current = sc.getConf().get("spark.checkpoint.dir", None)
-    if not current:
-        jdir = sc._jsc.sc().getCheckpointDir()
-        current = jdir.get() if jdir.isDefined() else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="ledgermatch-ckpt-",
-                                   dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(current)
-    return current
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    active = sc._jsc.sc().getCheckpointDir()
+    if named:
+        if not active.isDefined():
+            sc.setCheckpointDir(named)
+        return named
+    if active.isDefined():
+        return active.get()
+    if sc.master != "local" and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    made = tempfile.mkdtemp(prefix="ledgermatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    sc.setCheckpointDir(made)
+    return made
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
