@@ -11,13 +11,13 @@ it.  The sample is taken by a hash over all rows, about ``sample_rows`` of
 them, and only serves the order.
 
 Null texts have no words and fail the length rule.  Repeated rows get the same
-verdict.  Further columns pass through; names with a double underscore are used
-inside.
+verdict.  Further columns pass through.
 """
 
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -30,13 +30,13 @@ SAMPLE_ROWS = 2000
 SPACES = r"[ \t-\r]+"
 
 
-def words(text: Column) -> Column:
-    return F.filter(F.split(text, SPACES), lambda w: w != "")
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once, however often ``use`` names it and wherever the optimiser moves it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def prepared(docs: DataFrame) -> DataFrame:
-    """Adds the text and its words, which several rules read."""
-    return docs.withColumn("__text", text_of()).withColumn("__words", words(F.col("__text")))
+def words(text: Column) -> Column:
+    return F.filter(F.split(text, SPACES), lambda w: w != "")
 
 
 def word_chars(ws: Column) -> Column:
@@ -49,66 +49,77 @@ def symbols(text: Column) -> Column:
 
 def duplicate_lines(text: Column) -> Column:
     """Lines with a word that equal an earlier line."""
-    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t-\r]"))
-    return (F.size(lines) - F.size(F.array_distinct(lines))).cast("long")
+    return let(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^ \t-\r]")),
+               lambda lines: (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"))
 
 
-def repeated_words(df: DataFrame, ws: str, out: str) -> DataFrame:
-    """Words inside 3-word windows that the text holds twice or more.
+def repeated_words(ws: Column) -> Column:
+    """Words inside 3-word windows that the text holds twice or more; ``ws`` is a bound array of words.
 
     Hashes of the windows rule out most texts.  For the others the windows
     themselves are sorted with their places; equal neighbours are repeats, and
     each place covers as many words as lie before the next one, three at most.
     """
     n = F.size(ws)
-    hashes = F.when(n >= 3, F.zip_with(F.zip_with(F.slice(F.col(ws), 1, n - 2), F.slice(F.col(ws), 2, n - 2),
-                                                  lambda a, b: F.xxhash64(a, b)),
-                                       F.slice(F.col(ws), 3, n - 2), lambda h, c: F.xxhash64(h, c)))
-    df = df.withColumn("__h", hashes)
-    maybe = F.size(F.array_distinct("__h")) < F.size("__h")
-    df = df.withColumn("__w", F.when(maybe, F.sort_array(F.transform(
-        F.sequence(F.lit(1), n - 2),
-        lambda i: F.struct(F.concat_ws(" ", F.slice(F.col(ws), i, 3)).alias("w"), i.alias("i"))))))
-    w = F.col("__w")
-    df = df.withColumn("__i", F.sort_array(F.filter(
-        F.transform(w, lambda x, k: F.when(
-            (F.get(w, k - 1)["w"] == x["w"]) | (F.get(w, k + 1)["w"] == x["w"]), x["i"])),
-        lambda i: i.isNotNull())))
-    i = F.col("__i")
-    covered = F.aggregate(
-        F.transform(i, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(i, k + 1), x + 3) - x)),
-        F.lit(0), lambda a, x: a + x)
-    return df.withColumn(out, F.coalesce(covered, F.lit(0)).cast("long")).drop("__h", "__w", "__i")
+    hashes = F.zip_with(F.zip_with(F.slice(ws, 1, n - 2), F.slice(ws, 2, n - 2), lambda a, b: F.xxhash64(a, b)),
+                        F.slice(ws, 3, n - 2), lambda h, c: F.xxhash64(h, c))
+    windows = F.sort_array(F.transform(F.sequence(F.lit(1), n - 2), lambda i: F.struct(
+        F.concat_ws(" ", F.slice(ws, i, 3)).alias("w"), i.alias("i"))))
+
+    def places(w: Column) -> Column:
+        return F.sort_array(F.filter(
+            F.transform(w, lambda x, k: F.when(
+                (F.get(w, k - 1)["w"] == x["w"]) | (F.get(w, k + 1)["w"] == x["w"]), x["i"])),
+            lambda i: i.isNotNull()))
+
+    def covered(i: Column) -> Column:
+        steps = F.transform(i, lambda x, k: F.least(F.lit(3), F.coalesce(F.get(i, k + 1), x + 3) - x))
+        return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
+
+    repeats = (n >= 3) & let(hashes, lambda h: F.size(F.array_distinct(h)) < F.size(h))
+    return F.when(repeats, let(windows, lambda w: let(places(w), covered))).otherwise(0).cast("long")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``reject`` is true where a prepared document fails; null counts as false."""
+    """``reject(text, words)`` is true where a document fails."""
 
     name: str
-    reject: Column
+    reject: Callable[[Column, Column], Column]
+
+
+def few_words(text: Column, ws: Column) -> Column:
+    return F.size(ws) < 50
+
 
+def much_repetition(text: Column, ws: Column) -> Column:
+    return 100 * repeated_words(ws) > 50 * F.size(ws)
 
-def default_rules() -> list[Rule]:
-    """The rules beside length and repetition, over ``__text`` and ``__words``."""
-    n = F.size("__words")
-    text = F.col("__text")
-    shouted = F.length(F.regexp_replace(text, r"[^\p{Lu}]", ""))
-    letters = F.length(F.regexp_replace(text, r"[^\p{L}]", ""))
-    marks = F.length(text) - F.length(F.translate(text, "!", ""))
-    return [
-        Rule("symbols_per_word", symbols(text) > 0.3 * n),
-        Rule("exclamations_per_word", marks > 0.3 * n),
-        Rule("duplicate_lines", 100 * duplicate_lines(text) > 50 * F.size(F.split(text, "\n"))),
-        Rule("mean_word_chars", (word_chars(F.col("__words")) < 2 * n) | (word_chars(F.col("__words")) > 16 * n)),
-        Rule("few_letters", letters < 0.5 * F.length(text)),
-        Rule("mostly_capitals", shouted > 0.5 * letters),
-    ]
 
+def many_duplicate_lines(text: Column, ws: Column) -> Column:
+    return 100 * duplicate_lines(text) > 50 * F.size(F.split(text, "\n"))
 
-def base_rules(repeated: str = "__repeated") -> list[Rule]:
-    n = F.size("__words")
-    return [Rule("few_words", n < 50), Rule("repeated_words", 100 * F.col(repeated) > 50 * n)]
+
+def odd_word_length(text: Column, ws: Column) -> Column:
+    return let(word_chars(ws), lambda n: (n < 2 * F.size(ws)) | (n > 16 * F.size(ws)))
+
+
+def letters(text: Column, kind: str) -> Column:
+    return F.length(F.regexp_replace(text, rf"[^\p{{{kind}}}]", ""))
+
+
+#: The rules of the operator's contract.
+BASE_RULES = [Rule("few_words", few_words), Rule("much_repetition", much_repetition)]
+
+RULES = [
+    Rule("symbols_per_word", lambda text, ws: symbols(text) > 0.3 * F.size(ws)),
+    Rule("exclamations_per_word", lambda text, ws: F.length(text) - F.length(F.translate(text, "!", ""))
+         > 0.3 * F.size(ws)),
+    Rule("many_duplicate_lines", many_duplicate_lines),
+    Rule("odd_word_length", odd_word_length),
+    Rule("few_letters", lambda text, ws: letters(text, "L") < 0.5 * F.length(text)),
+    Rule("mostly_capitals", lambda text, ws: letters(text, "Lu") > 0.5 * letters(text, "L")),
+]
 
 
 def sample_of(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -122,15 +133,13 @@ def sample_of(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
 def estimate(sample: DataFrame, rules: list[Rule]) -> list[tuple[Rule, float, float]]:
     """(rule, rejection rate, seconds over the sample) for each rule."""
     rows = max(sample.count(), 1)
+    text = text_of()
     out = []
     for rule in rules:
-        df = prepared(sample)
-        if rule.name == "repeated_words":
-            df = repeated_words(df, "__words", "__repeated")
         seconds = []
         for _ in range(2):
             began = time.perf_counter()
-            rejected = df.select(F.count_if(rule.reject)).first()[0]
+            rejected = sample.select(F.count_if(let(words(text), lambda ws: rule.reject(text, ws)))).first()[0]
             seconds.append(time.perf_counter() - began)
         out.append((rule, rejected / rows, min(seconds)))
     return out
@@ -141,39 +150,38 @@ def ordered(estimates: list[tuple[Rule, float, float]]) -> list[Rule]:
     return [r for r, _, _ in sorted(estimates, key=lambda e: (-e[1] / max(e[2], 1e-9), e[0].name))]
 
 
-def cascade(rules: list[Rule]) -> Column:
+def cascade(rules: list[Rule], text: Column, ws: Column) -> Column:
     """True where some rule rejects, each rule evaluated only where the ones before did not."""
     verdict = F.lit(False)
     for rule in reversed(rules):
-        verdict = F.when(rule.reject, F.lit(True)).otherwise(verdict)
+        verdict = F.when(rule.reject(text, ws), F.lit(True)).otherwise(verdict)
     return verdict
 
 
 def judged(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The digest's columns for every document: counts, ``base_failed`` and ``kept``.
+    """Counts, ``base_failed`` and ``kept`` for every document.
 
-    All counts are wanted here, so only the further rules are left to the cascade.
+    The counts are wanted for all documents, so only the further rules are left to the cascade.
     """
-    rules = ordered(estimate(sample_of(docs, sample_rows), default_rules()))
-    df = repeated_words(prepared(docs.select("doc_id", "text")), "__words", "n_repeat_words")
-    df = df.withColumn("n_words", F.size("__words").cast("long"))
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.select(
-        "doc_id", "n_words", word_chars(F.col("__words")).alias("word_chars"),
-        symbols(F.col("__text")).alias("n_symbols"), duplicate_lines(F.col("__text")).alias("n_dup_lines"),
-        "n_repeat_words", failed.alias("base_failed"), (~F.when(failed, True).otherwise(cascade(rules))).alias("kept"))
+    rules = ordered(estimate(sample_of(docs, sample_rows), RULES))
+    text = F.col("text")
 
+    def measured(ws: Column) -> Column:
+        n = F.size(ws).cast("long")
+        return let(repeated_words(ws), lambda r: let((n < 50) | (100 * r > 50 * n), lambda failed: F.struct(
+            n.alias("n_words"), word_chars(ws).alias("word_chars"), symbols(text).alias("n_symbols"),
+            duplicate_lines(text).alias("n_dup_lines"), r.alias("n_repeat_words"), failed.alias("base_failed"),
+            (~F.when(failed, True).otherwise(cascade(rules, text, ws))).alias("kept"))))
 
-def keep(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """The rows of ``docs`` that no rule rejects, with their columns.
+    rows = docs.select("doc_id", text_of().alias("text"))
+    return rows.select("doc_id", let(words(text), measured).alias("m")).select("doc_id", "m.*")
 
-    Rules that need only the words run as one cascade; the repetition rule,
-    which needs its own columns, sees what the cascade left.
-    """
-    rules = ordered(estimate(sample_of(docs, sample_rows), [base_rules()[0], *default_rules()]))
-    left = prepared(docs).where(~cascade(rules))
-    left = repeated_words(left, "__words", "__repeated")
-    return left.where(~base_rules()[1].reject).select(*docs.columns)
+
+def keep(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with their columns."""
+    rules = ordered(estimate(sample_of(docs, sample_rows), [*BASE_RULES, *RULES]))
+    text = text_of()
+    return docs.where(~let(words(text), lambda ws: cascade(rules, text, ws)))
 
 
 # DuckDB SQL of ``judged``

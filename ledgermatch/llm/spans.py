@@ -37,10 +37,14 @@ def listed(spans: Column) -> Column:
 def digest(found: DataFrame, base_kinds: list[str]) -> DataFrame:
     """Counts per base kind, the hash of the base spans, and all spans as text."""
     base = F.filter("spans", lambda s: s["kind"].isin(base_kinds))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in base_kinds]
+    counts = [F.size(_of_kind(k)).cast("long").alias(f"n_{k}") for k in base_kinds]
     return found.select("doc_id", *counts, F.sha2(listed(base).cast("binary"), 256).alias("base_sha256"),
                         listed(F.col("spans")).alias("spans"))
 
 
+def _of_kind(kind: str) -> Column:
+    return F.filter("spans", lambda s: s["kind"] == kind)
+
+
 def by_start(found: list[tuple[str, int, int]], kinds: list[str]) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], kinds.index(s[0])))
