@@ -254,3 +254,24 @@ def clean(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_cha
         docs = docs.mapInArrow(run, docs.schema)
     return docs
 
+
+# DuckDB SQL of the registered query
+ORACLE = r"""
+WITH low AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b),
+d AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS ws FROM documents, low),
+b AS MATERIALIZED (SELECT coalesce(item_id::VARCHAR, 'null') AS item_id,
+  regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS ws FROM benchmark, low),
+i AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM b WHERE len(ws) > 0),
+t AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(ws[s:s + n - 1], ' ') AS win
+  FROM (SELECT item_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM i)),
+g AS (SELECT rid, n, s, array_to_string(ws[s:s + n - 1], ' ') AS win
+  FROM (SELECT rid, ws, n, unnest(range(1, len(ws) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM t) WHERE len(ws) >= n)),
+m AS MATERIALIZED (SELECT DISTINCT rid, g.n, s, item_id FROM g JOIN t USING (n, win)),
+hit AS (SELECT rid, count(DISTINCT w) AS n FROM (SELECT DISTINCT rid, unnest(range(s, s + n)) AS w FROM m) GROUP BY rid),
+it AS (SELECT rid, list_sort(list(DISTINCT item_id)) AS items FROM m GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
+       coalesce(len(items), 0)::BIGINT AS n_items, sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256,
+       coalesce(hit.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN it USING (rid)
+"""

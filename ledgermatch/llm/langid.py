@@ -84,8 +84,9 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
         tagger = Tagger(model)
         for b in batches:
             langs, scores, shares = [], [], []
-            for _, p in tagger.tag(b.column(1).to_pylist()):
-                if len(p) and model.labels:
+            texts = b.column(1).to_pylist()
+            for _, p in tagger.tag(texts) if model.labels else ((i, ()) for i in range(len(texts))):
+                if len(p):
                     mean = p.mean(axis=0, dtype=np.float64)
                     best = int(mean.argmax())
                     langs.append(model.labels[best])

@@ -13,10 +13,9 @@ from .common import sha256_of, table
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    longest = F.array_max(F.transform("matches", lambda m: m["n_words"]))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         sha256_of(F.array_join("items", ",")).alias("items_sha256"),
-                        (F.col("n_hit") > 0).alias("contaminated"), F.coalesce(longest, F.lit(0)).alias("longest_match"))
+                        (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_decontaminate": decontam.ORACLE,
     "op5_mix": mixing.ORACLE,
     "op10_quality": quality.ORACLE,
 }

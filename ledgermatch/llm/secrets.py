@@ -7,8 +7,9 @@ and per character.
 
 Labelled strings of the query: in about ``sample_docs`` documents (taken by a
 hash over all of them) the values that the base patterns find are random and
-all other tokens ordinary; ``SYNTHETIC`` strings drawn with a fixed seed stand
-for alphabets the sample has not.  The counts are summed by Spark; what reaches
+all other tokens ordinary; ``SYNTHETIC`` random strings and twice as many
+identifiers in the usual spellings, drawn with fixed seeds, stand for what the
+sample lacks.  The counts are summed by Spark; what reaches
 the driver is one number for each pair of characters and label.
 
 Null texts count as empty.  Repeated rows give the same spans.  Further columns
@@ -80,6 +81,43 @@ def synthetic(n: int = SYNTHETIC, seed: int = 7) -> list[str]:
     return ["".join(rng.choices(alphabets[i % len(alphabets)], k=rng.randint(20, 44))) for i in range(n)]
 
 
+#: Words that names in programs are made of; training samples of ordinary identifiers join them.
+IDENTIFIER_WORDS = """
+access account action active address admin after agent alert all amount and api app archive array async auth back balance
+base batch before begin block body box branch browser buffer build button by bytes cache call capital category change
+channel char check child class clean client clock close cloud code collection color column command comment commit
+common compare config connection constant container content context control copy core count country create current
+customer data database date day debug default delete deploy device dictionary directory disable display document
+domain download driver edit element email empty enable encode end engine entry environment error event example
+exception execute expire export extra factory feature fetch field file filter final find first flag folder font for form
+format found frame from function gateway generate get global graph group handler hash header health height hello help
+history home host hour icon id image import in index info init input insert instance integer interface internal invoice
+is item job join json kernel key keyword kind language last layer layout length level library limit line link list load
+local location lock log login long loop main manager map margin match max member memory menu message method metric
+min minute mode model module month mouse move name network new next node not null number object of offset old on open
+option or order origin output owner package page panel parameter parent parse part password path pattern payment
+people period phone picture pipeline pixel player plugin point policy pool port position post prefix price print
+process product profile project property protocol proxy public publish query queue quick quote random range rate read
+record redirect reference region register release remove render report request reset resource response result retry
+return role root route row rule run sample save scale schema score screen script search second section security select
+send sequence server service session set setting shape share shell show sign simple single size sort source space
+speed stack start state static status stop storage store stream string style submit sum switch symbol sync system
+table tag target task team template test text theme thread time title to token tool top total track transaction
+transfer tree trigger type undo unique unit update upload url user utility valid value variable vector verify version
+video view virtual visible volume wait warning watch web weight widget width window with word work world wrapper write
+year zero zone""".split()
+
+
+def identifiers(n: int = 2 * SYNTHETIC, seed: int = 8) -> list[str]:
+    """Ordinary identifiers: two to six words in the usual spellings, some with a number behind."""
+    rng = random.Random(seed)
+    spell = [lambda w: "_".join(w), lambda w: "-".join(w), lambda w: "/".join(w), lambda w: "_".join(w).upper(),
+             lambda w: w[0] + "".join(map(str.capitalize, w[1:])), lambda w: "".join(map(str.capitalize, w)),
+             lambda w: "".join(w)]
+    out = [spell[i % len(spell)](rng.choices(IDENTIFIER_WORDS, k=rng.randint(2, 6))) for i in range(n)]
+    return [t + rng.choice(("", "", "", "_", "-")) + str(rng.randint(0, 2030)) if i % 4 == 0 else t for i, t in enumerate(out)]
+
+
 def pair_counts(tokens: Iterator[tuple[int, str]]) -> Counter:
     counts: Counter = Counter()
     for label, token in tokens:
@@ -87,12 +125,19 @@ def pair_counts(tokens: Iterator[tuple[int, str]]) -> Counter:
     return counts
 
 
-def model(counts: Counter) -> np.ndarray:
-    """log P(next | char, random) - log P(next | char, ordinary), add-one smoothed."""
-    n = np.ones((2, SIZE, SIZE))
+def model(counts: Counter, prior: float = 10.0) -> np.ndarray:
+    """log P(next | char, random) - log P(next | char, ordinary).
+
+    Each distribution leans on the label's overall one with the weight of
+    ``prior`` pairs, so that a character which ordinary tokens hardly have
+    stays unlikely behind any other.
+    """
+    n = np.zeros((2, SIZE, SIZE))
     for (label, a, b), k in counts.items():
         n[label, a, b] += k
-    p = np.log(n / n.sum(axis=2, keepdims=True))
+    overall = n.sum(axis=1, keepdims=True) + 1.0
+    overall /= overall.sum(axis=2, keepdims=True)
+    p = np.log((n + prior * overall) / (n.sum(axis=2, keepdims=True) + prior))
     return p[1] - p[0]
 
 
@@ -111,6 +156,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
               .groupBy("label", "a", "b").agg(F.sum("n").alias("n")))  # 2 * 67 * 67 rows at most
     counts = Counter({(r.label, r.a, r.b): r.n for r in summed.collect()})
     counts.update(pair_counts((1, s) for s in synthetic()))
+    counts.update(pair_counts((0, s) for s in identifiers()))
     return model(counts)
 
 
