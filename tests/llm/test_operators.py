@@ -1,0 +1,341 @@
+"""Each operator against a brute-force version, and on rows that are hard to handle."""
+
+import random
+import re
+
+import brute
+import numpy as np
+import pytest
+import regex
+import tiktoken
+from pyspark.sql import functions as F
+
+from ledgermatch.llm import (crf, decontam, langid, mixing, pii, quality, secrets, simhash, spans, tokens, toxicity,
+                             urls)
+
+
+# -- 1 ----------------------------------------------------------------------------------------
+def found_in(text, items, **options):
+    tests = decontam.TestSet([(str(i), t) for i, t in items], **options)
+    return decontam.find([text], tests)[0]
+
+
+def test_decontamination_equals_brute_force(small_docs, small_bench):
+    items = [(r.item_id, r.text) for r in small_bench.collect()] + [(900, "the"), (901, None), (None, "of the and")]
+    wins = brute.windows(items)
+    bench = small_bench.select("item_id", "text").union(
+        small_bench.sparkSession.createDataFrame(items[-3:], "item_id long, text string"))
+    texts = {r.doc_id: r.text for r in small_docs.collect()}
+    for options in ({}, {"block_chars": 2000}):  # in one block, and in several passes
+        for r in decontam.matches(small_docs, bench, **options).collect():
+            assert (r.n_words, r.n_hit, r["items"]) == brute.contamination(texts[r.doc_id], wins)
+
+
+def test_longest_matches_and_locations():
+    item = [f"w{i}" for i in range(30)]
+    doc = ["x"] * 3 + item[5:25] + ["y"] + item[:12]
+    _, hit, names, matches = found_in(" ".join(doc), [(7, " ".join(item)), (3, " ".join(item))])
+    assert names == ["3", "7"] and hit.sum() == 32
+    assert [(m["item_start"], m["doc_start"], m["n_words"]) for m in matches] == [(5, 3, 20), (0, 24, 12)]
+    n, hit, _, matches = found_in("a " * 500, [(1, "a " * 40)])
+    assert n == hit.sum() == 500 and max(m["n_words"] for m in matches) == 40
+    assert len(matches) < 40  # no pair for every place
+
+
+def test_decontamination_on_hard_rows(hard, nothing, spark):
+    bench = spark.createDataFrame([(1, "ipsum dolor sit amet consectetur adipiscing elit sed do eiusmod", "x"),
+                                   (None, None, "x"), (3, "", None)], "item_id long, text string, items string")
+    got = decontam.matches(hard, bench).collect()
+    assert sorted(str(r.doc_id) for r in got if r.n_hit) == ["1", "1", "2", "None"]
+    assert all(r.n_words == 0 for r in got if r.doc_id in (3, 4))
+    kept = decontam.clean(hard, bench)
+    assert kept.columns == hard.columns and kept.count() == 6
+    assert decontam.matches(nothing, bench).count() == decontam.clean(nothing, bench).count() == 0
+    assert decontam.clean(hard, bench.limit(0)).count() == 10
+
+
+# -- 2 and 6 ----------------------------------------------------------------------------------
+def base_secrets(t):
+    word = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in w)
+                    for w in ("password", "passwd", "secret", "token", "api_?key"))
+    kinds = [("assign", rf"""({word})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[2]) >= 6),
+             ("access", "AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 20), ("hex", "[0-9a-f]+", lambda m: len(m[0]) >= 24)]
+    return spans.by_start([(k, m.start(), m.end()) for k, p, ok in kinds for m in re.finditer(p, t) if ok(m)],
+                          secrets.KINDS)
+
+
+def base_personal(t):
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+
+    def luhn(d):
+        return sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+
+    kinds = [("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda m: True),
+             ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+             ("card", r"[0-9]([\x20-]?[0-9])+", lambda m: 12 <= len(digits(m)) <= 19 and luhn(digits(m))),
+             ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", lambda m: 9 <= len(digits(m)) <= 15)]
+    return spans.by_start([(k, m.start(), m.end()) for k, p, ok in kinds for m in re.finditer(p, t) if ok(m)], pii.KINDS)
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(4)
+    find = pii.finder()
+    for _ in range(8000):
+        t = "".join(rng.choices(["a", "1", "00", "4", ".", "@", "+", "-", " ", "255", "(", ")", "%", "é"], k=rng.randint(0, 40)))
+        assert [s for s in find(t) if s[0] in pii.BASE_KINDS] == base_personal(t), t
+        t = "".join(rng.choices(["token", "Secret", "api_key", "apikey", "passwd", " ", "=", ":", '"', "0a1b2c3d", "deadbeef",
+                                 "AKIA", "ABCD1234", ".", "K", "ſ", "xyz"], k=rng.randint(0, 14)))
+        assert secrets.base_spans(t) and spans.by_start(secrets.base_spans(t), secrets.KINDS) == base_secrets(t) \
+            or not base_secrets(t), t
+
+
+def test_anchors_of_the_method():
+    text = ("account no: 12345678, IBAN DE89370400440532013000 but IBAN DE89370400440532013001, 12 Baker Street, "
+            "rue de la Paix 12, http://bob:pw@h.example/x, https://h.example/y, subaccount 12345678")
+    kinds = [(k, text[s:e]) for k, s, e in pii.finder()(text) if k not in pii.BASE_KINDS]
+    assert kinds == [("account", "12345678"), ("account", "DE89370400440532013000"), ("address", "12 Baker Street"),
+                     ("address", "rue de la Paix 12"), ("url", "http://bob:pw@h.example/x,")]
+    assert pii.mask("mail a@b.example now", [("email", 5, 16)]) == "mail <EMAIL> now"
+    assert pii.mask("abcdef", [("ip", 1, 4), ("card", 2, 5)]) == "a<IP>f"
+
+
+def test_markov_ratio_tells_random_strings(small_docs):
+    ratio = secrets.train(small_docs)
+    find = secrets.finder(ratio)
+    held_out = secrets.synthetic(300, seed=99)
+    assert sum(any(s[0] != "" for s in find(f"say {t} here")) for t in held_out) >= 0.95 * 300
+    names = ["get_user_by_email_address", "internationalization_settings", "the_quick_brown_fox_jumps", "HELLO_WORLD_IN_CAPITALS"]
+    assert not any(find(f"say {n} here") for n in names)
+
+
+@pytest.mark.parametrize("scan", [secrets.secrets, pii.personal])
+def test_scans_on_hard_rows(hard, nothing, scan):
+    got = scan(hard).collect()
+    assert len(got) == 10 and all(r.spans is not None for r in got)
+    assert scan(nothing).count() == 0
+    kinds = pii.BASE_KINDS if scan is pii.personal else secrets.BASE_KINDS
+    assert spans.digest(scan(hard), kinds).where("base_sha256 IS NULL").count() == 0
+
+
+def test_masking_on_hard_rows(hard, nothing):
+    got = pii.masked(hard)
+    assert got.columns == hard.columns and got.count() == 10 and pii.masked(nothing).count() == 0
+    row = got.where("text LIKE '<EMAIL>%'").first()
+    assert row.text == "<EMAIL> <IP>" and row.n_chars == 12
+    assert got.where("text IS NULL").count() == 2
+
+
+# -- 3 ----------------------------------------------------------------------------------------
+def test_simhash_equals_brute_force(small_docs, hard, nothing):
+    for docs in (small_docs.select("doc_id", "text"), hard):
+        rows = docs.select("doc_id", "text").collect()
+        fps = [brute.simhash(r.text) for r in rows]
+        roots = brute.components(fps)
+        best = {}
+        for r, f in zip(rows, fps):
+            best.setdefault(roots[f], []).extend([r.doc_id] if r.doc_id is not None else [])
+        want = sorted((str(r.doc_id), f, str(min(best[roots[f]], default=None))) for r, f in zip(rows, fps))
+        got = simhash.near_duplicates(docs).collect()
+        assert sorted((str(r.doc_id), r.fp % 2 ** 64, str(r.component_id)) for r in got) == want
+    assert simhash.near_duplicates(nothing).count() == simhash.one_per_component(nothing).count() == 0
+
+
+@pytest.mark.parametrize("limit", [2, 64])
+def test_links_keep_every_component(spark, limit):
+    rng = random.Random(limit)
+    fps = {rng.getrandbits(64) for _ in range(60)}
+    for f in list(fps)[:15]:  # crowds around some, chains over others
+        for _ in range(12):
+            f2 = f
+            for b in rng.sample(range(64), rng.randint(1, 3)):
+                f2 ^= 1 << b
+            fps.add(f2)
+    rows = spark.createDataFrame([(simhash._signed(f),) for f in fps], "fp long")
+    got = {r.node % 2 ** 64: r.root % 2 ** 64 for r in simhash.connected(simhash.links(rows, 2, limit)).collect()}
+    want = brute.components(fps)
+    group = lambda m: {frozenset(g for g in fps if m.get(g, g) == m.get(f, f)) for f in fps}
+    assert group(got) == group(want)
+
+
+def test_one_document_of_each_component_stays(hard):
+    kept = simhash.one_per_component(hard)
+    assert kept.columns == hard.columns
+    fps = [brute.simhash(r.text) for r in kept.collect()]
+    every = brute.components([brute.simhash(r.text) for r in hard.collect()])
+    assert sorted(every[f] for f in fps) == sorted(set(every.values()))
+
+
+# -- 4 ----------------------------------------------------------------------------------------
+def test_counts_after_edits_equal_full_encoding():
+    counter = tokens.Counter()
+    plain = tiktoken.Encoding("own", pat_str=tokens.PATTERN, special_tokens={},
+                              mergeable_ranks=counter.encoder._mergeable_ranks)
+    rng = random.Random(2)
+    parts = ["a", "bc", " ", "   ", "\n", "\t", "'", "ll", "'s", "12", "!?", "é", "\x1c", " ", "word "]
+    for _ in range(1500):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 400)))
+        doc = tokens.Document(text, *map(tokens.build, counter.leaves(text)))
+        for _ in range(3):
+            start = rng.randint(0, len(doc.text))
+            end = min(len(doc.text), start + rng.choice((0, 1, 3, 30)))
+            doc.edit(start, end, "".join(rng.choices(parts, k=rng.randint(0, 6))), counter)
+            assert doc.tokens[1] == len(plain.encode_ordinary(doc.text)) and doc.chars[1] == len(doc.text)
+    long = "some words and more " * 5000
+    doc = tokens.Document(long, *map(tokens.build, counter.leaves(long)))
+    doc.edit(50_000, 50_004, "new text", counter)
+    assert doc.encoded < 1000
+
+
+def test_token_counts_on_hard_rows(hard, nothing):
+    counter = tokens.Counter()
+    got = tokens.edited(tokens.counted(tokens.number_edits(hard))).collect()
+    assert len(got) == 10
+    for r in got:
+        assert r.n_tokens == counter.total(r.text) and not regex.search("[0-9]{4,}", r.text)
+    assert tokens.edited(tokens.counted(nothing)).count() == 0
+    edits = [{"start": 5, "end": 99, "replacement": None}, {"start": -3, "end": 2, "replacement": "x"}, {"start": 1, "end": 4, "replacement": "y"}]
+    assert tokens.clipped(edits, 10) == [(0, 2, "x"), (2, 4, "y"), (5, 10, "")]
+
+
+# -- 5 ----------------------------------------------------------------------------------------
+def test_mix_equals_brute_force(hard, nothing, small_docs):
+    for docs, block in ((hard, 2), (small_docs, 3)):
+        rows = docs.select("doc_id", "text", "source").collect()
+        want = sorted(map(str, brute.mix([tuple(r) for r in rows], block)))
+        got = mixing.mixed(docs, block_docs=block)
+        assert got.columns == [*docs.columns, "block", "slot", "place"]
+        assert sorted(str(tuple(r)) for r in got.select("doc_id", "text", "block", "slot", "place").collect()) == want
+    assert mixing.mixed(nothing).count() == mixing.interleaved(nothing).count() == 0
+
+
+def test_every_share_stays_within_one_block(spark):
+    weights = spark.createDataFrame([("a", 0.5), ("b", 0.3), ("c", 0.15), ("d", 0.05), (None, 0.0)],
+                                    "source string, weight double")
+    rows = mixing.schedule(weights.select(mixing.source_key().alias("__src"), "weight"), 97).collect()
+    period = rows[0].P
+    assert sorted(t for r in rows for t in r.slots) == list(range(period))
+    for r in rows:
+        done = np.cumsum(np.isin(np.arange(period), r.slots))
+        lag = done - r.a / period * np.arange(1, period + 1)
+        assert np.abs(lag).max() < 1
+
+
+def test_numbering_does_not_depend_on_the_prefixes(small_docs):
+    one = {(r.doc_id, r["__no"]) for r in mixing.numbered(small_docs, 200).collect()}
+    deep = {(r.doc_id, r["__no"]) for r in mixing.numbered(small_docs, 200, rows_per_prefix=1).collect()}
+    assert one == deep
+
+
+# -- 7 and 9 ----------------------------------------------------------------------------------
+def test_marginals_equal_plain_forward_backward():
+    rng = np.random.default_rng(0)
+    lengths = np.array([1, 5, crf.SEGMENT - 1, crf.SEGMENT, crf.SEGMENT + 1, 3 * crf.SEGMENT + 7, 2])
+    e, a = crf.potentials(rng.normal(size=(lengths.sum(), 3)) * 2), np.exp(rng.normal(size=(3, 3))).astype(np.float32)
+    got, at = crf.marginals(e, lengths, a), 0
+    for n in lengths:
+        x = e[at:at + n].astype(float)
+        alpha, beta = [x[0]], [np.ones(3)]
+        for t in range(1, n):
+            alpha.append((alpha[-1] / alpha[-1].sum() @ a) * x[t])
+            beta.append(a @ (x[n - t] * beta[-1] / beta[-1].sum()))
+        want = np.array(alpha) * np.array(beta[::-1])
+        assert np.abs(got[at:at + n] - want / want.sum(axis=1, keepdims=True)).max() < 1e-5
+        at += n
+
+
+def test_languages_of_held_out_and_switched_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = langid.identified(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
+    assert sum(r.lang_pred == r.lang for r in got) >= 0.97 * len(got) and all(0 <= r.score <= 1 for r in got)
+    model = langid.fit(docs)
+    de, fr = (docs.where(f"lang = '{x}' AND n_chars BETWEEN 200 AND 3000").first().text[:180] for x in ("de", "fr"))
+    found = [lang for s, e, lang in langid.segments(f"{de} {fr}", model) if e - s > 60]
+    assert found[0] == "de" and found[-1] == "fr"
+
+
+def test_toxicity_of_held_out_text(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = toxicity.judged(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    bad, clean = [r for r in got if r.toxic], [r for r in got if not r.toxic]
+    assert sum(r.predicted for r in bad) >= 0.85 * len(bad)
+    assert sum(r.predicted for r in clean) <= 0.05 * len(clean)
+
+
+def test_taggers_on_hard_rows(hard, nothing, spark):
+    got = {(r.doc_id, r.lang_pred) for r in langid.identified(hard).collect()}
+    assert (3, "und") in got and (4, "und") in got and (5, "xx") in got
+    assert langid.identified(nothing).count() == 0
+    assert {r.lang_pred for r in langid.identified(hard.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, None), (None, 1), (5, 0), (4, 0)], "doc_id long, toxic int")
+    scores = toxicity.judged(hard, labels).collect()
+    assert len(scores) == 10 and all(0 <= r.score <= 1 for r in scores)
+    assert toxicity.judged(nothing, labels).count() == 0
+    assert {r.score for r in toxicity.judged(hard, labels.limit(0)).collect()} == {0.0}
+
+
+# -- 8 ----------------------------------------------------------------------------------------
+def split_url(url):
+    if url is None or "://" not in url:
+        return "", ""
+    m = re.match(r"([^/?#]*)([^?#]*)", url.split("://", 1)[1], re.S)
+    return m[1].translate(brute.AZ), m[2]
+
+
+def rule_of(host, path):
+    fits = [r for r in urls.RULES if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
+    return max(fits, key=lambda r: len(r.text), default=None)
+
+
+def test_url_rules_and_parts(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("page_id", "url")
+    odd = [(9001, None), (9002, ""), (9003, "no scheme"), (9004, "http://NET"), (9005, "http://A.ÉX.net/x?y://z#t"),
+           (9006, "http://example.net/en/1"), (9006, "http://example.net/en/1"), (None, "a://b.example.com/de/" + "x/" * 300),
+           (9007, "http://xnet/"), (9008, "://example.com/de"), (9009, "https://fr.org/fr/?q")]
+    got = urls.judged(pages.union(spark.createDataFrame(odd, "page_id long, url string")).withColumn("host", F.lit("x")))
+    want = [(*split_url(r.url), rule_of(*split_url(r.url))) for r in pages.collect()] + \
+           [(*split_url(u), rule_of(*split_url(u))) for _, u in odd]
+    rows = got.collect()
+    key = lambda x: tuple(map(str, x))
+    assert sorted(((r.host, r.path, r.rule) for r in rows), key=key) == \
+        sorted(((h, p, w.text if w else None) for h, p, w in want), key=key)
+    for r in rows:
+        if (w := rule_of(r.host, r.path)) is not None:
+            assert r.verdict == ("block" if w.block else "allow")
+    assert urls.judged(pages.limit(0)).count() == 0
+
+
+def test_templates_learn_from_labels(spark):
+    rows = [(i, f"http://h.example/spam/{i}/x.html", i % 10 != 0) for i in range(60)]
+    rows += [(100 + i, f"http://h.example/news/{i}/x.html", i % 10 == 0) for i in range(60)]
+    rows += [(200 + i, f"http://h.example/{w}/{i}", False) for i, w in enumerate("abcdefghijklmnopqrstuvwxyz")]
+    rows += [(300, "http://h.example/spam/77/x.html", None), (301, "http://h.example/news/77/x.html", None),
+             (302, "http://h.example/unseen/1", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    got = {r.page_id: r for r in urls.judged(pages, rules=[], bad="bad").collect()}
+    assert got[300].verdict == "block" and got[301].verdict == got[302].verdict == "allow"
+    assert got[300].template == "h.example/spam/*/x.html"
+    assert got[200].template == got[225].template and "*" in got[200].template  # rare siblings share the wildcard
+
+
+def test_like_siblings_merge(spark):
+    rows = [(i, f"http://h.example/{x}/{i}", x in "ab") for x in "abc" for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
+    found = {r.template for r in urls.judged(pages, rules=[], bad="bad").collect()}
+    assert found == {"h.example/a|b/*", "h.example/c/*"}
+
+
+# -- 10 ---------------------------------------------------------------------------------------
+def test_quality_equals_brute_force(hard, nothing, small_docs):
+    for docs in (hard, small_docs):
+        texts = docs.select("doc_id", "text").collect()
+        want = sorted(str((r.doc_id, *brute.quality_counts(r.text).values(), brute.quality_kept(r.text))) for r in texts)
+        assert sorted(str(tuple(r)) for r in quality.judged(docs).collect()) == want
+        kept = quality.keep(docs)
+        assert kept.columns == docs.columns and kept.count() == sum(brute.quality_kept(r.text) for r in texts)
+    assert quality.judged(nothing).count() == quality.keep(nothing).count() == 0
+
+
+def test_cascade_puts_cheap_and_telling_rules_first():
+    rule = lambda n: quality.Rule(n, lambda t, w: F.lit(False))
+    order = quality.ordered([(rule("dear"), 0.5, 10.0), (rule("cheap"), 0.4, 1.0), (rule("idle"), 0.0, 0.1)])
+    assert [r.name for r in order] == ["cheap", "dear", "idle"]
