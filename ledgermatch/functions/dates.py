@@ -7,31 +7,33 @@ from pyspark.sql import functions as F
 
 # Payment dates arrive in mixed formats.  The text before the first 'T' is
 # parsed month-first with a day-first fallback (so '01/02/2020' is 2 Jan and
-# '13/02/2020' is 13 Feb).  The first format that parses wins.  Each format
-# is tried only on text of its shape: a failed parse costs an exception in
-# the JVM, so the cheap regex gate keeps the hot path exception-free.
-MIXED_DATE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "yyyy-M-d H:mm:ss"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "M/d/yyyy"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-    (r"^\d{8}$", "yyyyMMdd"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"),
-]
-
-# Register dates (charity removal date) are day-first; ISO text stays ISO.
-DAYFIRST_DATE_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
-]
-
-
-def _first_parse(text: Column, formats) -> Column:
-    return F.coalesce(*[F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(fmt)))
-                        for shape, fmt in formats]).cast("date")
+# '13/02/2020' is 13 Feb); register dates are day-first.  A time at the end is
+# left out, and two-digit years run from 1970 to 2069.  The first format that
+# parses wins.  Each is tried only on text of its shape: a failed parse costs
+# an exception in the JVM, so the cheap regex gate keeps the hot path
+# exception-free.
+TIME_OF_DAY = r"[ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?$"
+MONTH_FIRST = ["M/d/yyyy", "d/M/yyyy"]
+DAY_FIRST = ["d/M/yyyy"]
+YEAR_FIRST_FORMATS = [(r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{8}$", "yyyyMMdd"), (r"^\d{4}$", "yyyy")]
+NAMED_FORMATS = [(r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"), (r"^\d{1,2} [A-Z][a-z]{3,8} \d{4}$", "d MMMM yyyy"),
+                 (r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"), (r"^[A-Z][a-z]{3,8} \d{1,2} \d{4}$", "MMMM d yyyy")]
+
+
+def _four_digit_year(text: Column) -> Column:
+    text = F.regexp_replace(text, r"^(.*[^0-9])([0-6]\d)$", "$120$2")
+    return F.regexp_replace(text, r"^(.*[^0-9])([7-9]\d)$", "$119$2")
+
+
+def _parse(col: Column, numeric: list[str]) -> Column:
+    plain = F.regexp_replace(F.trim(col), TIME_OF_DAY, "")
+    slashed = F.regexp_replace(plain, r"^(\d+)[-./](\d+)[-./](\d+)$", "$1/$2/$3")
+    wide = _four_digit_year(slashed)
+    named = F.initcap(F.lower(_four_digit_year(F.regexp_replace(plain, "[-./, ]+", " "))))
+    tries = [(wide, r"^\d{1,2}/\d{1,2}/\d{4}$", f) for f in numeric]
+    tries += [(slashed, shape, f) for shape, f in YEAR_FIRST_FORMATS]
+    tries += [(named, shape, f) for shape, f in NAMED_FORMATS]
+    return F.coalesce(*[F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(f))) for t, shape, f in tries]).cast("date")
 
 
 def cut_at_t(col: Column) -> Column:
@@ -41,12 +43,12 @@ def cut_at_t(col: Column) -> Column:
 
 def parse_mixed_date(col: Column) -> Column:
     """payment date text -> date (null when unparseable)."""
-    return _first_parse(cut_at_t(col), MIXED_DATE_FORMATS)
+    return _parse(cut_at_t(col), MONTH_FIRST)
 
 
 def parse_dayfirst_date(col: Column) -> Column:
     """Register date text, day-first -> date."""
-    return _first_parse(col, DAYFIRST_DATE_FORMATS)
+    return _parse(col.cast("string"), DAY_FIRST)
 
 
 def parse_ymd(col: Column) -> Column:

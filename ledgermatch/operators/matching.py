@@ -35,7 +35,8 @@ DEFAULT_K = 5
 # buckets on the register side (and the supplier side is replicated per
 # bucket), so no single task joins a hot token group whole.
 ROWS_PER_SALT = 5000
-MAX_SALT = 64
+# Names of more tokens are not indexed by token subsets but joined by token.
+SUBSET_TOKENS = 10
 _EPS = 1e-9
 
 
@@ -90,7 +91,7 @@ def candidate_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key:
     Ro = _ordered(R, freq, rx, t)
 
     def salts(df_col: Column) -> Column:
-        return F.least(F.lit(MAX_SALT), F.ceil(df_col / F.lit(ROWS_PER_SALT))).cast("int")
+        return F.ceil(df_col / F.lit(ROWS_PER_SALT)).cast("int")
 
     lx = (Lo.select(F.col("name").alias("s"), F.col("toks").alias("s_toks"),
                     F.col("n").alias("s_n"),
@@ -116,7 +117,7 @@ def candidate_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key:
             .select("s", "r", *rx, "s_toks", "r_toks", "inter", "jaccard"))
 
 
-# -- scorers on candidate pairs (M2, M3; M1 lives in functions.similarity) ----
+# -- scorers on candidate pairs (M2, M3) ----
 def levenshtein_similarity(a: Column, b: Column) -> Column:
     """M2: 1 - edit distance / longer length (1.0 for two empty strings)."""
     longest = F.greatest(F.length(a), F.length(b))
@@ -124,21 +125,77 @@ def levenshtein_similarity(a: Column, b: Column) -> Column:
         F.lit(1.0) - F.levenshtein(a, b) / longest)
 
 
+def token_sort_similarity(a: Column, b: Column) -> Column:
+    """M3: Levenshtein similarity of the tokens in alphabetical order."""
+    def in_order(x: Column) -> Column:
+        return F.array_join(F.array_sort(F.filter(F.split(processed(x), " "), lambda t: t != "")), " ")
+    return levenshtein_similarity(in_order(a), in_order(b))
+
+
+def token_set_similarity(a: Column, b: Column) -> Column:
+    """M3: best Levenshtein similarity among the shared tokens and the shared tokens followed by either rest."""
+    x, y = token_set(a), token_set(b)
+    both = F.array_sort(F.array_intersect(x, y))
+    shared = F.array_join(both, " ")
+    left = F.array_join(F.concat(both, F.array_sort(F.array_except(x, y))), " ")
+    right = F.array_join(F.concat(both, F.array_sort(F.array_except(y, x))), " ")
+    return F.greatest(levenshtein_similarity(shared, left), levenshtein_similarity(shared, right),
+                      levenshtein_similarity(left, right))
+
+
 def score_pairs(cands: DataFrame, scorer: str = "jaccard") -> DataFrame:
     """Add ``sim`` (unrounded, used for ranking) and ``score`` (0-100 int)."""
     if scorer == "jaccard":
         sim = F.col("jaccard")
     elif scorer == "levenshtein":
         sim = levenshtein_similarity(F.col("s"), F.col("r"))
-    elif scorer == "wratio":
-        from ..functions.similarity import wratio_udf
-        sim = wratio_udf(F.col("s"), F.col("r")) / F.lit(100.0)
     else:
         raise ValueError(f"unknown scorer {scorer!r}")
     return (cands.withColumn("sim", sim)
             .withColumn("score", F.round(F.col("sim") * F.lit(100.0)).cast("int")))
 
 
+def _subsets(toks: Column) -> Column:
+    """Every non-empty subset of a sorted token array, as text."""
+    masks = F.sequence(F.lit(1), F.pow(F.lit(2), F.size(toks)).cast("int") - 1)
+    return F.transform(masks, lambda m: F.array_join(F.filter(
+        toks, lambda t, i: F.floor(m / F.pow(F.lit(2), i)) % 2 == 1), " "))
+
+
+def best_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key: str, k: int = DEFAULT_K,
+               right_extra: tuple[str, ...] = ("choice_ord",)) -> DataFrame:
+    """Pairs that hold each left name's best ``k`` by token Jaccard, then ``choice_ord``; no threshold.
+
+    A register name is indexed under every subset of its tokens, and of the
+    names of one subset S and one length only the first ``k`` by ``choice_ord``
+    stay.  A left name looks up its own subsets and keeps a pair where S is all
+    that the two share.  Exact: let r, of b tokens, share just S with x.  The
+    first k names of (S, b) share S at least, so none scores below r, and those
+    that score the same come before it.  If r is not among them, k names beat
+    it.  A left name meets ``k`` names per subset and length at most, whatever
+    token is common.  Names of over ``SUBSET_TOKENS`` tokens are joined by
+    token with all others, each pair at its first shared token.
+    """
+    rx = list(right_extra)
+    L = _tokenised(left.select(left_key).distinct(), left_key, []).select(
+        F.col("name").alias("s"), F.array_sort("toks").alias("s_toks"), F.size("toks").alias("s_n"))
+    R = _tokenised(right, right_key, rx).select(
+        F.col("name").alias("r"), *rx, F.array_sort("toks").alias("r_toks"), F.size("toks").alias("r_n"))
+    first = Window.partitionBy("sub", "r_n").orderBy("choice_ord", "r")
+    index = (R.where(F.col("r_n") <= SUBSET_TOKENS).withColumn("sub", F.explode(_subsets(F.col("r_toks"))))
+             .withColumn("at", F.row_number().over(first)).where(F.col("at") <= k).drop("at"))
+    asked = L.where(F.col("s_n") <= SUBSET_TOKENS).withColumn("sub", F.explode(_subsets(F.col("s_toks"))))
+    shared = F.array_intersect("s_toks", "r_toks")
+    short = asked.join(index, "sub").where(F.array_join(shared, " ") == F.col("sub"))
+    lt, rt = L.withColumn("tok", F.explode("s_toks")), R.withColumn("tok", F.explode("r_toks"))
+    long = (lt.join(rt.where(F.col("r_n") > SUBSET_TOKENS), "tok")
+            .unionByName(lt.where(F.col("s_n") > SUBSET_TOKENS).join(rt.where(F.col("r_n") <= SUBSET_TOKENS), "tok"))
+            .where(shared[0] == F.col("tok")))
+    pairs = short.drop("sub").unionByName(long.drop("tok")).withColumn("inter", F.size(shared))
+    return (pairs.withColumn("jaccard", F.col("inter") / (F.col("s_n") + F.col("r_n") - F.col("inter")))
+            .select("s", "r", *rx, "s_toks", "r_toks", "inter", "jaccard"))
+
+
 def top_k(scored: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     """Best ``k`` per supplier by unrounded similarity, then register order."""
     w = Window.partitionBy("s").orderBy(F.desc("sim"), F.asc("choice_ord"))
@@ -148,12 +205,21 @@ def top_k(scored: DataFrame, k: int = DEFAULT_K) -> DataFrame:
 
 def match_top_k(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
                 scorer: str = "jaccard", k: int = DEFAULT_K,
-                min_similarity: float = DEFAULT_MIN_SIMILARITY,
+                min_similarity: float | None = None,
                 match_type: str | None = None, carry: tuple[str, ...] = ()) -> DataFrame:
     """Long match table NORMALIZED_SUPPLIER, rank, match, score, choice_ord
-    (plus match_type when given, plus register columns named in ``carry``)."""
-    cands = candidate_pairs(left, left_key, right, right_key, min_similarity,
-                            right_extra=("choice_ord", *carry))
+    (plus match_type when given, plus register columns named in ``carry``).
+
+    Without ``min_similarity`` the Jaccard scorer ranks all register names that
+    share a token; the Levenshtein scorer always ranks the pairs above a token
+    Jaccard (0.5 unless given).
+    """
+    extra = ("choice_ord", *carry)
+    if min_similarity is None and scorer == "jaccard":
+        cands = best_pairs(left, left_key, right, right_key, k, right_extra=extra)
+    else:
+        cands = candidate_pairs(left, left_key, right, right_key,
+                                DEFAULT_MIN_SIMILARITY if min_similarity is None else min_similarity, right_extra=extra)
     best = top_k(score_pairs(cands, scorer), k)
     cols = [F.col("s").alias("NORMALIZED_SUPPLIER"), F.col("rank").cast("int").alias("rank"),
             F.col("r").alias("match"), "score", "choice_ord", *carry]

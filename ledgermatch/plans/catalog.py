@@ -205,25 +205,26 @@ def q_register_asof_split(spark, sf):
                      RG.closed_by(F.col("removeddate")).alias("closed2010"))
 
 
-def _sup_regs(spark, sf):
-    """Suppliers and registers, each cut from its lineage with a reliable
+def _sup_regs(spark, sf, *match_types):
+    """Suppliers and the registers that ``match_types`` use (all without any), each cut from its lineage with a reliable
     checkpoint (shared checkpoint dir): the match plans that follow stay
     small, join these tables with themselves without re-deriving them, and
     a lost executor recomputes from the checkpoint, not from the feeds."""
     ensure_checkpoint_dir(spark)
     sup = P.suppliers_table(spark, sf).checkpoint()
-    regs = {t: df.checkpoint() for t, df in P.all_registers(spark, sf).items()}
+    used = {"spine" if t.startswith("spine") else t for t in match_types}
+    regs = {t: df.checkpoint() for t, df in P.all_registers(spark, sf).items() if not used or t in used}
     return sup, regs
 
 
 def q_exact_match(spark, sf):
-    sup, regs = _sup_regs(spark, sf)
+    sup, regs = _sup_regs(spark, sf, "ch")
     reg, key = P.register_for("ch", P.matchable_registers(regs))
     return M.exact_matches(RV.matchable(sup), "NORMALIZED_SUPPLIER", reg, key)
 
 
 def _candidates(spark, sf, match_type):
-    sup, regs = _sup_regs(spark, sf)
+    sup, regs = _sup_regs(spark, sf, match_type)
     reg, key = P.register_for(match_type, P.matchable_registers(regs))
     return M.candidate_pairs(RV.matchable(sup), "NORMALIZED_SUPPLIER", reg, key)
 
@@ -241,9 +242,19 @@ def q_pair_levenshtein(spark, sf):
     return c.select("s", "r", M.levenshtein_similarity(F.col("s"), F.col("r")).alias("sim"))
 
 
+def q_pair_token_sort(spark, sf):
+    c = _candidates(spark, sf, "ch")
+    return c.select("s", "r", M.token_sort_similarity(F.col("s"), F.col("r")).alias("sim"))
+
+
+def q_pair_token_set(spark, sf):
+    c = _candidates(spark, sf, "ch")
+    return c.select("s", "r", M.token_set_similarity(F.col("s"), F.col("r")).alias("sim"))
+
+
 def make_top5(match_type, scorer):
     def q(spark, sf):
-        sup, regs = _sup_regs(spark, sf)
+        sup, regs = _sup_regs(spark, sf, match_type)
         return P.matches(sup, regs, match_type, scorer=scorer).drop("match_type")
     return q
 
@@ -258,12 +269,12 @@ def q_matches_all(spark, sf):
 
 
 def q_matches_wide(spark, sf):
-    sup, regs = _sup_regs(spark, sf)
+    sup, regs = _sup_regs(spark, sf, "ch")
     return M.wide(P.matches(sup, regs, "ch"), "ch")
 
 
 def q_unnormalise(spark, sf):
-    sup, regs = _sup_regs(spark, sf)
+    sup, regs = _sup_regs(spark, sf, "ch")
     long = P.matches(sup, regs, "ch", with_names=True)
     return RV.unnormalise(long, "CompanyName").drop("match_type")
 
@@ -289,11 +300,6 @@ def q_match_bands(spark, sf):
     return RV.match_bands(q_matches_all(spark, sf)).withColumn("avg_score", F.round("avg_score", 6))
 
 
-def q_fuzzy_top5_wratio(spark, sf):
-    sup, regs = _sup_regs(spark, sf)
-    return P.matches(sup, regs, "nhsdigital", scorer="wratio").drop("match_type")
-
-
 SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_counts": q_feed_counts,
     "feed_nhs": q_feed_nhs,
@@ -327,6 +333,8 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "match_candidates": q_match_candidates,
     "pair_token_jaccard": q_pair_token_jaccard,
     "pair_levenshtein": q_pair_levenshtein,
+    "pair_token_sort": q_pair_token_sort,
+    "pair_token_set": q_pair_token_set,
     "fuzzy_top5_jaccard": make_top5("ch", "jaccard"),
     "fuzzy_top5_lev": make_top5("ch", "levenshtein"),
     "fuzzy_top5_spine_notclosed": make_top5("spine_notclosed2010", "jaccard"),
@@ -337,7 +345,6 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unnormalise": q_unnormalise,
     "review_wide": q_review_wide,
     "match_bands": q_match_bands,
-    "fuzzy_top5_wratio": q_fuzzy_top5_wratio,
 }
 
 
@@ -372,13 +379,13 @@ def _full(final: str, extra: list | None = None) -> str:
 
 def _top5_sql(match_type, scorer):
     return _full("SELECT s AS NORMALIZED_SUPPLIER, CAST(rank AS INTEGER) AS rank, r AS match, score, choice_ord "
-                 "FROM m_top", O.match_ctes(match_type, scorer))
+                 "FROM m_top", O.match_ctes(match_type, scorer, 0.0 if scorer == "jaccard" else 0.5))
 
 
 def _matches_all_sql():
     ctes, parts = [], []
     for i, mt in enumerate(P.MATCH_TYPES):
-        ctes += O.match_ctes(mt, "jaccard", prefix=f"m{i}")
+        ctes += O.match_ctes(mt, "jaccard", 0.0, prefix=f"m{i}")
         parts.append(f"SELECT '{mt}' AS match_type, s AS NORMALIZED_SUPPLIER, CAST(rank AS INTEGER) AS rank, "
                      f"r AS match, score, choice_ord FROM m{i}_top")
     return ctes, " UNION ALL ".join(parts)
@@ -388,7 +395,7 @@ def _review_sql():
     ctes, selects, joins = [], [], []
     for t in RV.REVIEW_TYPES:
         rel, key, name = O.REG_KEYS[t]
-        ctes += O.match_ctes(t, "jaccard", prefix=f"m_{t}")
+        ctes += O.match_ctes(t, "jaccard", 0.0, prefix=f"m_{t}")
         ctes.append((f"names_{t}", f"SELECT {key} AS match, arg_min({name}, choice_ord) AS notnormalised "
                                    f"FROM {rel} GROUP BY {key}"))
         aggs = []
@@ -481,6 +488,14 @@ def oracle_sql() -> dict[str, str]:
         "pair_levenshtein": _full("SELECT s, r, CASE WHEN greatest(length(s), length(r)) = 0 THEN 1.0 ELSE "
                                   "1.0 - levenshtein(s, r) / greatest(length(s), length(r)) END AS sim FROM m_cand",
                                   O.match_ctes("ch", "jaccard")),
+        "pair_token_sort": _full(f"SELECT s, r, {O.levenshtein('sa', 'ra')} AS sim FROM (SELECT s, r, {O.token_sorted('s')} AS sa, "
+                                 f"{O.token_sorted('r')} AS ra FROM m_cand)", O.match_ctes("ch", "jaccard")),
+        "pair_token_set": _full(
+            f"SELECT s, r, greatest({O.levenshtein('b', 'l')}, {O.levenshtein('b', 'q')}, {O.levenshtein('l', 'q')}) AS sim "
+            "FROM (SELECT s, r, array_to_string(i, ' ') AS b, array_to_string(i || list_sort(list_filter(x, lambda t: NOT list_contains(y, t))), ' ') AS l, "
+            "array_to_string(i || list_sort(list_filter(y, lambda t: NOT list_contains(x, t))), ' ') AS q "
+            "FROM (SELECT *, list_sort(list_filter(x, lambda t: list_contains(y, t))) AS i FROM (SELECT s, r, "
+            f"{O.token_list('s')} AS x, {O.token_list('r')} AS y FROM m_cand)))", O.match_ctes("ch", "jaccard")),
         "fuzzy_top5_jaccard": _top5_sql("ch", "jaccard"),
         "fuzzy_top5_lev": _top5_sql("ch", "levenshtein"),
         "fuzzy_top5_spine_notclosed": _top5_sql("spine_notclosed2010", "jaccard"),
@@ -491,12 +506,12 @@ def oracle_sql() -> dict[str, str]:
             f"max(CASE WHEN rank = {i} THEN r END) AS best_ch_match_{i}, "
             f"CAST(max(CASE WHEN rank = {i} THEN score END) AS DOUBLE) AS best_ch_match_{i}_score"
             for i in range(1, 6))
-            + " FROM m_top GROUP BY s", O.match_ctes("ch", "jaccard")),
+            + " FROM m_top GROUP BY s", O.match_ctes("ch", "jaccard", 0.0)),
         "unnormalise": _full("SELECT m.r AS match, s AS NORMALIZED_SUPPLIER, CAST(rank AS INTEGER) AS rank, score, "
                              "m.choice_ord, n.notnormalised FROM m_top m LEFT JOIN "
                              "(SELECT NORMALIZED_CompanyName AS match, arg_min(CompanyName, choice_ord) AS notnormalised "
                              "FROM reg_ch GROUP BY NORMALIZED_CompanyName) n ON n.match = m.r",
-                             O.match_ctes("ch", "jaccard")),
+                             O.match_ctes("ch", "jaccard", 0.0)),
         "review_wide": _review_sql(),
         "match_bands": _full(f"SELECT match_type, {band} AS band, count(*) AS n_suppliers, "
                              "round(avg(score), 6) AS avg_score FROM (" + all_final + ") WHERE rank = 1 GROUP BY ALL",

@@ -45,35 +45,35 @@ def quote_escape(x: str) -> str:
     return f"replace({x}, '\"', '[DQ]')"
 
 
-DUCK_MIXED_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "%Y-%m-%d"),
-    (r"^\d{4}-\d{1,2}-\d{1,2} \d{1,2}:\d{2}:\d{2}$", "%Y-%m-%d %H:%M:%S"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "%m/%d/%Y"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "%d/%m/%Y"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "%m-%d-%Y"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "%d-%m-%Y"),
-    (r"^\d{8}$", "%Y%m%d"),
-    (r"^\d{4}/\d{1,2}/\d{1,2}$", "%Y/%m/%d"),
-]
-DUCK_DAYFIRST_FORMATS = [
-    (r"^\d{4}-\d{1,2}-\d{1,2}$", "%Y-%m-%d"),
-    (r"^\d{1,2}/\d{1,2}/\d{4}$", "%d/%m/%Y"),
-    (r"^\d{1,2}-\d{1,2}-\d{4}$", "%d-%m-%Y"),
-]
-
-
-def _first_parse(x: str, formats) -> str:
-    parts = [f"CASE WHEN regexp_matches({x}, {lit(shape)}) THEN try_strptime({x}, {lit(fmt)}) END"
-             for shape, fmt in formats]
-    return f"CAST(coalesce({', '.join(parts)}) AS DATE)"
+DUCK_MONTH_FIRST = ["%m/%d/%Y", "%d/%m/%Y"]
+DUCK_DAY_FIRST = ["%d/%m/%Y"]
+DUCK_NAMED = [(r"^\d{1,2} [A-Za-z]{3} \d{4}$", "%d %b %Y"), (r"^\d{1,2} [A-Za-z]{4,9} \d{4}$", "%d %B %Y"),
+              (r"^[A-Za-z]{3} \d{1,2} \d{4}$", "%b %d %Y"), (r"^[A-Za-z]{4,9} \d{1,2} \d{4}$", "%B %d %Y")]
+DUCK_YEAR_FIRST = [(r"^\d{4}/\d{1,2}/\d{1,2}$", "%Y/%m/%d"), (r"^\d{8}$", "%Y%m%d"), (r"^\d{4}$", "%Y")]
+
+
+def _parse_date(x: str, numeric: list[str]) -> str:
+    """Without a time, with four-digit years, first format that parses."""
+    x = (rf"regexp_replace(trim({x}), '[ T]+\d{{1,2}}:\d{{2}}(:\d{{2}}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|UTC|[+-]\d{{2}}:?\d{{2}}))?$', '')")
+    slashed = rf"regexp_replace({x}, '^(\d+)[-./](\d+)[-./](\d+)$', '\1/\2/\3')"
+    named = rf"regexp_replace({x}, '[-./, ]+', ' ', 'g')"
+    wide = [rf"regexp_replace(regexp_replace({y}, '^(.*[^0-9])([0-6]\d)$', '\g20\2'), '^(.*[^0-9])([7-9]\d)$', '\g19\2')".replace(
+        r"\g", r"\1") for y in (slashed, named)]
+    tries = [f"CASE WHEN regexp_matches({wide[0]}, '^\\d{{1,2}}/\\d{{1,2}}/\\d{{4}}$') THEN try_strptime({wide[0]}, {lit(f)}) END"
+             for f in numeric]
+    tries += [f"CASE WHEN regexp_matches({slashed}, {lit(shape)}) THEN try_strptime({slashed}, {lit(f)}) END"
+              for shape, f in DUCK_YEAR_FIRST]
+    tries += [f"CASE WHEN regexp_matches({wide[1]}, {lit(shape)}) THEN try_strptime({wide[1]}, {lit(f)}) END"
+              for shape, f in DUCK_NAMED]
+    return f"CAST(coalesce({', '.join(tries)}) AS DATE)"
 
 
 def parse_mixed_date(x: str) -> str:
-    return _first_parse(f"split_part(CAST({x} AS VARCHAR), 'T', 1)", DUCK_MIXED_FORMATS)
+    return _parse_date(f"split_part(CAST({x} AS VARCHAR), 'T', 1)", DUCK_MONTH_FIRST)
 
 
 def parse_dayfirst(x: str) -> str:
-    return _first_parse(x, DUCK_DAYFIRST_FORMATS)
+    return _parse_date(x, DUCK_DAY_FIRST)
 
 
 def fmt_dmy(x: str) -> str:
@@ -282,6 +282,17 @@ def register_rel(match_type: str) -> tuple[str, str]:
     return f"SELECT {key} AS r, choice_ord FROM {rel} WHERE {cond}", key
 
 
+def levenshtein(a: str, b: str) -> str:
+    return (f"CASE WHEN greatest(length({a}), length({b})) = 0 THEN 1.0 ELSE "
+            f"1.0 - levenshtein({a}, {b}) / greatest(length({a}), length({b})) END")
+
+
+def token_sorted(x: str) -> str:
+    """All tokens in alphabetical order, repeats included."""
+    return ("array_to_string(list_sort(list_filter(string_split(lower(regexp_replace("
+            f"{x}, '[^A-Za-z0-9]', ' ', 'g')), ' '), lambda t: t <> '')), ' ')")
+
+
 def match_ctes(match_type: str, scorer: str, t: float = DEFAULT_MIN_SIMILARITY,
                prefix: str = "m") -> list[tuple[str, str]]:
     """Brute-force token-Jaccard candidates (all pairs sharing a token),

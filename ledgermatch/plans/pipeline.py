@@ -88,7 +88,7 @@ def matchable_registers(regs: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 # -- matching and review ------------------------------------------------------------
 def matches(supplier_df: DataFrame, regs: dict[str, DataFrame], match_type: str,
-            scorer: str = "jaccard", min_similarity: float = matching.DEFAULT_MIN_SIMILARITY,
+            scorer: str = "jaccard", min_similarity: float | None = None,
             with_names: bool = False) -> DataFrame:
     reg, key = register_for(match_type, matchable_registers(regs))
     left = review.matchable(supplier_df)
@@ -100,7 +100,7 @@ def matches(supplier_df: DataFrame, regs: dict[str, DataFrame], match_type: str,
 
 
 def review_wide(supplier_df: DataFrame, regs: dict[str, DataFrame], scorer: str = "jaccard",
-                min_similarity: float = matching.DEFAULT_MIN_SIMILARITY,
+                min_similarity: float | None = None,
                 long_by_type: dict[str, DataFrame] | None = None) -> DataFrame:
     named = {}
     for t in review.REVIEW_TYPES:
@@ -113,7 +113,7 @@ def review_wide(supplier_df: DataFrame, regs: dict[str, DataFrame], scorer: str
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
         scorer: str = "jaccard", profile: str = "notebook",
-        min_similarity: float = matching.DEFAULT_MIN_SIMILARITY) -> dict[str, str]:
+        min_similarity: float | None = None) -> dict[str, str]:
     """Run every stage and write it as Parquet; returns stage -> path.
 
     Stage outputs are read back before the next stage, which cuts lineage

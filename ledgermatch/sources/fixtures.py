@@ -43,10 +43,26 @@ SUPPLIER_TEXT = f"""CASE (l_orderkey * 7 + l_linenumber) % 16
   ELSE {BASE_NAME} END"""
 
 SHIP_TEXT = "cast(l_shipdate AS string)"
-DATE_TEXT = f"""CASE WHEN l_linenumber = 7 THEN NULL
-  WHEN l_orderkey % 3 = 0 THEN substr({SHIP_TEXT}, 1, 10) || 'T00:00:00'
-  WHEN l_orderkey % 3 = 1 THEN substr({SHIP_TEXT}, 9, 2) || '/' || substr({SHIP_TEXT}, 6, 2) || '/' || substr({SHIP_TEXT}, 1, 4)
-  ELSE substr({SHIP_TEXT}, 1, 10) END"""
+_DAY, _MONTH, _YEAR = (f"substr({SHIP_TEXT}, {at})" for at in ("9, 2", "6, 2", "1, 4"))
+_NAMES = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+_NAME = "CASE " + _MONTH + "".join(f" WHEN '{i:02d}' THEN '{n}'" for i, n in enumerate(_NAMES, 1)) + " END"
+# Every shape that payment dates come in, and some that are none.
+DATE_TEXT = f"""CASE WHEN l_linenumber = 7 THEN NULL ELSE CASE l_orderkey % 15
+  WHEN 0 THEN substr({SHIP_TEXT}, 1, 10) || 'T00:00:00'
+  WHEN 1 THEN {_DAY} || '/' || {_MONTH} || '/' || {_YEAR}
+  WHEN 2 THEN {_DAY} || '/' || {_MONTH} || '/' || {_YEAR} || ' 00:00'
+  WHEN 3 THEN substr({SHIP_TEXT}, 1, 10) || ' 10:30'
+  WHEN 4 THEN substr({SHIP_TEXT}, 1, 10) || ' 10:30:15.250'
+  WHEN 5 THEN {_DAY} || ' ' || {_NAME} || ' ' || {_YEAR}
+  WHEN 6 THEN {_DAY} || '-' || {_NAME} || '-' || substr({_YEAR}, 3, 2)
+  WHEN 7 THEN {_DAY} || '/' || {_MONTH} || '/' || substr({_YEAR}, 3, 2)
+  WHEN 8 THEN {_DAY} || '.' || {_MONTH} || '.' || {_YEAR}
+  WHEN 9 THEN {_YEAR} || {_MONTH} || {_DAY}
+  WHEN 10 THEN {_NAME} || ' ' || {_DAY} || ', ' || {_YEAR}
+  WHEN 11 THEN {_YEAR}
+  WHEN 12 THEN upper({_DAY} || ' ' || {_NAME} || ' ' || {_YEAR})
+  WHEN 13 THEN 'n/a ' || {_YEAR}
+  ELSE substr({SHIP_TEXT}, 1, 10) END END"""
 
 DEPT_TEXT = "CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE n_name END"
 
@@ -100,7 +116,7 @@ JOIN {customer} ON c_custkey = o_custkey
 JOIN {nation} ON n_nationkey = c_nationkey
 """
 
-# Feed 3, contract awards: the returned line items, with VCSE flag and region.
+# Feed 3, contract awards: the line items, with VCSE flag and region.
 CONTRACTS_SQL = """
 SELECT 'Contracts Finder' AS data_source,
        date AS awardedDate, supplier AS awardedSupplier, amount AS awardedValue,
@@ -109,7 +125,6 @@ SELECT 'Contracts Finder' AS data_source,
        CASE WHEN l_orderkey % 11 = 0 THEN NULL ELSE r_name END AS region,
        2 AS feed_ord, l_orderkey AS k1, l_linenumber AS k2, l_partkey AS k3, l_suppkey AS k4
 FROM ({payments}) p
-WHERE l_returnflag = 'R'
 """
 
 # Company register.  The current snapshot (priority 0) holds every part and

@@ -1,10 +1,11 @@
-"""Matching: the prefix-filtered join equals brute force; top-k ties; WRatio."""
+"""Matching: the prefix-filtered join equals brute force; top-k ties; no threshold."""
 
 import itertools
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from ledgermatch.functions.similarity import wratio
 from ledgermatch.operators import matching as M
 
 LEFT = ["ACME LTD", "ACME TRADING LTD", "BETA SERVICES", "GAMMA RAY LTD", "DELTA", "ACME",
@@ -52,22 +53,37 @@ def test_top_k_ties_by_register_order(spark):
     assert rows == exp
 
 
-def test_wratio_goldens():
-    assert round(wratio("abcd", "abce")) == 75
-    assert round(wratio("acme ltd", "acme ltd london bridge office")) == 90
-    assert wratio("same name", "same name") == 100
-    assert wratio("", "x") == 0
-
-
-def test_wratio_top5_matches_python_brute_force(spark):
-    left, right = frames(spark)
-    top = M.match_top_k(left, "NORMALIZED_SUPPLIER", right, "name", scorer="wratio",
-                        min_similarity=0.3).collect()
-    bf = brute_force(0.3)
-    for s in LEFT:
-        ranked = sorted([(-wratio(s, r), RIGHT.index(r), r) for (s2, r) in bf if s2 == s])[:5]
-        got = sorted([(r.rank, r.match) for r in top if r.NORMALIZED_SUPPLIER == s])
-        assert [m for _, m in got] == [r for _, _, r in ranked]
+@pytest.mark.parametrize("subset_tokens", [10, 2])
+def test_top_k_without_threshold_equals_all_pairs(spark, monkeypatch, subset_tokens):
+    monkeypatch.setattr(M, "SUBSET_TOKENS", subset_tokens)  # 2: long names too
+    rng = random.Random(3)
+    words = ["LTD", "LTD", "CO", "ACME", "BETA", "RAY", "ZETA", "OMEGA", "DELTA"]
+    names = sorted({" ".join(rng.sample(words, rng.randint(1, 5))) for _ in range(400)})
+    rng.shuffle(names)
+    left, right = names[:120], names[60:]
+    top = M.match_top_k(spark.createDataFrame([(x,) for x in left], "NORMALIZED_SUPPLIER string"), "NORMALIZED_SUPPLIER",
+                        spark.createDataFrame([(x, i) for i, x in enumerate(right)], "name string, choice_ord long"), "name")
+    got = {(r.NORMALIZED_SUPPLIER, r.rank): r.choice_ord for r in top.collect()}
+    want = {}
+    for s in left:
+        a = set(s.split())
+        scored = [(-len(a & set(r.split())) / len(a | set(r.split())), i) for i, r in enumerate(right)]
+        for k, (_, i) in enumerate(sorted(x for x in scored if x[0] < 0)[:5], 1):
+            want[(s, k)] = i
+    assert got == want
+
+
+def test_common_token_does_not_join_all_names(spark):
+    left = spark.range(3000).selectExpr("concat('X', id, ' LTD') AS NORMALIZED_SUPPLIER")
+    right = spark.range(3000).selectExpr("concat('Y', id, ' LTD') AS name", "id AS choice_ord")
+    assert M.best_pairs(left, "NORMALIZED_SUPPLIER", right, "name").count() == 3000 * 5
+
+
+def test_token_sort_and_set(spark):
+    row = spark.sql("SELECT 'ACME LTD' a, 'LTD ACME' b, 'ACME LTD NORTH' c").select(
+        M.token_sort_similarity(F.col("a"), F.col("b")).alias("x"), M.token_set_similarity(F.col("a"), F.col("c")).alias("y"),
+        M.token_sort_similarity(F.col("a"), F.col("c")).alias("z")).first()
+    assert (row.x, row.y, round(row.z, 4)) == (1.0, 1.0, round(1 - 6 / 14, 4))
 
 
 def test_no_cartesian_product_and_no_python_in_native_plan(spark):
