@@ -50,15 +50,16 @@ def quote_escape(col: Column) -> Column:
 # Regex definition of "text of an HTML fragment": drop comments, the bodies
 # of script and style elements, and tags; then decode the common named
 # entities.  Entities are decoded after tags are gone so a decoded '<' is
-# never taken for a tag, and '&amp;' goes last so '&amp;lt;' yields '&lt;'.
+# never taken for a tag; '&amp;' and numbered characters go last, in one pass,
+# so '&amp;lt;' yields '&lt;' and '&amp;#39;' yields '&#39;'.
 HTML_ENTITIES = [
     ("(?i)&lt;", "<"),
     ("(?i)&gt;", ">"),
     ("(?i)&quot;", '"'),
     ("&apos;", "'"),
     ("&nbsp;", "\u00a0"),
-    ("(?i)&amp;", "&"),
 ]
+HTML_CODE = r"(?i)&(?:amp|#[0-9]{1,7}|#x[0-9a-f]{1,6});"
 HTML_COMMENT = r"(?s)<!--.*?-->"
 HTML_SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
 HTML_STYLE = r"(?is)<style\b[^>]*>.*?</style\s*>"
@@ -66,13 +67,29 @@ HTML_TAG = r"<[A-Za-z/!?][^>]*>"
 
 
 def strip_html(col: Column) -> Column:
+    """The text of an HTML fragment; text without ``<`` and ``&`` is left alone."""
     s = F.regexp_replace(col, HTML_COMMENT, "")
     s = F.regexp_replace(s, HTML_SCRIPT, "")
     s = F.regexp_replace(s, HTML_STYLE, "")
     s = F.regexp_replace(s, HTML_TAG, "")
     for pattern, repl in HTML_ENTITIES:
         s = F.regexp_replace(s, pattern, repl)
-    return s
+    # bound by a lambda, so that the passes above run once
+    s = F.get(F.transform(F.array(s), lambda t: F.when(t.contains("&"), _decoded(t)).otherwise(t)), F.lit(0))
+    return F.when(col.contains("<") | col.contains("&"), s).otherwise(col)
+
+
+def _decoded(s: Column) -> Column:
+    """``&amp;`` and numbered characters; a number that is no character becomes U+FFFD."""
+    def char(c: Column) -> Column:
+        n = F.when(F.lower(c).startswith("&#x"), F.conv(F.substring(c, F.lit(4), F.length(c) - 4), 16, 10)).otherwise(
+            F.substring(c, F.lit(3), F.length(c) - 3)).try_cast("int")
+        valid = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
+        point = F.lpad(F.hex(F.when(valid, n).otherwise(0xFFFD)), 8, "0")
+        return F.when(F.lower(c) == "&amp;", "&").otherwise(F.decode(F.unhex(point), "UTF-32"))
+
+    codes = F.transform(F.regexp_extract_all(s, F.lit(HTML_CODE), F.lit(0)), char)
+    return F.array_join(F.zip_with(F.split(s, HTML_CODE, -1), codes, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
 
 
 # -- F4: organisation counter ------------------------------------------------

@@ -103,7 +103,7 @@ def drop_audit(payments: DataFrame) -> DataFrame:
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def clean(payments: DataFrame, quote_escape_supplier: bool = True) -> DataFrame:
+def clean(payments: DataFrame) -> DataFrame:
     """Rows that pass every rule, shaped like the reference's cleaned payments.
 
     ``SUPPLIER_TEXT`` is the supplier text before the organisation split; the

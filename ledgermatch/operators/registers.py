@@ -16,6 +16,8 @@ from ..functions.normalise import normalise_frame
 from ..functions.text import quote_escape
 
 ASOF_DATE = "2010-01-01"
+# Row numbers of a register file lie below this, so a file's rank times it keeps the files apart.
+ROWS_PER_FILE = 2 ** 56
 
 
 def as_text(col: Column) -> Column:
@@ -45,19 +47,14 @@ def drop_ambiguous(df: DataFrame, name_col: str, order_col: str) -> DataFrame:
 def company_snapshot_merge(raw: DataFrame) -> DataFrame:
     """Current file first, then the historical parts; the first row
     of each company number wins.  ``choice_ord`` records that order."""
-    df = raw.withColumn("choice_ord", F.col("src_priority").cast("long") * F.lit(10**12) + F.col("k1"))
+    df = raw.withColumn("choice_ord", F.col("src_priority").cast("long") * F.lit(ROWS_PER_FILE) + F.col("k1"))
     df = df.select("CompanyName", "CompanyNumber", "PostTown", "PostCode", "choice_ord")
     return keep_first(df, "CompanyNumber", ["choice_ord"])
 
 
-def company_register(raw: DataFrame, merge_history: bool = True) -> DataFrame:
+def company_register(raw: DataFrame) -> DataFrame:
     """A3/A10: normalised, unambiguous company register."""
-    if merge_history:
-        df = company_snapshot_merge(raw)
-    else:
-        df = (raw.filter(F.col("src_priority") == 0)
-              .withColumn("choice_ord", F.col("k1").cast("long"))
-              .select("CompanyName", "CompanyNumber", "PostTown", "PostCode", "choice_ord"))
+    df = company_snapshot_merge(raw)
     df = normalise_frame(df.withColumn("NORMALIZED_CompanyName", as_text(F.col("CompanyName"))),
                          "NORMALIZED_CompanyName", "NORMALIZED_CompanyName")
     df = drop_ambiguous(df, "NORMALIZED_CompanyName", "choice_ord")

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_range_text
 from ..functions.normalise import normalise_frame
-from ..functions.text import org_counter, quote_escape
+from ..functions.text import org_counter, quote_escape, supplier_clean
 
 LIST_COLUMNS = {"dept": "dept", "contractsfinder_region": "region",
                 "contractsfinder_awardedToVcse": "vcse"}
@@ -84,11 +84,13 @@ def nhs_ids(nhs_feed: DataFrame) -> DataFrame:
             .withColumnRenamed("supplier", "nhs_supplier"))
 
 
-def suppliers(clean_rows: DataFrame, nhs_feed: DataFrame, profile: str = "notebook") -> DataFrame:
+def suppliers(clean_rows: DataFrame, nhs_feed: DataFrame, profile: str = "notebook",
+              normalise_key: bool = False) -> DataFrame:
     """The unique-suppliers table (A8) in the reference's column order.
 
     ``profile='script'`` reproduces the batch script's variants: dept count
-    by counting ';' in the printed list, region list never blanked.
+    by counting ';' in the printed list, region list never blanked.  With
+    ``normalise_key`` the NHS ids join on the cleaned supplier text.
     """
     agg = rollup(clean_rows)
     org = org_counter(F.col("SUPPLIER"))
@@ -97,6 +99,8 @@ def suppliers(clean_rows: DataFrame, nhs_feed: DataFrame, profile: str = "notebo
     # D3: fan-out join on raw NHS supplier text; the name columns are dropped
     # after the join, so duplicate rows can reappear (as in the reference).
     ids = nhs_ids(nhs_feed)
+    if normalise_key:
+        ids = ids.withColumn("nhs_supplier", supplier_clean(F.col("nhs_supplier"))).distinct()
     joined = agg.join(ids, agg["SUPPLIER"] == ids["nhs_supplier"], "left")
     joined = joined.filter(F.col("ORG_COUNT") == 1)
     region = F.col("region")

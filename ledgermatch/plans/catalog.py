@@ -32,6 +32,10 @@ UNION_COLUMNS = ["data_source", "amount", "SUPPLIER", "date", "dept",
                  "contractsfinder_awardedToVcse", "contractsfinder_region"]
 
 
+OUTPUT_REST = ["data_source", "contractsfinder_awardedToVcse", "contractsfinder_region", "NHSSpend_CompanyNumber",
+               "NHSSpend_CharityRegNo", "NHSSpend_CharitySubNo", "NHSSpend_isCIC"]
+
+
 def list_text(col: Column) -> Column:
     return F.array_join(F.transform(col, lambda x: F.coalesce(x.cast("string"), F.lit("NULL"))), "|")
 
@@ -120,7 +124,7 @@ def q_payments_clean(spark, sf):
 
 def q_payments_output(spark, sf):
     out = PM.payments_output(P.clean_payments(spark, sf))
-    return keyed(out, "SUPPLIER", "NORMALIZED_SUPPLIER", "ORG_COUNT", "date", "amount", "dept")
+    return keyed(out, "SUPPLIER", "NORMALIZED_SUPPLIER", "ORG_COUNT", "date", "amount", "dept", *OUTPUT_REST)
 
 
 def _all_names(spark, sf) -> DataFrame:
@@ -178,6 +182,11 @@ def q_supplier_lists(spark, sf):
                     list_text(F.col("vcse")).alias("vcse_list"))
 
 
+def q_supplier_date_list(spark, sf):
+    r = SP.date_list(P.clean_payments(spark, sf))
+    return r.select("SUPPLIER", list_text(F.col("date_list")).alias("date_list"))
+
+
 def q_date_range(spark, sf):
     r = SP.rollup(P.clean_payments(spark, sf))
     return r.select("SUPPLIER", D.date_range_text(F.col("min_date"), F.col("max_date")).alias("date"))
@@ -319,6 +328,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **{f"norm_{s}": make_norm_stage(s) for s in STAGE_NAMES if s != "finish"},
     "supplier_rollup": q_supplier_rollup,
     "supplier_lists": q_supplier_lists,
+    "supplier_date_list": q_supplier_date_list,
     "date_range": q_date_range,
     "suppliers": q_suppliers,
     "suppliers_script": q_suppliers_script,
@@ -454,13 +464,15 @@ def oracle_sql() -> dict[str, str]:
             O.clean_ctes() + [("row_names!", O.normalise_rel("SELECT DISTINCT SUPPLIER_TEXT FROM clean",
                                                             "SUPPLIER_TEXT", "NORMALIZED_SUPPLIER"))],
             f"SELECT {KEYS_SQL}, {O.quote_escape('SUPPLIER')} AS SUPPLIER, NORMALIZED_SUPPLIER, ORG_COUNT, "
-            "date, amount, dept FROM clean LEFT JOIN row_names USING (SUPPLIER_TEXT)"),
+            f"date, amount, dept, {', '.join(OUTPUT_REST)} FROM clean LEFT JOIN row_names USING (SUPPLIER_TEXT)"),
         "normalise_name": O.normalise_rel(_names_sql(), "name", "normalised"),
         **{f"norm_{s}": _norm_stage_sql(s) for s in STAGE_NAMES if s != "finish"},
         "supplier_rollup": _sup("SELECT SUPPLIER, round(PAYMENT_TOTAL_AMOUNT, 2) AS PAYMENT_TOTAL_AMOUNT, "
                                 "PAYMENT_TOTAL_COUNT FROM rolled"),
         "supplier_lists": _sup("SELECT SUPPLIER, dept_txt AS dept_list, region_txt AS region_list, "
                                "vcse_txt AS vcse_list FROM rolled_l"),
+        "supplier_date_list": O.with_ctes(O.clean_ctes(), f"SELECT SUPPLIER, {O.list_text('date', 'o, date')} AS date_list FROM ("
+                                          "SELECT SUPPLIER, date, min(row_ord) AS o FROM clean GROUP BY ALL) GROUP BY SUPPLIER"),
         "date_range": _sup("SELECT SUPPLIER, CASE WHEN min_date IS NULL THEN '' WHEN min_date = max_date THEN "
                            f"{O.fmt_dmy('min_date')} ELSE {O.fmt_dmy('min_date')} || '-' || "
                            f"{O.fmt_dmy('max_date')} END AS date FROM rolled"),

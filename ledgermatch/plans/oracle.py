@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from ..functions import rules as R
 from ..functions.normalise import DUCKDB, WS_CLASS, normalise_sql
-from ..functions.text import HTML_COMMENT, HTML_ENTITIES, HTML_SCRIPT, HTML_STYLE, HTML_TAG, NUMERIC_TEXT
+from ..functions.text import HTML_CODE, HTML_COMMENT, HTML_ENTITIES, HTML_SCRIPT, HTML_STYLE, HTML_TAG, NUMERIC_TEXT
 from ..operators.matching import DEFAULT_MIN_SIMILARITY
 from ..sources.fixtures import duckdb_fixture
 
@@ -38,7 +38,12 @@ def strip_html(x: str) -> str:
         s = f"regexp_replace({s}, {lit(pattern)}, '', 'g')"
     for pattern, repl in HTML_ENTITIES:
         s = f"regexp_replace({s}, {lit(pattern)}, {lit(repl)}, 'g')"
-    return s
+    number = "try_cast(CASE WHEN c[3] IN ('x', 'X') THEN '0x' || c[4:-2] ELSE c[3:-2] END AS INTEGER)"
+    char = (f"CASE WHEN lower(c) = '&amp;' THEN '&' WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 "
+            f"THEN chr({number}) ELSE '\ufffd' END")
+    decoded = (f"array_to_string(list_transform(list_zip(string_split_regex(t, {lit(HTML_CODE)}), list_transform("
+               f"regexp_extract_all(t, {lit(HTML_CODE)}), lambda c: {char})), lambda p: p[1] || coalesce(p[2], '')), '')")
+    return f"list_transform([{s}], lambda t: CASE WHEN contains(t, '&') THEN {decoded} ELSE t END)[1]"
 
 
 def quote_escape(x: str) -> str:
@@ -220,7 +225,7 @@ def as_text(x: str) -> str:
 def register_ctes() -> list[tuple[str, str]]:
     company_first = ("SELECT CompanyNumber, arg_min({'CompanyName': CompanyName, 'PostTown': PostTown, "
                      "'PostCode': PostCode, 'choice_ord': choice_ord}, choice_ord) AS r "
-                     "FROM (SELECT *, CAST(src_priority AS BIGINT) * 1000000000000 + k1 AS choice_ord "
+                     "FROM (SELECT *, CAST(src_priority AS BIGINT) * 72057594037927936 + k1 AS choice_ord "
                      f"FROM ({duckdb_fixture('company')})) GROUP BY CompanyNumber")
     company_norm = normalise_rel(
         "SELECT CompanyNumber, r.CompanyName AS CompanyName, r.PostTown AS PostTown, "

@@ -4,11 +4,13 @@ Each function is ``(spark, sf_dir, ...) -> DataFrame`` and lazy.  ``run``
 executes the whole pipeline stage by stage and writes every stage to
 Parquet under an output folder (default: below the cluster's checkpoint
 dir), so later stages read a short lineage and any stage can be re-run on
-its own, like the reference's CSV hand-offs.
+its own (``from_stage``), like the reference's CSV hand-offs.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +20,8 @@ from ..sources.fixtures import fixture
 
 # Which register each match type runs against (notebook order).
 MATCH_TYPES = ["spine", "spine_notclosed2010", "spine_closed2010", "ch", "nhsdigital"]
+STAGES = ["payments_clean", "payments_output", "suppliers", "register_spine", "register_ch", "register_nhsdigital",
+          "matches", "review"]
 REGISTER_KEYS = {
     "spine": ("NORMALIZED_organisationname", "organisationname"),
     "ch": ("NORMALIZED_CompanyName", "CompanyName"),
@@ -25,6 +29,31 @@ REGISTER_KEYS = {
 }
 
 
+@dataclass(frozen=True)
+class Inputs:
+    """Raw feeds and registers (``spine``, ``ch``, ``nhsdigital``) as ``sources.feeds`` and ``sources.fixtures`` shape them."""
+
+    nhs: DataFrame
+    centgov: DataFrame
+    contracts: DataFrame
+    registers: dict[str, DataFrame]
+
+    @classmethod
+    def of_tables(cls, spark: SparkSession, sf_dir: str) -> Inputs:
+        raw = {t: fixture(spark, sf_dir, t) for t in ("nhs", "centgov", "contracts")}
+        regs = {"spine": "spine", "ch": "company", "nhsdigital": "nhslist"}
+        return cls(**raw, registers={t: fixture(spark, sf_dir, f) for t, f in regs.items()})
+
+    def feeds(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        return (payments.prepare_nhs(self.nhs), payments.prepare_centgov(self.centgov),
+                payments.prepare_contracts(self.contracts))
+
+    def normalised_registers(self) -> dict[str, DataFrame]:
+        return {"spine": registers.spine_register(self.registers["spine"]),
+                "ch": registers.company_register(self.registers["ch"]),
+                "nhsdigital": registers.nhs_register(self.registers["nhsdigital"])}
+
+
 # -- feeds and payments -----------------------------------------------------------
 def feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     nhs = payments.prepare_nhs(fixture(spark, sf_dir, "nhs"))
@@ -113,29 +142,40 @@ def review_wide(supplier_df: DataFrame, regs: dict[str, DataFrame], scorer: str
 
 def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
         scorer: str = "jaccard", profile: str = "notebook",
-        min_similarity: float | None = None) -> dict[str, str]:
+        min_similarity: float | None = None, inputs: Inputs | None = None,
+        from_stage: str | None = None) -> dict[str, str]:
     """Run every stage and write it as Parquet; returns stage -> path.
 
+    ``inputs`` takes the place of the driver tables.  With ``from_stage`` the
+    stages before it are read as an earlier run left them in ``out_dir``.
+
     Stage outputs are read back before the next stage, which cuts lineage
     (a lost executor recomputes from the last written stage, not from the
     raw feeds) and keeps each plan small.
     """
     base = (out_dir or scratch_path(spark, "pipeline")).rstrip("/")
     paths = {}
+    if from_stage is not None and from_stage not in STAGES:
+        raise ValueError(f"from_stage must be one of {STAGES}")
+    first = 0 if from_stage is None else STAGES.index(from_stage)
+    given = inputs or Inputs.of_tables(spark, sf_dir)
 
     def save(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
         path = f"{base}/{name}"
+        paths[name] = path
+        if STAGES.index(name) < first:
+            return spark.read.parquet(path)
         writer = df.write.mode("overwrite")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(path)
-        paths[name] = path
         return spark.read.parquet(path)
 
-    rows = save("payments_clean", clean_payments(spark, sf_dir))
+    feed_rows = given.feeds()
+    rows = save("payments_clean", payments.clean(payments.union_feeds(*feed_rows)))
     save("payments_output", payments.payments_output(rows))
-    sup = save("suppliers", suppliers.by_spend(suppliers_table(spark, sf_dir, profile, rows)))
-    regs = {t: save(f"register_{t}", df) for t, df in all_registers(spark, sf_dir).items()}
+    sup = save("suppliers", suppliers.by_spend(suppliers.suppliers(rows, feed_rows[0], profile=profile)))
+    regs = {t: save(f"register_{t}", df) for t, df in given.normalised_registers().items()}
     long_parts = [matches(sup, regs, mt, scorer, min_similarity, with_names=True)
                   .withColumnRenamed(REGISTER_KEYS["spine" if mt.startswith("spine") else mt][1],
                                      "notnormalised")

@@ -54,6 +54,6 @@ def test_date_range(spark):
 
 def test_strip_html(spark):
     df = spark.createDataFrame([("<B>ACME</B> &AMP; SONS",), ("A <script>x</script>B<!-- c -->",),
-                                ("&amp;lt;",)], "s string")
+                                ("&amp;lt;",), ("O&#39;NEIL &#X26;amp; &#8364; &amp;#39; &#55296;",), ("PLAIN",), (None,)], "s string")
     got = [r.o for r in df.select(T.strip_html(F.col("s")).alias("o")).collect()]
-    assert got == ["ACME & SONS", "A B", "&lt;"]
+    assert got == ["ACME & SONS", "A B", "&lt;", "O'NEIL &amp; \u20ac &#39; \ufffd", "PLAIN", None]
