@@ -72,5 +72,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE_SQL: dict[str, str] = {
     "op1_decontaminate": decontam.ORACLE,
     "op5_mix": mixing.ORACLE,
+    "op8_urls": urls.ORACLE,
     "op10_quality": quality.ORACLE,
 }

@@ -150,3 +150,64 @@ def judged(pages: DataFrame, rules: list[Rule] | None = None, bad: str | None =
     return rows.join(verdicts, ["host", "segments"]).select(
         "page_id", "host", "path", "rule",
         F.when(F.coalesce("ruled_block", "rejects"), "block").otherwise("allow").alias("verdict"), "template", "purity")
+
+
+# DuckDB SQL of ``judged`` with its defaults; hexadecimal runs are replaced twice, as neighbours share a separator
+_HEX_RUN = "(^|[^0-9a-zA-Z])[0-9a-f]{16,}($|[^0-9a-zA-Z])"
+
+
+def _level_sql(level: int) -> str:
+    """The tables that turn ``t{level}`` into ``t{level + 1}``."""
+    k = level
+    return f"""
+deep{k} AS MATERIALIZED (SELECT *, segments[{k + 1}] AS seg FROM t{k} WHERE len(segments) > {k}),
+c{k} AS (SELECT host, node, seg, sum(n)::BIGINT AS n, sum(labels)::BIGINT AS labels, sum(bads)::BIGINT AS bads
+  FROM deep{k} GROUP BY host, node, seg),
+named{k} AS MATERIALIZED (SELECT *, CASE WHEN count(*) OVER p > {MAX_CHILDREN} AND n < {MIN_SHARE}::DOUBLE * sum(n) OVER p
+  THEN '*' ELSE seg END AS name FROM c{k} WINDOW p AS (PARTITION BY host, node)),
+sib{k} AS MATERIALIZED (SELECT host, node, name, sum(labels)::BIGINT AS labels, sum(bads)::BIGINT AS bads
+  FROM named{k} GROUP BY host, node, name),
+lag{k} AS (SELECT *, lag(labels) OVER o AS n0, lag(bads) OVER o AS b0 FROM sib{k} WHERE labels > 0
+  WINDOW o AS (PARTITION BY host, node ORDER BY bads / labels, name)),
+dif{k} AS (SELECT *, abs(bads / labels - b0 / n0) > {Z}::DOUBLE * sqrt((bads + b0) / (labels + n0)
+  * (1 - (bads + b0) / (labels + n0)) * (1 / labels + 1 / n0)) AS differ FROM lag{k}),
+grp{k} AS (SELECT *, sum(CASE WHEN differ THEN 1 ELSE 0 END) OVER (
+  PARTITION BY host, node ORDER BY bads / labels, name ROWS UNBOUNDED PRECEDING) AS g FROM dif{k}),
+br{k} AS (SELECT host, node, name, array_to_string(list_sort(list(name) OVER (PARTITION BY host, node, g)), '|') AS branch
+  FROM grp{k} UNION ALL SELECT host, node, name, name FROM sib{k} WHERE labels = 0),
+t{k + 1} AS MATERIALIZED (SELECT d.host, d.segments, d.n, d.labels, d.bads, concat_ws('/', d.node, b.branch) AS node
+  FROM deep{k} d JOIN named{k} m USING (host, node, seg) JOIN br{k} b ON b.host = d.host AND b.node = d.node AND b.name = m.name
+  UNION ALL SELECT host, segments, n, labels, bads, node FROM t{k} WHERE len(segments) <= {k}),"""
+
+
+def _fit_sql(rule: Rule) -> str:
+    return f"(host = '{rule.host}' OR ends_with(host, '.{rule.host}')) AND starts_with(path, '{rule.path}')"
+
+
+def _rules_sql(value) -> str:
+    longest_first = sorted(RULES, key=lambda r: (len(r.text), r.text), reverse=True)
+    return "CASE " + " ".join(f"WHEN {_fit_sql(r)} THEN {value(r)}" for r in longest_first) + " END"
+
+
+ORACLE = f"""
+WITH rest AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+parts AS (SELECT page_id,
+  coalesce(translate(regexp_extract(rest, '^[^/?#]*'), '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '') AS host,
+  coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM rest),
+ruled AS (SELECT *, {_rules_sql(lambda r: f"'{r.text}'")} AS rule, {_rules_sql(lambda r: r.block)} AS bad,
+  string_split(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(path,
+    '[0-9a-fA-F]{{8}}-[0-9a-fA-F-]{{27}}', '*', 'g'), '{_HEX_RUN}', '\\1*\\2', 'g'), '{_HEX_RUN}', '\\1*\\2', 'g'),
+    '[0-9]+', '*', 'g'), '^/', ''), '/') AS whole FROM parts),
+rows AS MATERIALIZED (SELECT page_id, host, path, rule, bad, CASE WHEN len(whole) > {MAX_DEPTH}
+  THEN list_append(whole[1:{MAX_DEPTH - 1}], '**') ELSE whole END AS segments FROM ruled),
+t0 AS MATERIALIZED (SELECT host, segments, count(*) AS n, count(bad) AS labels, count(*) FILTER (WHERE bad) AS bads, '' AS node
+  FROM rows GROUP BY host, segments),{"".join(_level_sql(k) for k in range(MAX_DEPTH))}
+leaf AS (SELECT host, node, sum(labels)::BIGINT AS labels, sum(bads)::BIGINT AS bads FROM t{MAX_DEPTH} GROUP BY host, node),
+prior AS (SELECT coalesce(sum(bads)::BIGINT / nullif(sum(labels)::BIGINT, 0), 0)::DOUBLE AS q FROM leaf),
+verdicts AS (SELECT t.host, t.segments, t.host || t.node AS template, l.labels,
+  (l.bads + {SMOOTHING}::DOUBLE * q) / (l.labels + {SMOOTHING}::DOUBLE) AS purity
+  FROM t{MAX_DEPTH} t JOIN leaf l USING (host, node), prior)
+SELECT page_id, rows.host, path, rule, CASE WHEN coalesce(bad, labels >= {MIN_LABELS} AND purity >= {REJECT_AT}::DOUBLE)
+  THEN 'block' ELSE 'allow' END AS verdict, template, purity
+FROM rows JOIN verdicts v ON v.host = rows.host AND v.segments = rows.segments
+"""

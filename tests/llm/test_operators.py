@@ -4,7 +4,9 @@ import random
 import re
 
 import brute
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import regex
 import tiktoken
@@ -324,6 +326,21 @@ def test_like_siblings_merge(spark):
     assert found == {"h.example/a|b/*", "h.example/c/*"}
 
 
+def test_url_sql_equals_the_query(spark):
+    rng = random.Random(9)
+    hosts = ["a.net", "B.example.net", "de.example.com", "x.org", "plain.example", "x"]
+    parts = ["en", "de", "fr", "news", "0123456789abcdef", "a1b2c3d4e5f60718293a", "9f8e7d6c-0000-1111-2222-333344445555", "é", ""]
+    rows = [(i, None) if i % 97 == 0 else (i, "http://" + rng.choice(hosts) + "".join(
+        "/" + (rng.choice(parts) if rng.random() < 0.7 else f"{rng.choice('pq')}{chr(97 + rng.randrange(26))}{rng.randrange(50)}")
+        for _ in range(rng.randrange(11))) + rng.choice(["", "?q=1", "#t"])) for i in range(3000)]
+    rows += rows[:50]
+    pages = pd.DataFrame(rows, columns=["page_id", "url"])
+    want = duckdb.sql(urls.ORACLE).df()
+    got = urls.judged(spark.createDataFrame(rows, "page_id long, url string")).toPandas()[want.columns.tolist()]
+    order = lambda df: sorted(map(str, df.where(df.notna(), None).itertuples(index=False, name=None)))
+    assert len(pages) == len(want) and order(got) == order(want)
+
+
 # -- 10 ---------------------------------------------------------------------------------------
 def test_quality_equals_brute_force(hard, nothing, small_docs):
     for docs in (hard, small_docs):
