@@ -2,38 +2,69 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Payment dates arrive in mixed formats.  The text before the first 'T' is
-# parsed month-first with a day-first fallback (so '01/02/2020' is 2 Jan and
+# read month-first with a day-first fallback (so '01/02/2020' is 2 Jan and
 # '13/02/2020' is 13 Feb); register dates are day-first.  A time at the end is
-# left out, and two-digit years run from 1970 to 2069.  The first format that
-# parses wins.  Each is tried only on text of its shape: a failed parse costs
-# an exception in the JVM, so the cheap regex gate keeps the hot path
-# exception-free.
+# left out, and two-digit years run from 1970 to 2069.  Numbers become dates by
+# range checks, as a failed parse costs an exception in the JVM; only dates with
+# a month's name are parsed by format, once their text has the shape.
 TIME_OF_DAY = r"[ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?$"
-MONTH_FIRST = ["M/d/yyyy", "d/M/yyyy"]
-DAY_FIRST = ["d/M/yyyy"]
-YEAR_FIRST_FORMATS = [(r"^\d{4}/\d{1,2}/\d{1,2}$", "yyyy/M/d"), (r"^\d{8}$", "yyyyMMdd"), (r"^\d{4}$", "yyyy")]
+YEAR_LAST = r"^\d{1,2}[-./]\d{1,2}[-./](\d{2}|\d{4})\z"
+YEAR_FIRST = r"^\d{4}[-./]\d{1,2}[-./]\d{1,2}\z"
+DIGITS = r"^(\d{8}|\d{4})\z"
 NAMED_FORMATS = [(r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"), (r"^\d{1,2} [A-Z][a-z]{3,8} \d{4}$", "d MMMM yyyy"),
                  (r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"), (r"^[A-Z][a-z]{3,8} \d{1,2} \d{4}$", "MMMM d yyyy")]
 
 
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` evaluated once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _date(year: Column, month: Column, day: Column) -> Column:
+    """The date, or null where the calendar has none."""
+    in_month = day <= F.day(F.last_day(F.make_date(year, month, F.lit(1))))
+    return F.when((year >= 1) & month.between(1, 12) & day.between(1, 31),
+                  F.when(in_month, F.make_date(year, month, day)))
+
+
+def _year_last(parts: Column, month_first: bool) -> Column:
+    """``parts``: two numbers of a day and a month, and a year of two or four digits."""
+    a, b, c = (parts[i].cast("int") for i in range(3))
+    year = F.when(F.length(parts[2]) == 4, c).when(c < 70, c + 2000).otherwise(c + 1900)
+    return F.coalesce(_date(year, a, b), _date(year, b, a)) if month_first else _date(year, b, a)
+
+
+def _digits(text: Column) -> Column:
+    year, month, day = (F.substring(text, at, n).cast("int") for at, n in ((1, 4), (5, 2), (7, 2)))
+    return F.when(F.length(text) == 4, _date(year, F.lit(1), F.lit(1))).otherwise(_date(year, month, day))
+
+
 def _four_digit_year(text: Column) -> Column:
     text = F.regexp_replace(text, r"^(.*[^0-9])([0-6]\d)$", "$120$2")
     return F.regexp_replace(text, r"^(.*[^0-9])([7-9]\d)$", "$119$2")
 
 
-def _parse(col: Column, numeric: list[str]) -> Column:
-    plain = F.regexp_replace(F.trim(col), TIME_OF_DAY, "")
-    slashed = F.regexp_replace(plain, r"^(\d+)[-./](\d+)[-./](\d+)$", "$1/$2/$3")
-    wide = _four_digit_year(slashed)
-    named = F.initcap(F.lower(_four_digit_year(F.regexp_replace(plain, "[-./, ]+", " "))))
-    tries = [(wide, r"^\d{1,2}/\d{1,2}/\d{4}$", f) for f in numeric]
-    tries += [(slashed, shape, f) for shape, f in YEAR_FIRST_FORMATS]
-    tries += [(named, shape, f) for shape, f in NAMED_FORMATS]
-    return F.coalesce(*[F.when(t.rlike(shape), F.try_to_timestamp(t, F.lit(f))) for t, shape, f in tries]).cast("date")
+def _named(text: Column) -> Column:
+    tries = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(f))) for shape, f in NAMED_FORMATS]
+    return F.coalesce(*tries).cast("date")
+
+
+def _parse(col: Column, month_first: bool) -> Column:
+    def of_shape(plain: Column) -> Column:
+        parts = F.split(plain, "[-./]")
+        named = F.initcap(F.lower(_four_digit_year(F.regexp_replace(plain, "[-./, ]+", " "))))
+        return (F.when(plain.rlike(YEAR_LAST), _bound(parts, lambda p: _year_last(p, month_first)))
+                .when(plain.rlike(YEAR_FIRST), _bound(parts, lambda p: _date(*(p[i].cast("int") for i in range(3)))))
+                .when(plain.rlike(DIGITS), _digits(plain))
+                .when(plain.rlike("[A-Za-z]"), _bound(named, _named)))
+
+    return _bound(F.regexp_replace(F.trim(col), TIME_OF_DAY, ""), of_shape)
 
 
 def cut_at_t(col: Column) -> Column:
@@ -43,12 +74,12 @@ def cut_at_t(col: Column) -> Column:
 
 def parse_mixed_date(col: Column) -> Column:
     """payment date text -> date (null when unparseable)."""
-    return _parse(cut_at_t(col), MONTH_FIRST)
+    return _parse(cut_at_t(col), month_first=True)
 
 
 def parse_dayfirst_date(col: Column) -> Column:
     """Register date text, day-first -> date."""
-    return _parse(col.cast("string"), DAY_FIRST)
+    return _parse(col.cast("string"), month_first=False)
 
 
 def parse_ymd(col: Column) -> Column:

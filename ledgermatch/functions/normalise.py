@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import rules as R
@@ -189,6 +189,19 @@ def normalise_frame(df: DataFrame, src: str, dst: str, last_stage: str | None =
         f"concat({quoted}, substr(cast(spark_partition_id() AS string), 1, 0))"))
 
 
+def normalise_where(name: str, condition: str) -> Column:
+    """Column ``name`` normalised where ``condition`` holds, else null, as one expression.
+
+    Each step's input is bound by a lambda.  That runs interpreted, and rows
+    without the condition cost nothing: for conditions that few rows meet.  The
+    end is the optimiser barrier of ``normalise_frame``.
+    """
+    text = f"`{name}`"
+    for _, step in STEPS:
+        text = f"get(transform(array({text}), t -> {step('t', SPARK)}), 0)"
+    return F.expr(f"CASE WHEN {condition} THEN concat({text}, substr(cast(spark_partition_id() AS string), 1, 0)) END")
+
+
 def normalise_sql(x: str, d: Dialect, last_stage: str | None = None) -> list[str]:
     """The steps as a list of SQL expressions, each over the column ``x``."""
     return [step(x, d) for _, step in steps_upto(last_stage)]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import fmt_dmy, parse_mixed_date
-from ..functions.normalise import normalise_frame
+from ..functions.normalise import normalise_frame, normalise_where
 from ..functions.text import (is_numeric_text, is_redacted, org_counter,
                               quote_escape, strip_html, supplier_clean)
 
@@ -76,12 +76,9 @@ def annotate(payments: DataFrame) -> DataFrame:
     df = df.withColumn("SUPPLIER", strip_html(F.col("SUPPLIER")))
     df = df.withColumn("pay_date", parse_mixed_date(F.col("date")))
     # The normaliser only decides the length rule for names of three
-    # characters or fewer; longer names enter it as null (cheap no-op).
-    df = df.withColumn("short_text", F.when(F.length("SUPPLIER") <= 3, F.col("SUPPLIER")))
-    df = normalise_frame(df, "short_text", "short_norm")
+    # characters or fewer.
     df = df.withColumn("is_short", F.coalesce(
-        (F.length("SUPPLIER") <= 3) & (F.length("short_norm") <= 3), F.lit(False)))
-    df = df.drop("short_text", "short_norm")
+        F.length(normalise_where("SUPPLIER", "length(SUPPLIER) <= 3")) <= 3, F.lit(False)))
     df = df.withColumn("org", org_counter(F.col("SUPPLIER")))
     reason = F.coalesce(
         F.when(F.col("SUPPLIER").isNull(), F.lit("null_supplier")),

@@ -3,7 +3,8 @@
 De-duplication is written as aggregates (``min_by`` for keep-first, ``count``
 for drop-all-duplicates) rather than windows, so a hot key (many rows with
 the same company number or normalised name) is combined map-side before the
-shuffle instead of being sorted whole in one task.
+shuffle instead of being sorted whole in one task.  As rows hold text, Spark
+runs them as sort aggregates: each task sorts its own rows first.
 """
 
 from __future__ import annotations
