@@ -30,7 +30,9 @@ def test_payment_dates(spark):
              ("1 OCT 2020", None), ("43831", None), ("1 Oct 2020", "01-10-2020"), ("03-Feb-21", "03-02-2021"),
              ("31/03/2020 00:00", "31-03-2020"), ("2020-03-31 10:30", "31-03-2020"),
              ("2020-03-31 10:30:15.250", "31-03-2020"), ("03/02/99", "02-03-1999"), ("31.12.2020", "31-12-2020"),
-             ("March 5, 2019", "05-03-2019"), ("5 MARCH 2019", "05-03-2019"), ("2020", "01-01-2020"), ("n/a 2020", None)]
+             ("March 5, 2019", "05-03-2019"), ("5 MARCH 2019", "05-03-2019"), ("2020", "01-01-2020"), ("n/a 2020", None),
+             ("30/02/2020", None), ("29/02/2020", "29-02-2020"), ("29-02-2019", None), ("2020/13/01", None), ("00/00/2020", None),
+             ("20201301", None), ("1/2/20201", None), ("99/99/99", None), ("", None), (None, None), ("31/12/69", "31-12-2069")]
     df = spark.createDataFrame([(c[0],) for c in cases], "d string")
     got = [r.o for r in df.select(D.fmt_dmy(D.parse_mixed_date(F.col("d"))).alias("o")).collect()]
     assert got == [c[1] for c in cases]

@@ -74,3 +74,11 @@ def test_unknown_stage(spark):
     df = spark.createDataFrame([("x",)], "inp string")
     with pytest.raises(ValueError):
         normalise_frame(df, "inp", "o", last_stage="nope")
+
+
+def test_normalise_where_equals_the_frame(spark):
+    from ledgermatch.functions.normalise import normalise_frame, normalise_where
+    names = ["ST", "R&D", "A.B", "1ST", " X ", "LTD", "", None, "A LONGER NAME LTD"]
+    df = normalise_frame(spark.createDataFrame([(n,) for n in names], "n string"), "n", "whole")
+    rows = df.select("n", "whole", normalise_where("n", "length(n) <= 3").alias("short")).collect()
+    assert [r.short for r in rows] == [r.whole if r.n is not None and len(r.n) <= 3 else None for r in rows]
