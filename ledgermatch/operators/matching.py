@@ -9,19 +9,17 @@ not scale and is not expressible without a cross join, so matching here is a
     scored, and the best ``k`` per supplier kept
     (ties: higher score first, then register order ``choice_ord``).
 
-The candidate generation is exact for that definition (prefix filtering,
-Chaudhuri et al. 2006 / Bayardo et al. 2007): order tokens globally by
-ascending document frequency; if Jaccard(x, y) >= t then the first
-``|x| - ceil(t*|x|) + 1`` tokens of x and of y share a token.  Common tokens
-(LTD, COMPANY, ...) sort last, so they rarely enter a prefix and never make
-the join emit all pairs of a hot token; the ones that do are salted.
+The candidate generation is exact for that definition (prefix filtering by
+pairs of tokens): tokens are ordered from rare to common, and two names that
+must share o >= 2 tokens meet by a pair of tokens among their first few
+(``_keyed``), so names which share only a common token (LTD, COMPANY, ...)
+never meet.
 
 Plan: explode tokens -> document frequency (aggregate) -> join frequency
-back (AQE broadcasts it when small) -> per-name ordered token array ->
-explode prefixes -> equi-join on (token, salt) with the length filter ->
-keep each pair once (at its first shared prefix token) -> verify Jaccard ->
-score -> ``row_number`` per supplier (Spark pushes a partial top-k below the
-shuffle).
+back (AQE broadcasts it when small, splits hot tokens) -> per-name ordered
+tokens -> keys per partner length -> equi-join on (key, lengths, buckets) ->
+verify Jaccard, keep each pair at its first shared key -> score ->
+``row_number`` per supplier (Spark pushes a partial top-k below the shuffle).
 """
 
 from __future__ import annotations
@@ -31,9 +29,7 @@ from pyspark.sql import functions as F
 
 DEFAULT_MIN_SIMILARITY = 0.5
 DEFAULT_K = 5
-# A prefix token shared by more than this many names is split into salt
-# buckets on the register side (and the supplier side is replicated per
-# bucket), so no single task joins a hot token group whole.
+# A key that more names of one side may share is split into buckets of about so many.
 ROWS_PER_SALT = 5000
 # Names of more tokens are not indexed by token subsets but joined by token.
 SUBSET_TOKENS = 10
@@ -49,26 +45,37 @@ def token_set(col: Column) -> Column:
     return F.array_distinct(F.filter(F.split(processed(col), " "), lambda x: x != ""))
 
 
-def prefix_length(n: Column, t: float) -> Column:
-    return n - F.ceil(n * F.lit(t) - F.lit(_EPS)) + F.lit(1)
-
-
 def _tokenised(df: DataFrame, key: str, extra: list[str]) -> DataFrame:
     return (df.select(F.col(key).alias("name"), *extra)
             .withColumn("toks", token_set(F.col("name")))
             .filter(F.size("toks") > 0))
 
 
-def _ordered(side: DataFrame, freq: DataFrame, extra: list[str], t: float) -> DataFrame:
-    """Attach the name's tokens sorted by (document frequency, token) and
-    the prefix that must be indexed for threshold ``t``."""
+def _ordered(side: DataFrame, freq: DataFrame, extra: list[str]) -> DataFrame:
+    """``ordered``: the name's tokens from rare to common, each with its number of names on either side."""
     ex = side.select("name", *extra, "toks", F.explode("toks").alias("tok"))
-    ranked = (ex.join(freq, "tok")
-              .groupBy("name", *extra, "toks")
-              .agg(F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("ordered")))
-    out = ranked.withColumn("n", F.size("toks"))
-    out = out.withColumn("prefix", F.slice("ordered", F.lit(1), prefix_length(F.col("n"), t)))
-    return out.select("name", *extra, "toks", "n", "prefix")
+    return (ex.join(freq, "tok")
+            .groupBy("name", *extra)
+            .agg(F.array_sort(F.collect_list(F.struct("df", "tok", "lefts", "rights"))).alias("ordered"))
+            .withColumn("toks", F.col("ordered.tok")).withColumn("n", F.size("toks")))
+
+
+def _keyed(side: DataFrame, t: float) -> DataFrame:
+    """``other, key, lefts, rights``: for each token count that a partner may have, the keys to meet it by.
+
+    Partners of n and m tokens share o = ceil(t / (1 + t) * (n + m)) tokens at
+    least.  Where o is one, every token is a key.  Else the two rarest shared
+    tokens are among the first n - o + 2 of both names, so pairs of these are
+    the keys.
+    """
+    lengths = side.withColumn("other", F.explode(F.expr(
+        f"sequence(cast(ceil(n * {t}D - {_EPS}D) as int), cast(floor(n / {t}D + {_EPS}D) as int))")))
+    overlap = lengths.withColumn("o", F.expr(f"cast(ceil({t}D / (1 + {t}D) * (n + other) - {_EPS}D) as int)"))
+    pairs = """flatten(transform(slice(ordered, 1, n - o + 2), (x, i) -> transform(slice(ordered, i + 2, n - o + 1 - i),
+        y -> struct(concat(x.tok, ' ', y.tok) AS key, least(x.lefts, y.lefts) AS lefts, least(x.rights, y.rights) AS rights))))"""
+    keys = F.expr(f"CASE WHEN o = 1 THEN transform(ordered, x -> struct(x.tok AS key, x.lefts AS lefts, x.rights AS rights)) ELSE {pairs} END")
+    return (overlap.withColumn("k", F.explode(keys)).select("*", "k.*").drop("k", "ordered")
+            .where("lefts > 0 AND rights > 0"))
 
 
 def candidate_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
@@ -84,36 +91,32 @@ def candidate_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key:
     rx = list(right_extra)
     L = _tokenised(left.select(left_key).distinct(), left_key, [])
     R = _tokenised(right, right_key, rx)
-    freq = (L.select(F.explode("toks").alias("tok"))
-            .unionByName(R.select(F.explode("toks").alias("tok")))
-            .groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
-    Lo = _ordered(L, freq, [], t)
-    Ro = _ordered(R, freq, rx, t)
-
-    def salts(df_col: Column) -> Column:
-        return F.ceil(df_col / F.lit(ROWS_PER_SALT)).cast("int")
-
-    lx = (Lo.select(F.col("name").alias("s"), F.col("toks").alias("s_toks"),
-                    F.col("n").alias("s_n"),
-                    F.transform("prefix", lambda p: p["tok"]).alias("s_prefix"),
-                    F.explode("prefix").alias("pt"))
-          .withColumn("salt", F.explode(F.sequence(F.lit(0), salts(F.col("pt.df")) - 1)))
-          .select("s", "s_toks", "s_n", "s_prefix", F.col("pt.tok").alias("tok"), "salt"))
-    rx_df = (Ro.select(F.col("name").alias("r"), *rx, F.col("toks").alias("r_toks"),
-                       F.col("n").alias("r_n"),
-                       F.transform("prefix", lambda p: p["tok"]).alias("r_prefix"),
-                       F.explode("prefix").alias("pt"))
-             .withColumn("salt", F.pmod(F.xxhash64("r"), salts(F.col("pt.df"))).cast("int"))
-             .select("r", *rx, "r_toks", "r_n", "r_prefix", F.col("pt.tok").alias("tok"), "salt"))
-    joined = lx.join(rx_df, ["tok", "salt"]).filter(
-        (F.col("r_n") >= F.col("s_n") * F.lit(t) - F.lit(_EPS))
-        & (F.col("s_n") >= F.col("r_n") * F.lit(t) - F.lit(_EPS)))
-    # Each pair is met once per shared prefix token; keep it at the first.
-    once = joined.filter(F.array_intersect("s_prefix", "r_prefix")[0] == F.col("tok"))
-    inter = F.size(F.array_intersect("s_toks", "r_toks"))
-    scored = (once.withColumn("inter", inter)
-              .withColumn("jaccard", F.col("inter") / (F.col("s_n") + F.col("r_n") - F.col("inter"))))
-    return (scored.filter(F.col("jaccard") >= F.lit(t))
+    freq = (L.select(F.explode("toks").alias("tok"), F.lit(1).alias("l"), F.lit(0).alias("r"))
+            .unionByName(R.select(F.explode("toks").alias("tok"), F.lit(0).alias("l"), F.lit(1).alias("r")))
+            .groupBy("tok").agg(F.count(F.lit(1)).alias("df"), F.sum("l").alias("lefts"), F.sum("r").alias("rights")))
+
+    # A key's names are dealt to buckets on both sides, each side copied to the other's buckets.
+    def buckets(names: str) -> Column:
+        return F.ceil(F.col(names) / F.lit(ROWS_PER_SALT)).cast("int")
+
+    def every(names: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), buckets(names) - 1))
+
+    def own(names: str) -> Column:
+        return F.pmod(F.xxhash64("name"), buckets(names)).cast("int")
+
+    lx = (_keyed(_ordered(L, freq, []), t).withColumn("ls", own("lefts")).withColumn("rs", every("rights"))
+          .select(F.col("name").alias("s"), F.col("toks").alias("s_toks"), F.col("n").alias("s_n"),
+                  F.col("other").alias("r_n"), "key", "ls", "rs"))
+    rk = (_keyed(_ordered(R, freq, rx), t).withColumn("rs", own("rights")).withColumn("ls", every("lefts"))
+          .select(F.col("name").alias("r"), *rx, F.col("toks").alias("r_toks"), F.col("n").alias("r_n"),
+                  F.col("other").alias("s_n"), "key", "ls", "rs"))
+    shared = F.array_intersect("s_toks", "r_toks")  # rare to common
+    joined = lx.join(rk, ["key", "s_n", "r_n", "ls", "rs"]).withColumn("inter", F.size(shared))
+    jaccard = F.col("inter") / (F.col("s_n") + F.col("r_n") - F.col("inter"))
+    # A pair meets at several keys; keep it at the first.
+    first = F.array_join(F.slice(shared, F.lit(1), F.size(F.split("key", " "))), " ") == F.col("key")
+    return (joined.withColumn("jaccard", jaccard).where((F.col("jaccard") >= F.lit(t)) & first)
             .select("s", "r", *rx, "s_toks", "r_toks", "inter", "jaccard"))
 
 

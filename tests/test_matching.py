@@ -77,6 +77,11 @@ def test_common_token_does_not_join_all_names(spark):
     left = spark.range(3000).selectExpr("concat('X', id, ' LTD') AS NORMALIZED_SUPPLIER")
     right = spark.range(3000).selectExpr("concat('Y', id, ' LTD') AS name", "id AS choice_ord")
     assert M.best_pairs(left, "NORMALIZED_SUPPLIER", right, "name").count() == 3000 * 5
+    assert M.candidate_pairs(left, "NORMALIZED_SUPPLIER", right, "name").count() == 0
+    by_key = [M._keyed(M._ordered(M._tokenised(df, key, []), spark.sql("SELECT 'ltd' tok, 9 df, 9 lefts, 9 rights UNION ALL "
+              "SELECT concat(x, id), 1, 1, 1 FROM range(3000), VALUES ('x'), ('y') AS t(x)"), []), 0.5)
+              for df, key in ((left, "NORMALIZED_SUPPLIER"), (right, "name"))]
+    assert by_key[0].where("n = other").join(by_key[1], "key").count() == 0  # LTD alone is no key
 
 
 def test_token_sort_and_set(spark):
