@@ -6,13 +6,17 @@ the different templates, not the pages.  Among the children of a node,
 
 * a child is variable, and goes into the wildcard, if the node has more than
   ``max_children`` different children and the child has less than
-  ``min_share`` of its pages;
+  ``min_share`` of its pages.  A variable child of ``min_labels`` labels and
+  more stays out if it differs by the z-test from the other variable children,
+  or if these have no label; such children of like purity share one branch;
 * labelled siblings merge if, ordered by their share of bad labels, neighbours
   do not differ by a two-proportion z-test.  So few children stay that the
   window over them is bounded.
 
 A leaf's purity is its smoothed share of bad labels; with ``min_labels`` labels
-and a purity of ``reject_at`` it rejects its pages.  Labels are the verdicts of
+and a purity of ``reject_at`` it rejects its pages.  It rejects the pages of a
+child in a wildcard only if that child or several others there have labels in
+the leaf.  Labels are the verdicts of
 the rules where a rule fits, or a given column (true: bad, null: none).
 
 Segments behind the ``max_depth``-th are one variable tail.  A url that is null
@@ -88,25 +92,64 @@ def template(path: Column, max_depth: int = MAX_DEPTH) -> Column:
 
 
 def tree(pages: DataFrame, max_depth: int = MAX_DEPTH, max_children: int = MAX_CHILDREN,
-         min_share: float = MIN_SHARE) -> DataFrame:
-    """``host, segments, node`` for every template of ``pages`` (``host, segments, bad``), with the node's label counts."""
+         min_share: float = MIN_SHARE, min_labels: int = MIN_LABELS) -> DataFrame:
+    """``host, segments, node`` for every template of ``pages`` (``host, segments, bad``), with the node's label counts.
+
+    ``backed`` is false where a template is in a wildcard and the node's labels
+    are those of one other child there.
+    """
     now = cut(pages.groupBy("host", "segments").agg(
         F.count(F.lit(1)).alias("n"), F.count("bad").alias("labels"), F.count_if("bad").alias("bads"))
-        .withColumn("node", F.lit("")))
+        .withColumns({"node": F.lit(""), "pooled": F.array().cast("array<boolean>")}))
     depth = now.agg(F.max(F.size("segments"))).first()[0] or 0
     for level in range(min(depth, max_depth)):
         deep = now.where(F.size("segments") > level).withColumn("seg", F.get("segments", F.lit(level)))
         children = deep.groupBy("host", "node", "seg").agg(*[F.sum(c).alias(c) for c in ("n", "labels", "bads")])
         parents = children.groupBy("host", "node").agg(F.count(F.lit(1)).alias("different"), F.sum("n").alias("all"))
         variable = (F.col("different") > max_children) & (F.col("n") < min_share * F.col("all"))
-        named = children.join(parents, ["host", "node"]).withColumn("name", F.when(variable, "*").otherwise(F.col("seg")))
-        merged = _merged(named.groupBy("host", "node", "name").agg(F.sum("labels").alias("labels"), F.sum("bads").alias("bads")))
-        to = (named.select("host", "node", "seg", "name").join(merged, ["host", "node", "name"])
-              .select("host", "node", "seg", F.concat_ws("/", "node", "branch").alias("to")))
-        now = cut(deep.join(to, ["host", "node", "seg"]).drop("node", "seg").withColumnRenamed("to", "node")
+        named = _named(children.join(parents, ["host", "node"]).withColumn("variable", variable), min_labels)
+        # a segment never holds a digit, so the name of a purity is none
+        shown = F.when(F.bool_and("kept") & (F.count(F.lit(1)) == 1), F.min("seg")).otherwise(F.col("name"))
+        merged = _merged(named.groupBy("host", "node", "name").agg(
+            F.sum("labels").alias("labels"), F.sum("bads").alias("bads"), shown.alias("shown")))
+        to = (named.select("host", "node", "seg", "name", "variable").join(merged, ["host", "node", "name"])
+              .select("host", "node", "seg", "variable", F.concat_ws("/", "node", "branch").alias("to")))
+        now = cut(deep.join(to, ["host", "node", "seg"]).withColumn("pooled", F.array_append("pooled", F.col("variable")))
+                  .drop("node", "seg", "variable").withColumnRenamed("to", "node")
                   .unionByName(now.where(F.size("segments") <= level)))
-    stats = now.groupBy("host", "node").agg(F.sum("labels").alias("labels"), F.sum("bads").alias("bads"))
-    return now.select("host", "segments", "node").join(stats, ["host", "node"])
+    levels = range(min(depth, max_depth))
+    pooled = [F.coalesce(F.get("pooled", F.lit(i)), F.lit(False)) for i in levels]
+    segs = [F.when(p & (F.col("labels") > 0), F.get("segments", F.lit(i))) for i, p in zip(levels, pooled)]
+    stats = now.groupBy("host", "node").agg(
+        F.sum("labels").alias("labels"), F.sum("bads").alias("bads"),
+        F.array(*[F.min(x) for x in segs]).alias("low"), F.array(*[F.max(x) for x in segs]).alias("high"))
+    backed = F.lit(True)
+    for i, p in zip(levels, pooled):
+        low, high = F.get("low", F.lit(i)), F.get("high", F.lit(i))
+        backed &= ~p | F.coalesce((low != high) | (low == F.get("segments", F.lit(i))), F.lit(False))
+    return (now.select("host", "segments", "node", "pooled").join(stats, ["host", "node"])
+            .select("host", "segments", "node", "labels", "bads", backed.alias("backed")))
+
+
+def _differ(bads: Column, labels: Column, bads0: Column, labels0: Column) -> Column:
+    """The two-proportion z-test."""
+    p = (bads + bads0) / (labels + labels0)
+    spread = F.sqrt(p * (1 - p) * (1 / labels + 1 / labels0))
+    return F.abs(bads / labels - bads0 / labels0) > Z * spread
+
+
+def _named(children: DataFrame, min_labels: int) -> DataFrame:
+    """Adds ``name``, and ``kept`` where a variable child differs from the others and is named by its purity in tenths."""
+    pool = children.where("variable").groupBy("host", "node").agg(
+        F.sum("labels").alias("pool_labels"), F.sum("bads").alias("pool_bads"))
+    rest, rest_bads = F.nullif(F.col("pool_labels") - F.col("labels"), F.lit(0)), F.col("pool_bads") - F.col("bads")
+    stands_out = F.coalesce(_differ(F.col("bads"), F.nullif("labels", F.lit(0)), rest_bads, rest), rest.isNull())
+    tenth = F.concat(F.lit("*"), F.format_number(F.floor(10 * F.col("bads") / F.nullif("labels", F.lit(0))) / 10, 1))
+    kept = F.col("variable") & (F.col("labels") >= min_labels) & stands_out
+    return (children.join(pool, ["host", "node"], "left").withColumn("kept", kept)
+            .withColumn("variable", F.col("variable") & ~F.col("kept"))
+            .withColumn("name", F.when(F.col("kept"), tenth).when(F.col("variable"), "*").otherwise(F.col("seg")))
+            .drop("pool_labels", "pool_bads"))
 
 
 def _merged(children: DataFrame) -> DataFrame:
@@ -114,14 +157,12 @@ def _merged(children: DataFrame) -> DataFrame:
     order = Window.partitionBy("host", "node").orderBy(F.col("bads") / F.col("labels"), "name")
     labelled = children.where("labels > 0").withColumns({
         "n0": F.lag("labels").over(order), "b0": F.lag("bads").over(order)})
-    p = (F.col("bads") + F.col("b0")) / (F.col("labels") + F.col("n0"))
-    spread = F.sqrt(p * (1 - p) * (1 / F.col("labels") + 1 / F.col("n0")))
-    differ = F.abs(F.col("bads") / F.col("labels") - F.col("b0") / F.col("n0")) > Z * spread
+    differ = _differ(F.col("bads"), F.col("labels"), F.col("b0"), F.col("n0"))
     group = labelled.withColumn("group", F.sum(F.when(differ, 1).otherwise(0)).over(
         order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    # siblings are few: at most max_children, the 1 / min_share with a share of their own, and the wildcard
+    # siblings are few: at most max_children, the 1 / min_share with a share of their own, one per tenth, and the wildcard
     names = group.groupBy("host", "node", "group").agg(
-        F.array_join(F.array_sort(F.collect_list("name")), "|").alias("branch"))
+        F.array_join(F.array_sort(F.collect_list("shown")), "|").alias("branch"))
     return (group.join(names, ["host", "node", "group"]).select("host", "node", "name", "branch")
             .unionByName(children.where("labels = 0").select("host", "node", "name", F.col("name").alias("branch"))))
 
@@ -144,7 +185,7 @@ def judged(pages: DataFrame, rules: list[Rule] | None = None, bad: str | None =
     overall = leaves.select("host", "node", "labels", "bads").distinct().agg(
         (F.coalesce(F.sum("bads") / F.nullif(F.sum("labels"), F.lit(0)), F.lit(0.0))).alias("prior")).first()[0]
     purity = (F.col("bads") + SMOOTHING * overall) / (F.col("labels") + SMOOTHING)
-    rejects = (F.col("labels") >= MIN_LABELS) & (purity >= REJECT_AT)
+    rejects = (F.col("labels") >= MIN_LABELS) & (purity >= REJECT_AT) & F.col("backed")
     verdicts = leaves.select("host", "segments", F.concat("host", "node").alias("template"), purity.alias("purity"),
                              rejects.alias("rejects"))
     return rows.join(verdicts, ["host", "segments"]).select(

@@ -319,6 +319,29 @@ def test_templates_learn_from_labels(spark):
     assert got[200].template == got[225].template and "*" in got[200].template  # rare siblings share the wildcard
 
 
+def test_a_rare_bad_section_of_a_hot_host(spark):
+    def judged(rows):
+        pages = spark.createDataFrame([(i, f"http://{u}", b) for i, (u, b) in enumerate(rows)],
+                                      "page_id long, url string, bad boolean")
+        return {r.page_id: r for r in urls.judged(pages, rules=[], bad="bad").collect()}
+
+    names = [f"{x}{y}" for x in "abcde" for y in "uvwxyz"]  # 30 sections, each under a twentieth of the pages
+    rows = [(f"h.example/{s}/{i}", s == "cw") for s in names for i in range(20)]
+    got = judged([*rows, ("h.example/cw/77", None), ("h.example/ax/77", None)])
+    assert got[600].verdict == "block" and got[600].template == "h.example/cw/*"
+    assert got[601].verdict == "allow"
+
+    # one section has all the labels; its verdict is not that of the others
+    rows = [(f"h.example/{s}/{i}", True if s == "cw" else None) for s in names for i in range(20)]
+    got = judged(rows)
+    assert {rows[i][0].split("/")[1] for i, r in got.items() if r.verdict == "block"} == {"cw"}
+
+    # all sections are half bad and stay pooled, but every label of the leaf */p is of one of them
+    rows = [(f"h.example/{s}/{'p' if s == 'cw' and i < 10 else 'q'}", i < 10) for s in names for i in range(20)]
+    got = judged([*rows, ("h.example/ax/p", None), ("h.example/cw/p", None), ("h.example/cw/q", None)])
+    assert [got[i].verdict for i in (600, 601, 602)] == ["allow", "block", "allow"]
+
+
 def test_like_siblings_merge(spark):
     rows = [(i, f"http://h.example/{x}/{i}", x in "ab") for x in "abc" for i in range(40)]
     pages = spark.createDataFrame(rows, "page_id long, url string, bad boolean")
