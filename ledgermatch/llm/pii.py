@@ -8,7 +8,9 @@ goes on behind its last match, the spans are just the leftmost non-overlapping
 matches, in time linear in the text.
 
 Further kinds: ``url`` (a scheme whose address carries a user or a personal
-parameter), ``address`` (a street cue with a house number) and ``account`` (an
+parameter), ``address`` (a street cue with a house number: ``12 Baker Street``,
+``rue de la Paix 12``, ``12 rue de la Paix``, ``Lange Straße 12``,
+``Hauptstraße 12``) and ``account`` (an
 identifier cue with at least six digits behind it; an IBAN must have right
 check digits).
 
@@ -42,13 +44,20 @@ _URL_REST = re.compile(r"""[^\s<>"']+""")
 _PERSONAL = re.compile(r"[?&](?:e?mail|user(?:name)?|name|phone|tel|account)=[^&#]+", re.IGNORECASE)
 _STREET_LEFT = re.compile(r"[0-9]{1,5}[A-Za-z]?(?: [A-Z][\w'.-]*){1,4} ?$")
 _STREET_RIGHT = re.compile(r"(?: [\w'.-]+){1,5},? (?:n[oº°]\.? ?)?[0-9]{1,5}\b")
+_STREET_COMPOUND = re.compile(r"(?:[\w-]+|(?:(?<![\w-])[A-ZÀ-Þ][\w'-]* ){1,3})?$")
+_NUMBER_RIGHT = re.compile(r",? (?:[Nn]r\.? ?)?[0-9]{1,5}[A-Za-z]?(?:-[0-9]{1,5}[A-Za-z]?)?\b")
+_NUMBER_LEFT = re.compile(r"(?<!\w)[0-9]{1,5}(?:-[0-9]{1,5})?(?: ?(?:bis|ter|quater|[A-Za-z]))?,? $")
+_STREET_NAME = re.compile(r"(?:(?: (?:de|du|des|la|le|les|et|en|sur|sous|au|aux)){0,3} (?:[dlDL]['’])?"
+                          r"(?:l['’])?[A-ZÀ-Þ][\w'’-]*){1,4}|(?: du)? [0-9]{1,2}(?:er)? \w+(?: [0-9]{4}\b)?")
 _ACCOUNT = re.compile(r"(?: ?(?:no|nr|num|number|id)\b\.?)?[ \t]*[:#=]?[ \t]*([A-Z]{0,4}[0-9](?:[ -]?[A-Z0-9]){5,33})\b")
 
 #: Cue words and the parser that each one calls.
 CUES = {
     "account": ["account", "acct", "iban", "konto", "compte", "cuenta", "passport", "ssn"],
-    "left": ["street", "avenue", "road", "lane", "boulevard"],
-    "right": ["rue", "calle", "avenida", "straße", "strasse"],
+    "left": ["street", "road", "lane"],
+    "either": ["avenue", "boulevard"],
+    "right": ["rue", "calle", "avenida"],
+    "compound": ["straße", "strasse"],
 }
 
 
@@ -125,15 +134,24 @@ def find_spans(text: str, anchors) -> list[tuple[str, int, int]]:
                 if "@" in host or _PERSONAL.search(m[0]):
                     add("url", start, m.end())
                 done["url"] = m.end()
+        elif parser == "compound":
+            if at >= done["address"] and not _word_char(text, last + 1):
+                m = _NUMBER_RIGHT.match(text, last + 1)
+                if m or not _word_char(text, at - 1) and (m := _STREET_RIGHT.match(text, last + 1)):
+                    low = max(done["address"], at - 80)
+                    add("address", _STREET_COMPOUND.search(text, low, at).start(), m.end())
         elif not (_word_char(text, at - 1) or _word_char(text, last + 1)):
-            if parser == "left":
-                low = max(done["address"], at - 80)
-                if m := _STREET_LEFT.search(text, low, at):
-                    add("address", m.start(), last + 1)
-            elif parser == "right":
-                if at >= done["address"] and (m := _STREET_RIGHT.match(text, last + 1)):
-                    add("address", at, m.end())
-            elif at >= done["account"] and (m := _ACCOUNT.match(text, last + 1)):
+            low = max(done["address"], at - 80)
+            if parser in ("left", "either") and (m := _STREET_LEFT.search(text, low, at)):
+                add("address", m.start(), last + 1)
+            elif parser in ("either", "right"):
+                if at >= done["address"]:
+                    number = _NUMBER_LEFT.search(text, max(low, at - 20), at)
+                    name = number and _STREET_NAME.match(text, last + 1)
+                    right = parser == "right" and _STREET_RIGHT.match(text, last + 1)
+                    if ends := [m.end() for m in (name, right) if m]:
+                        add("address", number.start() if number else at, max(ends))
+            elif parser == "account" and at >= done["account"] and (m := _ACCOUNT.match(text, last + 1)):
                 plain = re.sub("[ -]", "", m[1])
                 iban = re.fullmatch(r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}", plain)
                 if iban_ok(plain) if iban else sum(c in "0123456789" for c in plain) >= 6:

@@ -101,6 +101,19 @@ def test_anchors_of_the_method():
     assert pii.mask("abcdef", [("ip", 1, 4), ("card", 2, 5)]) == "a<IP>f"
 
 
+def test_german_and_french_addresses():
+    find = pii.finder()
+    for address in ("Hauptstrasse 12", "Bahnhofstraße 3", "Lange Straße 12", "Karl-Marx-Straße 7a", "HAUPTSTRASSE 12-14",
+                    "Alte Kölner Straße 5", "Straße 9", "Straße des Friedens 12", "Ringstraße, Nr. 4", "12 rue de la Paix",
+                    "3 bis, rue Victor Hugo", "5 rue de l'Église", "8 rue du 4 Septembre", "12 avenue Foch",
+                    "10 avenue des Champs-Élysées", "7, boulevard Saint-Michel", "12 Fifth Avenue", "rue de la Paix 12"):
+        text = f"er wohnt {address}, dann"
+        assert [(k, text[s:e]) for k, s, e in find(text)] == [("address", address)], address
+        assert pii.mask(text, find(text)) == "er wohnt <ADDRESS>, dann"
+    for text in ("in der Hauptstraße sind 12", "die Straßen 12", "la rue est longue", "an avenue of 12 trees", "12 rues de Paris"):
+        assert not find(text), text
+
+
 def test_markov_ratio_tells_random_strings(small_docs):
     ratio = secrets.train(small_docs)
     find = secrets.finder(ratio)
