@@ -1,9 +1,11 @@
 """Secret scan: base patterns, and character Markov models for what no pattern names.
 
 Two first-order Markov models over characters, one of random strings and one
-of ordinary identifiers, are trained on labelled strings.  A long token is a
-secret if the log-likelihood ratio of the two models is high enough, as a sum
-and per character.
+of ordinary identifiers, are trained on labelled strings.  A long token, or
+what base spans leave free of it, is a secret if the log-likelihood ratio of the
+two models is high enough, as a sum and per character.  If it is not as a whole,
+its sub-runs of the highest sum are judged the same way (``segments``, linear in
+the token), so a random string glued to ordinary text is found.
 
 Labelled strings of the query: in about ``sample_docs`` documents (taken by a
 hash over all of them) the values that the base patterns find are random and
@@ -49,6 +51,8 @@ _TOKEN = re.compile(r"[A-Za-z0-9+/_=-]+")
 ALPHABET = string.ascii_letters + string.digits + "+/_=-"
 _INDEX = {c: i for i, c in enumerate(ALPHABET)}
 SIZE = len(ALPHABET)
+SEPARATORS = "+/_=-"
+REACH = 100
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -161,26 +165,76 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> np.ndarray:
 
 
 def score(token: str, ratio: np.ndarray) -> float:
+    return float(_pair_scores(token, ratio).sum())
+
+
+def _pair_scores(token: str, ratio: np.ndarray) -> np.ndarray:
     at = np.fromiter((_INDEX[c] for c in token), dtype=np.int64, count=len(token))
-    return float(ratio[at[:-1], at[1:]].sum())
+    return ratio[at[:-1], at[1:]]
+
+
+def segments(scores: list[float]) -> list[tuple[int, int]]:
+    """All maximal sub-runs of the highest sum, in order (Ruzzo and Tompa), in linear time."""
+    found: list[tuple[int, int, float, float, int]] = []  # start, stop, sum before, sum behind, the last one of a lower sum before
+    total = 0.0
+    for i, x in enumerate(scores):
+        before, total = total, total + x
+        if x <= 0:
+            continue
+        start, j = i, len(found) - 1
+        while j >= 0 and found[j][2] >= before:
+            j = found[j][4]
+        while j >= 0 and found[j][3] < total:  # joins all since the j-th
+            start, _, before, _, link = found[j]
+            del found[j:]
+            j = link
+        found.append((start, i + 1, before, total, j))
+    return [f[:2] for f in found]
 
 
 def finder(ratio: np.ndarray, min_token: int = MIN_TOKEN, min_score: float = MIN_SCORE,
            min_per_char: float = MIN_PER_CHAR):
-    """Spans of one text; tokens that overlap a base span are left to it."""
+    """Spans of one text; what a base span covers is left to it."""
     long_token = re.compile(_TOKEN.pattern[:-1] + "{%d,}" % min_token)
 
+    def secret(scores: np.ndarray) -> bool:
+        total, n = scores.sum(), len(scores) + 1
+        return n >= min_token and total >= min_score and total >= min_per_char * n
+
+    def random_parts(part: str) -> list[tuple[int, int]]:
+        scores = _pair_scores(part, ratio)
+        if secret(scores):
+            return [(0, len(part))]
+        out = []
+        for a, b in segments(scores.tolist()):
+            # to the separators or ends of the part within REACH, if it stays a secret
+            behind = out[-1][1] if out else 0
+            a = max(a, behind)
+            low, high = max(behind, a - REACH), min(len(part), b + REACH)
+            start = max(part.rfind(c, low, a + 1) for c in SEPARATORS) + 1 or (low if low == behind else a)
+            stop = min([at for c in SEPARATORS if (at := part.find(c, b, high)) >= 0],
+                       default=high if high == len(part) else b + 1)
+            if secret(scores[start:stop - 1]):
+                out.append((start, stop))
+            elif secret(scores[a:b]):
+                out.append((a, b + 1))
+        return out
+
     def find(text: str) -> list[tuple[str, int, int]]:
         found = base_spans(text)
         taken, k = sorted((s, e) for _, s, e in found), 0
         for m in long_token.finditer(text):
             while k < len(taken) and taken[k][1] <= m.start():
                 k += 1
-            if k < len(taken) and taken[k][0] < m.end():
-                continue
-            s = score(m[0], ratio)
-            if s >= min_score and s >= min_per_char * len(m[0]):
-                found.append(("random", m.start(), m.end()))
+            at, j = m.start(), k
+            while at < m.end():
+                free = j == len(taken) or taken[j][0] >= m.end()
+                stop = m.end() if free else taken[j][0]
+                if stop - at >= min_token:
+                    found += [("random", at + s, at + e) for s, e in random_parts(text[at:stop])]
+                if free:
+                    break
+                at, j = max(at, taken[j][1]), j + 1
         return by_start(found, KINDS)
 
     return find
