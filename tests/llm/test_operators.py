@@ -272,6 +272,19 @@ def test_every_share_stays_within_one_block(spark):
         assert np.abs(lag).max() < 1
 
 
+@pytest.mark.parametrize("sizes", [{"a": 6000, "b": 3001, "c": 2000, "d": 1501, "e": 7}, {"x": 1500, **{f"s{i}": 1 + i % 3 for i in range(1500)}}])
+def test_shares_follow_the_true_weights(spark, sizes):
+    rows = [(i, str(i), s) for i, s in enumerate(x for s, n in sizes.items() for x in [s] * n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mixing.mixed(docs, block_docs=1).select("source", "block", "slot").collect()
+    assert sorted((r.source, r.block) for r in got) == sorted((s, b) for s, n in sizes.items() for b in range(n))
+    assert len({r.slot for r in got}) == len(rows)
+    total = sum(n ** 0.5 for n in sizes.values())
+    for r in got:  # the share is most off just before and behind a block
+        share = sizes[r.source] ** 0.5 / total
+        assert abs(r.block - share * r.slot) < 2 and abs(r.block + 1 - share * (r.slot + 1)) < 2, r
+
+
 def test_numbering_does_not_depend_on_the_prefixes(small_docs):
     one = {(r.doc_id, r["__no"]) for r in mixing.numbered(small_docs, 200).collect()}
     deep = {(r.doc_id, r["__no"]) for r in mixing.numbered(small_docs, 200, rows_per_prefix=1).collect()}
