@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 TIME_OF_DAY = r"[ T]+\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?( ?[AaPp][Mm])?( ?(Z|UTC|[+-]\d{2}:?\d{2}))?$"
 YEAR_LAST = r"^\d{1,2}[-./]\d{1,2}[-./](\d{2}|\d{4})\z"
 YEAR_FIRST = r"^\d{4}[-./]\d{1,2}[-./]\d{1,2}\z"
+YEAR_SLASHED = r"^\d{4}/\d{1,2}/\d{1,2}\z"
 DIGITS = r"^(\d{8}|\d{4})\z"
 NAMED_FORMATS = [(r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"), (r"^\d{1,2} [A-Z][a-z]{3,8} \d{4}$", "d MMMM yyyy"),
                  (r"^[A-Z][a-z]{2} \d{1,2} \d{4}$", "MMM d yyyy"), (r"^[A-Z][a-z]{3,8} \d{1,2} \d{4}$", "MMMM d yyyy")]
@@ -83,8 +84,8 @@ def parse_dayfirst_date(col: Column) -> Column:
 
 
 def parse_ymd(col: Column) -> Column:
-    """Strict 'yyyy/MM/dd' -> date, bad -> null."""
-    return F.try_to_timestamp(col, F.lit("yyyy/MM/dd")).cast("date")
+    """Year of four digits, month and day of one or two, between slashes -> date, all else -> null."""
+    return F.when(col.rlike(YEAR_SLASHED), _bound(F.split(col, "/"), lambda p: _date(*(p[i].cast("int") for i in range(3)))))
 
 
 def fmt_dmy(col: Column) -> Column:

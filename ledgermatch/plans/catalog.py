@@ -448,9 +448,9 @@ def oracle_sql() -> dict[str, str]:
         "pages_text": f"SELECT page_id, {O.strip_html('html')} AS text FROM pages",
         "parse_mixed_date": _union_sql(f"SELECT {KEYS_SQL}, date AS date_text, "
                                        f"{O.fmt_dmy(O.parse_mixed_date('date'))} AS date FROM payments_union"),
-        "parse_ymd": _union_sql(f"SELECT {KEYS_SQL}, replace(date, '-', '/') AS date_text, "
-                                "strftime(CAST(try_strptime(replace(date, '-', '/'), '%Y/%m/%d') AS DATE), '%Y-%m-%d') AS date "
-                                "FROM payments_union"),
+        "parse_ymd": _union_sql(f"SELECT {KEYS_SQL}, date_text, CASE WHEN regexp_matches(date_text, '^\\d{{4}}/\\d{{1,2}}/\\d{{1,2}}$') "
+                                "THEN strftime(CAST(try_strptime(date_text, '%Y/%m/%d') AS DATE), '%Y-%m-%d') END AS date "
+                                "FROM (SELECT *, replace(date, '-', '/') AS date_text FROM payments_union)"),
         "org_counter": _union_sql(f"SELECT {KEYS_SQL}, {O.org_name('S')} AS org_name, {O.org_n('S')} AS org_n "
                                   f"FROM (SELECT *, {O.strip_html(O.supplier_clean('supplier'))} AS S "
                                   "FROM payments_union) WHERE S IS NOT NULL"),

@@ -10,7 +10,7 @@ from ledgermatch.operators import payments, registers
 from ledgermatch.plans import pipeline as P
 from ledgermatch.sources import feeds
 
-from conftest import SMALL_SF
+from small import SMALL_SF
 
 
 @pytest.fixture()

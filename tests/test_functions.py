@@ -38,6 +38,14 @@ def test_payment_dates(spark):
     assert got == [c[1] for c in cases]
 
 
+def test_parse_ymd(spark):
+    cases = [("2020/03/01", "2020-03-01"), ("2020/3/1", "2020-03-01"), ("25/05/01", None), ("2020/02/30", None), ("2020/13/01", None),
+             ("2020/3/1 ", None), ("20/3/2001", None), ("2020-03-01", None), ("12020/03/01", None), ("", None), (None, None)]
+    df = spark.createDataFrame([(c[0],) for c in cases], "d string")
+    got = [None if r.o is None else r.o.isoformat() for r in df.select(D.parse_ymd(F.col("d")).alias("o")).collect()]
+    assert got == [c[1] for c in cases]
+
+
 def test_register_dates_and_asof(spark):
     from ledgermatch.operators.registers import closed_by
     cases = [("31/12/2009", True), (None, False), ("01/01/2010", True), ("02/01/2010", False)]

@@ -4,9 +4,9 @@ import pytest
 
 from oracle_check import compare
 
-from conftest import SMALL_SF
+from small import SMALL_SF
 
-FAST_KEYS = ["feed_counts", "supplier_clean", "filter_numeric", "html_text", "parse_mixed_date",
+FAST_KEYS = ["feed_counts", "supplier_clean", "filter_numeric", "html_text", "parse_mixed_date", "parse_ymd",
              "org_counter", "drop_audit", "normalise_name", "suppliers", "register_company",
              "register_spine", "fuzzy_top5_jaccard", "fuzzy_top5_lev"]
 
