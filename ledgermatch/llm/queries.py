@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import conversations, decontam, langid, mixing, pii, quality, secrets, simhash, spans, tokens, toxicity, urls
+from . import collocations, conversations, decontam, langid, mixing, pii, quality, secrets, simhash, spans, tokens, toxicity, urls
 from .common import sha256_of, table
 
 
@@ -56,6 +56,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.top_phrases(table(spark, sf_dir, "documents"))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.report(conversations.damaged(table(spark, sf_dir, "conversations")), copies="copies")
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op12_collocations": op12_collocations,
     "op13_conversations": op13_conversations,
 }
 
@@ -79,5 +84,6 @@ ORACLE_SQL: dict[str, str] = {
     "op5_mix": mixing.ORACLE,
     "op8_urls": urls.ORACLE,
     "op10_quality": quality.ORACLE,
+    "op12_collocations": collocations.ORACLE,
     "op13_conversations": conversations.ORACLE,
 }
