@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, conversations, decontam, langid, mixing, pii, quality, secrets, simhash, spans, tokens, toxicity, urls
+from . import collocations, conversations, decontam, langid, mixing, pii, qda, quality, secrets, simhash, spans, tokens, toxicity, urls
 from .common import sha256_of, table
 
 
@@ -56,6 +56,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(table(spark, sf_dir, "documents"))
 
 
+def op11_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return qda.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.top_phrases(table(spark, sf_dir, "documents"))
 
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_urls": op8_urls,
     "op9_toxicity": op9_toxicity,
     "op10_quality": op10_quality,
+    "op11_classifier": op11_classifier,
     "op12_collocations": op12_collocations,
     "op13_conversations": op13_conversations,
 }
