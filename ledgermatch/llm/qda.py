@@ -94,20 +94,18 @@ def statistics(text: str) -> list[float]:
             worst(symbol, dark), worst(mark, dark), worst(capital, np.maximum(letter, capital)), worst(letter, dark, -1)]
 
 
-def measured(docs: DataFrame, *keep: str) -> DataFrame:
-    """``keep`` and ``x``, the statistics of each whole text."""
-    kinds = [docs.schema[c].dataType.simpleString() for c in keep]
-
+def measured(docs: DataFrame) -> DataFrame:
+    """``doc_id, x``: the statistics of each whole text, written to the shared folder."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(len(keep)).to_pylist()
+            texts = b.column(1).to_pylist()
             for lo, hi in slices(texts):
                 x = pa.array([statistics(t) for t in texts[lo:hi]], pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*(b.column(i).slice(lo, hi - lo) for i in range(len(keep))), x],
-                                                 [*keep, "x"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), x], ["doc_id", "x"])
 
-    schema = ", ".join([*(f"`{c}` {k}" for c, k in zip(keep, kinds)), "x array<double>"])
-    return docs.select(*keep, text_of().alias("text")).mapInArrow(run, schema)
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select("doc_id", text_of().alias("text")).mapInArrow(run, f"doc_id {kind}, x array<double>")
+    return written(rows, "qda-statistics")
 
 
 # -- moments ----------------------------------------------------------------------------------
@@ -172,13 +170,12 @@ def shrunk(cov: np.ndarray, scatter: float, n: float, least: float = 1e-3) -> tu
     return out + 1e-9 * np.eye(len(cov)), float(share)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """From all documents with a label 0 or 1 in ``labels.quality``."""
+def fit(rows: DataFrame, labels: DataFrame) -> Model:
+    """From all rows of ``measured`` with a label 0 or 1 in ``labels.quality``."""
     size = len(NAMES)
     marked = (labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.min(F.col("quality").cast("int")).alias("y")))
-    joined = docs.select("doc_id", "text").join(marked, "doc_id")
-    rows = written(measured(joined, "y"), "qda-training")  # statistics only, read twice
+    rows = written(rows.join(marked, "doc_id").select("y", "x"), "qda-training")  # read twice
 
     def moments(_, x):
         return np.concatenate([[len(x)], x.sum(axis=0), (x.T @ x).ravel()])
@@ -210,26 +207,23 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     return Model(center, scale, (classes[0], classes[1]), (shares[0], shares[1]))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """``doc_id, score, log_odds`` for every document."""
+def scored(rows: DataFrame, model: Model) -> DataFrame:
+    """``doc_id, score, log_odds`` for every row of ``measured``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for lo, hi in slices(texts):
-                d = model.log_odds(np.array([statistics(t) for t in texts[lo:hi]]))
-                score = np.where(d >= 0, (1 + d) / (2 + np.abs(d)), 1 / (2 + np.abs(d)))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(score), pa.array(d)],
-                                                 ["doc_id", "score", "log_odds"])
+            d = model.log_odds(np.array(b.column(1).to_pylist(), dtype=np.float64).reshape(-1, len(NAMES)))
+            score = np.where(d >= 0, (1 + d) / (2 + np.abs(d)), 1 / (2 + np.abs(d)))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array(d)], ["doc_id", "score", "log_odds"])
 
-    rows = docs.select("doc_id", text_of().alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, score double, log_odds double")
+    return rows.select("doc_id", "x").mapInArrow(run, f"doc_id {kind}, score double, log_odds double")
 
 
 def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``doc_id, held_out, score, predicted, log_odds`` for all documents; learns from rows that are not held out."""
     fold = fold_of(F.col("doc_id"), FOLDS)
-    model = fit(docs.where(fold != HELD_OUT), labels)
-    return scored(docs, model).select(
+    rows = measured(docs)  # every text is read once
+    model = fit(rows.where(fold != HELD_OUT), labels)
+    return scored(rows, model).select(
         "doc_id", (fold == HELD_OUT).alias("held_out"), "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "log_odds")

@@ -30,7 +30,7 @@ def test_query_covers_all_rows(spark, small_docs):
 def test_fit_equals_plain_moments(spark, small_docs):
     """Means, shrunk covariances and densities from Spark's sums equal those of numpy over the collected rows."""
     labels = spark.read.parquet("/root/testdata/sf0.001/labels.parquet")
-    model = qda.fit(small_docs, labels)
+    model = qda.fit(qda.measured(small_docs), labels)
     rows = small_docs.join(labels, "doc_id").select("text", "quality").collect()
     x = np.array([qda.statistics(r.text) for r in rows])
     y = np.array([r.quality for r in rows])
