@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .edit_distance import best_pairs_by_edits
+
 DEFAULT_MIN_SIMILARITY = 0.5
 DEFAULT_K = 5
 # A key that more names of one side may share is split into buckets of about so many.
@@ -214,16 +216,18 @@ def match_top_k(left: DataFrame, left_key: str, right: DataFrame, right_key: str
     (plus match_type when given, plus register columns named in ``carry``).
 
     Without ``min_similarity`` the Jaccard scorer ranks all register names that
-    share a token; the Levenshtein scorer always ranks the pairs above a token
-    Jaccard (0.5 unless given).
+    share a token, the Levenshtein scorer all register names.  With it both rank
+    the pairs of that token Jaccard and more.
     """
     extra = ("choice_ord", *carry)
-    if min_similarity is None and scorer == "jaccard":
-        cands = best_pairs(left, left_key, right, right_key, k, right_extra=extra)
+    if min_similarity is not None:
+        scored = score_pairs(candidate_pairs(left, left_key, right, right_key, min_similarity, right_extra=extra), scorer)
     else:
-        cands = candidate_pairs(left, left_key, right, right_key,
-                                DEFAULT_MIN_SIMILARITY if min_similarity is None else min_similarity, right_extra=extra)
-    best = top_k(score_pairs(cands, scorer), k)
+        scored = best_pairs(left, left_key, right, right_key, k, right_extra=extra)
+        if scorer == "levenshtein":
+            scored = best_pairs_by_edits(left, left_key, right, right_key, scored, k, right_extra=extra)
+        scored = score_pairs(scored, scorer)
+    best = top_k(scored, k)
     cols = [F.col("s").alias("NORMALIZED_SUPPLIER"), F.col("rank").cast("int").alias("rank"),
             F.col("r").alias("match"), "score", "choice_ord", *carry]
     if match_type is not None:

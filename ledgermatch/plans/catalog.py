@@ -389,7 +389,7 @@ def _full(final: str, extra: list | None = None) -> str:
 
 def _top5_sql(match_type, scorer):
     return _full("SELECT s AS NORMALIZED_SUPPLIER, CAST(rank AS INTEGER) AS rank, r AS match, score, choice_ord "
-                 "FROM m_top", O.match_ctes(match_type, scorer, 0.0 if scorer == "jaccard" else 0.5))
+                 "FROM m_top", O.match_ctes(match_type, scorer, 0.0 if scorer == "jaccard" else None))
 
 
 def _matches_all_sql():

@@ -298,12 +298,24 @@ def token_sorted(x: str) -> str:
             f"{x}, '[^A-Za-z0-9]', ' ', 'g')), ' '), lambda t: t <> '')), ' ')")
 
 
-def match_ctes(match_type: str, scorer: str, t: float = DEFAULT_MIN_SIMILARITY,
+def match_ctes(match_type: str, scorer: str, t: float | None = DEFAULT_MIN_SIMILARITY,
                prefix: str = "m") -> list[tuple[str, str]]:
     """Brute-force token-Jaccard candidates (all pairs sharing a token),
-    scored and ranked; relation ``{prefix}_top`` holds the top 5."""
+    scored and ranked; relation ``{prefix}_top`` holds the top 5.  Edit
+    distance without ``t`` scores all pairs."""
     reg, _ = register_rel(match_type)
     p = prefix
+    if scorer == "levenshtein" and t is None:
+        return [
+            (f"{p}_l!", "SELECT DISTINCT NORMALIZED_SUPPLIER AS s FROM suppliers "
+                        "WHERE NORMALIZED_SUPPLIER IS NOT NULL AND NORMALIZED_SUPPLIER <> ''"),
+            (f"{p}_r!", f"SELECT r, choice_ord FROM ({reg}) WHERE r <> ''"),
+            (f"{p}_scored", "SELECT s, r, choice_ord, 1.0 - CAST(levenshtein(s, r) AS DOUBLE) / greatest(length(s), length(r)) AS sim "
+                            f"FROM {p}_l CROSS JOIN {p}_r"),
+            (f"{p}_top", "SELECT s, r, choice_ord, sim, CAST(round(sim * 100) AS INTEGER) AS score, "
+                         "row_number() OVER (PARTITION BY s ORDER BY sim DESC, choice_ord) AS rank "
+                         f"FROM {p}_scored QUALIFY rank <= 5"),
+        ]
     sim = {"jaccard": "jaccard",
            "levenshtein": "CASE WHEN greatest(length(s), length(r)) = 0 THEN 1.0 ELSE "
                           "1.0 - levenshtein(s, r) / greatest(length(s), length(r)) END"}[scorer]
