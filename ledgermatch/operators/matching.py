@@ -27,13 +27,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .edit_distance import best_pairs_by_edits
+from .edit_distance import best_pairs_by_edits, dealt_join
 
 DEFAULT_MIN_SIMILARITY = 0.5
 DEFAULT_K = 5
 # A key that more names of one side may share is split into buckets of about so many.
 ROWS_PER_SALT = 5000
-# Names of more tokens are not indexed by token subsets but joined by token.
+# Of names with more tokens, the most common ones are indexed by subsets.
 SUBSET_TOKENS = 10
 _EPS = 1e-9
 
@@ -178,29 +178,54 @@ def best_pairs(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
     first k names of (S, b) share S at least, so none scores below r, and those
     that score the same come before it.  If r is not among them, k names beat
     it.  A left name meets ``k`` names per subset and length at most, whatever
-    token is common.  Names of over ``SUBSET_TOKENS`` tokens are joined by
-    token with all others, each pair at its first shared token.
+    token is common.
+
+    A name of more than ``SUBSET_TOKENS`` tokens is indexed by the subsets of
+    its most common ones only (the proof holds for S among the indexed tokens of
+    both).  Pairs that share a token which is not indexed for one of them, a
+    rarer one of a long name, meet at that token, the first such one they share.
     """
     rx = list(right_extra)
     L = _tokenised(left.select(left_key).distinct(), left_key, []).select(
         F.col("name").alias("s"), F.array_sort("toks").alias("s_toks"), F.size("toks").alias("s_n"))
     R = _tokenised(right, right_key, rx).select(
         F.col("name").alias("r"), *rx, F.array_sort("toks").alias("r_toks"), F.size("toks").alias("r_n"))
+    freq = (L.select(F.explode("s_toks").alias("tok")).unionByName(R.select(F.explode("r_toks").alias("tok")))
+            .groupBy("tok").agg(F.count(F.lit(1)).alias("df")))
+    L, R = _with_common(L, "s", freq), _with_common(R, "r", freq)
     first = Window.partitionBy("sub", "r_n").orderBy("choice_ord", "r")
-    index = (R.where(F.col("r_n") <= SUBSET_TOKENS).withColumn("sub", F.explode(_subsets(F.col("r_toks"))))
+    index = (R.withColumn("sub", F.explode(_subsets(F.col("r_common"))))
              .withColumn("at", F.row_number().over(first)).where(F.col("at") <= k).drop("at"))
-    asked = L.where(F.col("s_n") <= SUBSET_TOKENS).withColumn("sub", F.explode(_subsets(F.col("s_toks"))))
+    asked = L.withColumn("sub", F.explode(_subsets(F.col("s_common"))))
     shared = F.array_intersect("s_toks", "r_toks")
-    short = asked.join(index, "sub").where(F.array_join(shared, " ") == F.col("sub"))
-    lt, rt = L.withColumn("tok", F.explode("s_toks")), R.withColumn("tok", F.explode("r_toks"))
-    long = (lt.join(rt.where(F.col("r_n") > SUBSET_TOKENS), "tok")
-            .unionByName(lt.where(F.col("s_n") > SUBSET_TOKENS).join(rt.where(F.col("r_n") <= SUBSET_TOKENS), "tok"))
-            .where(shared[0] == F.col("tok")))
-    pairs = short.drop("sub").unionByName(long.drop("tok")).withColumn("inter", F.size(shared))
+    indexed = asked.join(index, "sub").where(F.array_join(shared, " ") == F.col("sub"))
+
+    def tokens(side: DataFrame, p: str) -> DataFrame:
+        out = side.withColumn("tok", F.explode(f"{p}_toks"))
+        return out.withColumn(f"{p}_rare", ~F.array_contains(f"{p}_common", F.col("tok")))
+
+    lt, rt = tokens(L, "s"), tokens(R, "r")
+    rare = F.filter(shared, lambda x: ~(F.array_contains("s_common", x) & F.array_contains("r_common", x)))
+    at_first = F.get(rare, F.lit(0)) == F.col("tok")
+    met = (dealt_join(lt.where("s_rare"), rt, ["tok"], "s", "r", at_first)
+           .unionByName(dealt_join(lt.where("NOT s_rare"), rt.where("r_rare"), ["tok"], "s", "r", at_first)))
+    columns = ["s", "r", *rx, "s_toks", "r_toks", "s_n", "r_n"]
+    pairs = indexed.select(*columns).unionByName(met.select(*columns)).withColumn("inter", F.size(shared))
     return (pairs.withColumn("jaccard", F.col("inter") / (F.col("s_n") + F.col("r_n") - F.col("inter")))
             .select("s", "r", *rx, "s_toks", "r_toks", "inter", "jaccard"))
 
 
+def _with_common(side: DataFrame, p: str, freq: DataFrame) -> DataFrame:
+    """Adds ``<p>_common``: the name's ``SUBSET_TOKENS`` most common tokens in alphabetical order, or all of fewer."""
+    toks, size = f"{p}_toks", F.col(f"{p}_n")
+    short = side.where(size <= SUBSET_TOKENS).withColumn(f"{p}_common", F.col(toks))
+    long = side.where(size > SUBSET_TOKENS)
+    ranked = (long.select(p, F.explode(toks).alias("tok")).join(freq, "tok").groupBy(p)
+              .agg(F.array_sort(F.collect_list(F.struct((-F.col("df")).alias("order"), "tok"))).alias("ranked")))
+    common = ranked.select(p, F.array_sort(F.slice("ranked", 1, SUBSET_TOKENS)["tok"]).alias(f"{p}_common"))
+    return short.unionByName(long.join(common, p))
+
+
 def top_k(scored: DataFrame, k: int = DEFAULT_K) -> DataFrame:
     """Best ``k`` per supplier by unrounded similarity, then register order."""
     w = Window.partitionBy("s").orderBy(F.desc("sim"), F.asc("choice_ord"))

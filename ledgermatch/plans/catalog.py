@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions import dates as D
 from ..functions import text as T
 from ..functions.normalise import STAGE_NAMES, normalise_frame
+from ..operators import grams as G
 from ..operators import matching as M
 from ..operators import payments as PM
 from ..operators import registers as RG
@@ -242,6 +243,13 @@ def q_match_candidates(spark, sf):
     return _candidates(spark, sf, "ch").select("s", "r", "choice_ord", "inter", "jaccard")
 
 
+def q_match_candidates_gram(spark, sf):
+    sup, regs = _sup_regs(spark, sf, "ch")
+    reg, key = P.register_for("ch", P.matchable_registers(regs))
+    found = G.candidate_pairs_by_grams(RV.matchable(sup), "NORMALIZED_SUPPLIER", reg, key)
+    return found.withColumn("similarity", F.round("similarity", 9))
+
+
 def q_pair_token_jaccard(spark, sf):
     return _candidates(spark, sf, "spine").select("s", "r", "jaccard")
 
@@ -341,6 +349,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "register_asof_split": q_register_asof_split,
     "exact_match": q_exact_match,
     "match_candidates": q_match_candidates,
+    "match_candidates_gram": q_match_candidates_gram,
     "pair_token_jaccard": q_pair_token_jaccard,
     "pair_levenshtein": q_pair_levenshtein,
     "pair_token_sort": q_pair_token_sort,
@@ -496,6 +505,12 @@ def oracle_sql() -> dict[str, str]:
                              "WHERE s.NORMALIZED_SUPPLIER <> ''"),
         "match_candidates": _full("SELECT s, r, choice_ord, inter, jaccard FROM m_cand",
                                   O.match_ctes("ch", "jaccard")),
+        "match_candidates_gram": _full(
+            f"SELECT s, r, choice_ord, inter, round(inter / (n + m - inter), 9) AS similarity FROM ("
+            "SELECT s, r, choice_ord, len(x) AS n, len(y) AS m, CASE WHEN least(len(x), len(y)) >= 0.699 * greatest(len(x), len(y)) "
+            f"THEN len(list_intersect(x, y)) ELSE 0 END AS inter FROM gl, gr) WHERE inter / (n + m - inter) >= {G.DEFAULT_MIN_SIMILARITY - 1e-9!r}",
+            [("gl!", f"SELECT s, {O.gram_list('s')} AS x FROM (SELECT DISTINCT NORMALIZED_SUPPLIER AS s FROM suppliers) WHERE s <> ''"),
+             ("gr!", f"SELECT r, choice_ord, {O.gram_list('r')} AS y FROM ({O.register_rel('ch')[0]})")]),
         "pair_token_jaccard": _full("SELECT s, r, jaccard FROM m_cand", O.match_ctes("spine", "jaccard")),
         "pair_levenshtein": _full("SELECT s, r, CASE WHEN greatest(length(s), length(r)) = 0 THEN 1.0 ELSE "
                                   "1.0 - levenshtein(s, r) / greatest(length(s), length(r)) END AS sim FROM m_cand",

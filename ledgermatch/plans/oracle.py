@@ -121,6 +121,10 @@ def token_list(x: str) -> str:
     return f"list_distinct(list_filter(string_split({processed}, ' '), lambda t: t <> ''))"
 
 
+def gram_list(x: str) -> str:
+    return f"list_distinct(list_transform(range(1, length({x}) + 2), lambda i: substring('  ' || {x} || ' ', i, 3)))"
+
+
 def list_text(values: str, order: str) -> str:
     """Aggregate: values joined with '|' in ``order``; missing as 'NULL'."""
     return f"string_agg(coalesce(CAST({values} AS VARCHAR), 'NULL'), '|' ORDER BY {order})"

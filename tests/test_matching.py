@@ -84,6 +84,24 @@ def test_common_token_does_not_join_all_names(spark):
     assert by_key[0].where("n = other").join(by_key[1], "key").count() == 0  # LTD alone is no key
 
 
+def test_long_names_that_share_common_tokens(spark):
+    """5,000 names of 13 tokens with three in common do not all meet; the result is that of all pairs."""
+    def name(side, i):
+        return " ".join(["OF", "THE", "LTD", *(f"{side}{i}T{j}" for j in range(9)), f"Z{i % 700}"])
+
+    left = [name("A", i) for i in range(2500)] + ["OF LTD", "Z3 OF"]
+    right = [name("B", i) for i in range(2500)] + ["THE LTD OF Z5"]
+    L = spark.createDataFrame([(x,) for x in left], "NORMALIZED_SUPPLIER string")
+    R = spark.createDataFrame([(x, i) for i, x in enumerate(right)], "name string, choice_ord long")
+    assert M.best_pairs(L, "NORMALIZED_SUPPLIER", R, "name").count() < 30 * len(left)
+    got = {(r.NORMALIZED_SUPPLIER, r.rank): r.choice_ord for r in M.match_top_k(L, "NORMALIZED_SUPPLIER", R, "name").collect()}
+    tokens = [set(x.split()) for x in right]
+    for s in [*left[:40], *left[-3:]]:
+        a = set(s.split())
+        ranked = sorted((-len(a & b) / len(a | b), i) for i, b in enumerate(tokens) if a & b)[:5]
+        assert [got[s, at] for at in range(1, len(ranked) + 1)] == [i for _, i in ranked], s
+
+
 def test_token_sort_and_set(spark):
     row = spark.sql("SELECT 'ACME LTD' a, 'LTD ACME' b, 'ACME LTD NORTH' c").select(
         M.token_sort_similarity(F.col("a"), F.col("b")).alias("x"), M.token_set_similarity(F.col("a"), F.col("c")).alias("y"),
