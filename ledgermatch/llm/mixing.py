@@ -1,54 +1,57 @@
 """Mixing sources to target weights by Pfair scheduling, on built-in functions only.
 
 The documents of a source, in an order given by their hash, form blocks of
-``block_docs``.  A source's target weight is rounded to ``a`` slots in a period
-of ``P`` slots.  Its block number k of a period may run from slot
-``floor(k P / a)`` (release) and must run before slot ``ceil((k+1) P / a)``
+``block_docs``.  A source's target weight becomes a share ``a / A`` of the
+slots, exact to parts of 10**11.  Its block number k may run from slot
+``floor(k A / a)`` (release) and must run before slot ``ceil((k + 1) A / a)``
 (deadline).  In each slot the released block with the earliest deadline runs,
-ties by source.  As the slots of a period sum to P, every block meets its
-deadline, so at any time each source has had its rounded share to within one
-block.
-
-The rounding adds up over the periods.  Where it would come to a block before
-the mix ends, or with more than ``FOLD_SOURCES`` sources, the true weights are
-used instead, without a period: the sources are the leaves of a Huffman tree,
-and of the first t slots of a node its left child, of share p, has
-``floor(p t + 1/2)``.  A block's slot follows from its number by one formula per
-node above it.  A node is off its share of its parent's slots by half a block at
-most, and a parent's error counts by the child's share in it; a node's sibling
-in the tree outweighs each of its children, so these sum to less than two blocks.
-So either way each source has had its true share to within two blocks.
-
-* The schedule repeats with the period, so one period is computed, by a fold
-  over its slots: ``period`` plus the number of sources bounds its size, and
-  with it the size of the table that is broadcast to the documents.
+ties by source.  Every block meets its deadline, so after every slot each
+source has had its share to within less than one block, however many slots.
+
+The schedule is computed in stretches of slots that run in parallel.  What has
+run when a stretch begins, at slot t, follows from t alone: each source has had
+the whole part of ``t a / A`` blocks, and some have had the block that t falls
+into as well.  Which ones is settled between two limits: blocks that are due
+soon behind t must be among them as far as the slots behind t do not suffice
+(earliest deadline first); of those the earliest released are taken, as the
+slots before t may not hold more of the late ones.  Both limits can be met at
+any t, since earliest-deadline-first from slot 0 meets them.  Blocks of a
+stretch then have their windows cut to it, and earliest-deadline-first fits them
+in.  A stretch is longer than any window, so no window crosses two of its ends.
+
+* A stretch is one row, and so are the shares of all sources: a mixture of tens
+  to thousands of sources.  Work per slot grows with the sources.
 * Documents are numbered within their source without a task that sees a whole
   source: rows are counted by hash prefix, the counts become offsets level by
-  level (16 rows to a window), and rows are ranked inside a prefix only.
+  level (16 rows to a window), and rows are ranked inside a prefix only.  The
+  slots of a prefix's few blocks come with its offset, so documents are not
+  shuffled once more for them, and nothing is broadcast by hint.
 * No document is dropped.  Once a source has run out its slots stay empty, and
   the others keep their places; the order of the mix is ``slot, place``.
 
 A null source is a source of its own.  A source without a positive target
-weight gets one slot in a period, or that share in the tree.  Repeated rows are ranked one after the
-other.  Further columns pass through; names with a double underscore are used
-inside.
+weight, or with a share below ``LEAST_SHARE``, gets that share before shares are
+made to add up to one.  Without any positive weight all shares are equal.
+Repeated rows are ranked one after the other.  Further columns pass through;
+names that begin with a double underscore are refused.
 """
 
 from __future__ import annotations
 
-import heapq
-
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import cut, text_of, written
 
-PERIOD = 1000
 BLOCK_DOCS = 100
 ROWS_PER_PREFIX = 20_000
-FOLD_SOURCES = 64
+#: Slots of a stretch at least.
+STRETCH = 1000
 #: A share is a whole number of these parts.
-PARTS = 10 ** 12
+PARTS = 10 ** 11
+LEAST_SHARE = 1e-5
+#: Slots that are put together before they join those of the stretch.
+CHUNK = 500
 
 
 def source_key(source: str = "source") -> Column:
@@ -62,75 +65,83 @@ def root_weights(docs: DataFrame) -> DataFrame:
             .select("__src", F.floor(F.sqrt("n") * 1_000_000).alias("weight"), "n"))
 
 
-def schedule(weights: DataFrame, period: int = PERIOD) -> DataFrame:
-    """One row per source: ``__src``, ``a`` (its slots in a period), ``P`` and ``slots``, the slot of each block."""
-    whole = Window.partitionBy()  # one row per source; their number is bounded by the mixture
+def shares(sizes: DataFrame, block_docs: int = BLOCK_DOCS, stretch: int = STRETCH) -> DataFrame:
+    """One row for ``__src, weight, n``: ``s`` (``src, a, blocks`` by source), ``whole``, ``length`` (slots of a stretch), ``total`` slots, ``stretches``."""
     w = F.greatest(F.coalesce(F.col("weight"), F.lit(0)), F.lit(0)).cast("double")
-    shares = weights.select("__src", (2 * F.lit(period) * w).alias("x"), F.sum(w).over(whole).alias("sum"))
-    shares = shares.select("__src", F.when(F.col("sum") > 0, F.floor((F.col("x") + F.col("sum")) / (2 * F.col("sum"))))
-                           .otherwise(1).cast("long").alias("a"))
-    shares = shares.select("__src", F.greatest("a", F.lit(1)).alias("a"))
-    one = shares.agg(F.array_sort(F.collect_list(F.struct("__src", "a"))).alias("s"), F.sum("a").alias("P"))
-    picks = """
-        aggregate(sequence(0L, P - 1),
-          named_struct('k', transform(s, x -> 0L), 'out', cast(array() as array<int>)),
-          (st, t) -> transform(array(array_min(transform(s, (x, i) -> CASE
-                WHEN st.k[i] < x.a AND (st.k[i] * P) div x.a <= t
-                THEN (((st.k[i] + 1) * P + x.a - 1) div x.a) * 1000000 + i END)) % 1000000),
-              pick -> named_struct('k', transform(st.k, (n, i) -> n + if(i = pick, 1L, 0L)),
-                                   'out', array_append(st.out, cast(pick as int))))[0],
-          st -> st.out)"""
-    table = one.select("s", "P", F.expr(picks).alias("out"))
-    table = table.select("P", "out", F.posexplode("s").alias("at", "x"))
-    return table.select(
-        F.col("x.__src").alias("__src"), F.col("x.a").alias("a"), "P",
-        F.expr("transform(filter(transform(out, (p, t) -> if(p = at, t, null)), t -> t is not null), t -> cast(t as long))")
-        .alias("slots"))
-
-
-def rounding_adds_up(sizes: list[Row], block_docs: int = BLOCK_DOCS, period: int = PERIOD) -> bool:
-    """Whether ``schedule`` would be off the true weights of ``sizes`` (``weight, n``) by a block before the mix ends."""
-    weights = [max(float(r.weight or 0), 0.0) for r in sizes]
-    total = sum(weights)
-    slots = [max(1, int((2 * period * w + total) // (2 * total))) if total > 0 else 1 for w in weights]
-    whole = sum(slots)
-    end = max((-(-r.n // block_docs) * whole / a for r, a in zip(sizes, slots)), default=0)
-    return len(sizes) > FOLD_SOURCES or any(abs(a / whole - w / total) * end >= 1 for a, w in zip(slots, weights) if w > 0)
-
-
-def paths(sizes: list[Row], period: int = PERIOD) -> list[tuple[str, list[tuple[int, int, bool]]]]:
-    """``__src`` and its nodes from the leaf to the root: own weight, the parent's, and whether it is the left child."""
-    weights = [max(float(r.weight or 0), 0.0) for r in sizes]
-    total = sum(weights)
-    parts = [max(1, round(PARTS * w / total)) if w > 0 else PARTS // period for w in weights] if total > 0 else [1] * len(sizes)
-    heap = [(w, i) for i, w in enumerate(parts)]
-    heapq.heapify(heap)
-    up: dict[int, tuple[int, tuple[int, int, bool]]] = {}  # of a node: its parent and its entry in a path
-    node = len(heap)
-    while len(heap) > 1:
-        (a, i), (b, j) = heapq.heappop(heap), heapq.heappop(heap)
-        up[i], up[j] = (node, (a, a + b, True)), (node, (b, a + b, False))
-        heapq.heappush(heap, (a + b, node))
-        node += 1
-    out = []
-    for i, r in enumerate(sizes):
-        path, at = [], i
-        while at in up:
-            at, entry = up[at]
-            path.append(entry)
-        out.append((r["__src"], path))
-    return out
-
-
-#: From a source's block number and the nodes above it to the slot.
-TREE_SLOT = """
-    aggregate(__path, __block, (t, x) ->
-      (cast(2 * t + 1 as decimal(20, 0)) * cast(x.whole as decimal(16, 0)) + if(x.left, 2 * x.own - 1, 0L)) div (2 * x.own)
-      - if(x.left, 1L, 0L))"""
-
-
-def numbered(docs: DataFrame, rows: int, rows_per_prefix: int = ROWS_PER_PREFIX) -> DataFrame:
-    """Adds ``__src`` and ``__no``, the document's number in its source by hash order, from zero."""
+    one = sizes.select("__src", w.alias("w"), "n").agg(F.array_sort(F.collect_list(F.struct("__src", "w", "n"))).alias("all"))
+    one = one.withColumn("sum", F.expr("aggregate(all, 0D, (t, x) -> t + x.w)"))
+    least = round(LEAST_SHARE * PARTS)
+    part = f"greatest({least}L, cast(if(sum > 0, floor(x.w / sum * {PARTS} + 0.5D), 0) as bigint))"
+    one = one.select(F.expr(f"transform(all, x -> named_struct('src', x.__src, 'a', {part}, "
+                            f"'blocks', cast(ceil(x.n / {block_docs}) as bigint)))").alias("s"))
+    one = one.withColumn("whole", F.expr("aggregate(s, 0L, (t, x) -> t + x.a)"))
+    one = one.withColumn("length", F.expr(f"greatest({stretch}L, (whole + array_min(s.a) - 1) div array_min(s.a) + 1)"))
+    ends = "ceil(cast(x.blocks as decimal(18,0)) * cast(whole as decimal(18,0)) / cast(x.a as decimal(12,0)))"
+    one = one.withColumn("total", F.expr(f"array_max(transform(s, x -> cast({ends} as bigint)))"))
+    return one.withColumn("stretches", F.expr("cast(ceil(total / length) as bigint)")).where("size(s) > 0")
+
+
+#: Of each source at slot ``t``: blocks it has had for certain, the part of the next one in A-ths, and how far the
+#: release of that block lies before t and its deadline behind.
+_AT = """transform(s, x -> named_struct('a', x.a,
+    'k', cast(cast({t} as decimal(18,0)) * cast(x.a as decimal(12,0)) div cast(whole as decimal(18,0)) as bigint),
+    'f', cast(cast({t} as decimal(18,0)) * cast(x.a as decimal(12,0)) % cast(whole as decimal(18,0)) as bigint)))"""
+#: Slots up to ``d`` behind t that blocks released behind t leave free.
+_FREE = "({d} - aggregate(b, 0L, (n, x) -> n + greatest(0L, (x.f + {d} * x.a) div whole - if(x.f > 0, 1L, 0L))))"
+#: Places of the sources that have had the block which t falls into.
+_AHEAD = f"""aggregate(
+    array_sort(filter(transform(b, (x, i) -> named_struct('due', (whole - x.f + x.a - 1) div x.a, 'i', i,
+                                                          'since', (x.f + x.a - 1) div x.a, 'open', x.f > 0)), y -> y.open)),
+    named_struct('n', 0L, 'ahead', cast(array() as array<int>), 'pool', cast(array() as array<struct<since: bigint, i: int>>)),
+    (st, y) -> transform(array(named_struct(
+        'pool', array_sort(array_append(st.pool, named_struct('since', -y.since, 'i', y.i))),
+        'need', cast(greatest(0L, st.n + 1 - {_FREE.format(d="y.due")} - size(st.ahead)) as int))),
+      z -> named_struct('n', st.n + 1, 'ahead', concat(st.ahead, slice(z.pool, 1, z.need).i),
+                        'pool', slice(z.pool, z.need + 1, size(z.pool))))[0],
+    st -> concat(st.ahead, slice(st.pool, 1, cast(aggregate(b, 0L, (n, x) -> n + x.f) div whole as int) - size(st.ahead)).i))"""
+
+#: Earliest deadline first: of each slot the source's place and its block.
+_PICK = """array_min(transform(st.q, (q, i) -> CASE
+    WHEN (m[i] IS NULL OR q < m[i]) AND e[i] + q * whole < (tau + 1) * s[i].a
+    THEN least((e[i] + (q + 1) * whole + s[i].a - 1) div s[i].a, coalesce(m[i] * 0 + length, 9000000000000L)) * 1000000 + i END)) % 1000000"""
+_CHUNK = f"""aggregate(sequence(c * {CHUNK}, least(c * {CHUNK} + {CHUNK - 1}, span - 1)),
+    named_struct('q', st0.q, 'out', cast(array() as array<struct<i: int, block: bigint>>)),
+    (st, tau) -> transform(array(cast({_PICK} as int)), pick -> named_struct(
+        'q', transform(st.q, (n, i) -> n + if(i = pick, 1L, 0L)),
+        'out', array_append(st.out, named_struct('i', pick, 'block', c0[pick] + st.q[pick]))))[0])"""
+_RUN = f"""flatten(aggregate(sequence(0L, (span - 1) div {CHUNK}),
+    named_struct('q', transform(s, x -> 0L), 'out', cast(array() as array<array<struct<i: int, block: bigint>>>)),
+    (st0, c) -> transform(array({_CHUNK}), z -> named_struct('q', z.q, 'out', array_append(st0.out, z.out)))[0],
+    st0 -> st0.out))"""
+
+
+def _begun(t: str) -> str:
+    """Per source before slot ``t``: blocks that have run (``c``), and how far ahead of its share that is (``e``, in parts)."""
+    # Bound as lambda variables, so that each is evaluated once.
+    return (f"transform(array({_AT.format(t=t)}), b -> transform(array({_AHEAD}), w -> transform(b, (x, i) -> "
+            "named_struct('c', x.k + if(array_contains(w, i), 1L, 0L), 'e', if(array_contains(w, i), whole, 0L) - x.f)))[0])[0]")
+
+
+def schedule(table: DataFrame) -> DataFrame:
+    """The slot of every block of ``shares``: ``__src, block, slot``; one row of work per stretch."""
+    rows = table.withColumn("j", F.explode(F.expr("sequence(0L, stretches - 1)"))).repartition("j")
+    rows = rows.select("*", F.expr(_begun("j * length")).alias("now"), F.expr(_begun("(j + 1) * length")).alias("then"))
+    rows = cut(rows)
+    # The last stretch has no end to fit in.
+    rows = cut(rows.select("s", "whole", "length", "j", F.expr("least(length, total - j * length)").alias("span"), F.expr("now.c").alias("c0"), F.expr("now.e").alias("e"),
+                           F.expr("transform(now, (x, i) -> if(j < stretches - 1, then[i].c - x.c, null))").alias("m")))
+    picks = rows.select("s", "j", "length", F.posexplode(F.expr(_RUN)).alias("at", "pick"))
+    picks = picks.withColumn("own", F.expr("s[pick.i]")).where("pick.block < own.blocks")
+    return picks.select(F.col("own.src").alias("__src"), F.col("pick.block").alias("block"), F.expr("j * length + at").alias("slot"))
+
+
+def numbered(docs: DataFrame, rows: int, rows_per_prefix: int = ROWS_PER_PREFIX, slots: DataFrame | None = None,
+             block_docs: int = BLOCK_DOCS) -> DataFrame:
+    """Adds ``__src`` and ``__no``, the document's number in its source by hash order, from zero.
+
+    With ``slots`` (``__src, block, slot``) also ``__slots``, those of the
+    blocks that the row's hash prefix reaches, and ``__first``, the first of these blocks.
+    """
     depth = 1
     while rows > rows_per_prefix * 16 ** depth:
         depth += 1
@@ -148,6 +159,13 @@ def numbered(docs: DataFrame, rows: int, rows_per_prefix: int = ROWS_PER_PREFIX)
         at = at.select("__src", "own", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("add"))
         offsets = (offsets.withColumn("own", own).join(at, ["__src", "own"])
                    .select("__src", "__p", (F.col("__off") + F.col("add")).alias("__off")))
+    if slots is not None:
+        ends = offsets.join(counts, ["__src", "__p"]).select(
+            "__src", "__p", "__off", F.floor(F.col("__off") / block_docs).alias("__first"),
+            F.floor((F.col("__off") + F.col("n") - 1) / block_docs).alias("last"))
+        found = ends.withColumn("block", F.explode(F.sequence("__first", "last"))).join(slots, ["__src", "block"])
+        offsets = (found.groupBy("__src", "__p", "__off", "__first")  # ROWS_PER_PREFIX / block_docs blocks, about
+                   .agg(F.array_sort(F.collect_list(F.struct("block", "slot")))["slot"].alias("__slots")))
     order = Window.partitionBy("__src", "__p").orderBy("__h", F.xxhash64(*docs.columns))
     ranked = hashed.withColumn("__r", F.row_number().over(order))
     return (ranked.join(offsets, ["__src", "__p"])
@@ -155,62 +173,57 @@ def numbered(docs: DataFrame, rows: int, rows_per_prefix: int = ROWS_PER_PREFIX)
 
 
 def mixed(docs: DataFrame, weights: DataFrame | None = None, block_docs: int = BLOCK_DOCS,
-          period: int = PERIOD) -> DataFrame:
+          stretch: int = STRETCH) -> DataFrame:
     """``docs`` with ``block``, ``slot`` and ``place`` (in the block); columns of these names are replaced.
 
     ``weights`` has ``source`` and ``weight``, one row per source of the
     mixture; without it the weights follow the square root of the sizes.
     """
+    if clash := [c for c in docs.columns if c.startswith("__")]:
+        raise ValueError(f"columns that begin with a double underscore are used inside: {clash}")
     docs = docs.drop("block", "slot", "place")
     sizes = root_weights(docs)
     if weights is not None:
         given = weights.groupBy(source_key().alias("__src")).agg(F.sum("weight").alias("weight"))
         sizes = sizes.select("__src", "n").join(given, "__src", "left")
-    found = sorted(sizes.collect(), key=lambda r: r["__src"])  # one row per source of the mixture
-    rows = numbered(docs, sum(r.n for r in found))
-    rows = rows.withColumn("__block", F.floor(F.col("__no") / block_docs))
-    if rounding_adds_up(found, block_docs, period):
-        table = docs.sparkSession.createDataFrame(
-            paths(found, period), "__src string, __path array<struct<own: long, whole: long, left: boolean>>")
-        slot = F.expr(TREE_SLOT)
-    else:
-        # `period` slots over all sources: a bounded table
-        table = schedule(sizes, period).select("__src", *[F.col(c).alias(f"__{c}") for c in ("a", "P", "slots")])
-        slot = (F.floor(F.col("__block") / F.col("__a")) * F.col("__P")
-                + F.get("__slots", (F.col("__block") % F.col("__a")).cast("int")))
-    return (rows.join(F.broadcast(table), "__src")
-            .withColumns({"block": F.col("__block"), "place": F.col("__no") % block_docs}).withColumn("slot", slot)
+    sizes = cut(sizes)
+    slots = written(schedule(shares(sizes, block_docs, stretch)), "mix-slots")
+    rows = sizes.agg(F.sum("n")).first()[0] or 0
+    placed = numbered(docs, rows, slots=slots, block_docs=block_docs)
+    placed = placed.withColumn("block", F.floor(F.col("__no") / block_docs))
+    return (placed.withColumns({"slot": F.get("__slots", (F.col("block") - F.col("__first")).cast("int")),
+                                "place": F.col("__no") % block_docs})
             .select(*docs.columns, "block", "slot", "place"))
 
 
 def interleaved(docs: DataFrame, weights: DataFrame | None = None, block_docs: int = BLOCK_DOCS,
-                period: int = PERIOD) -> DataFrame:
+                stretch: int = STRETCH) -> DataFrame:
     """``mixed`` laid out in the order of the mix: partitions by range of slots, sorted inside."""
-    return mixed(docs, weights, block_docs, period).repartitionByRange("slot", "place").sortWithinPartitions(
+    return mixed(docs, weights, block_docs, stretch).repartitionByRange("slot", "place").sortWithinPartitions(
         "slot", "place")
 
 
-# DuckDB SQL of ``mixed`` over documents, without the text
+# DuckDB SQL of ``mixed`` over documents, without the text: earliest deadline first from slot 0, for a mix of one stretch
 ORACLE = """
 WITH RECURSIVE d AS MATERIALIZED (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 's' || source END AS src,
          md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')) AS h FROM documents),
-w AS (SELECT src, floor(sqrt(count(*)) * 1000000) AS weight FROM d GROUP BY src),
-sh AS MATERIALIZED (SELECT src, greatest(1, floor((2000 * weight + sum(weight) OVER ()) / (2 * sum(weight) OVER ()))::BIGINT) AS a FROM w),
-s AS MATERIALIZED (SELECT list(a ORDER BY src) AS a, sum(a)::BIGINT AS p, count(*) AS n FROM sh),
+w AS (SELECT src, count(*) AS n, floor(sqrt(count(*)) * 1000000)::BIGINT AS w FROM d GROUP BY src),
+sh AS MATERIALIZED (SELECT src, greatest(1000000, ((w::HUGEINT * 200000000000 + sum(w) OVER ()) // (2 * sum(w) OVER ())))::HUGEINT AS a,
+       ceil(n / 100)::BIGINT AS blocks FROM w),
+s AS MATERIALIZED (SELECT list(a ORDER BY src) AS a, sum(a)::HUGEINT AS p, count(*) AS n,
+       (SELECT max((blocks * (SELECT sum(a) FROM sh) + a - 1) // a) FROM sh)::BIGINT AS slots FROM sh),
 e(t, k, pick) AS (
   SELECT -1::BIGINT, (SELECT list_transform(a, lambda x: 0::BIGINT) FROM s), 0::BIGINT
   UNION ALL
   SELECT t, list_transform(range(1, n + 1), lambda i: k[i] + (i = pick)::BIGINT), pick FROM (
-    SELECT e.t + 1 AS t, e.k, s.n, list_min(list_filter(list_transform(range(1, s.n + 1), lambda i:
-      CASE WHEN e.k[i] < s.a[i] AND (e.k[i] * s.p) // s.a[i] <= e.t + 1
-           THEN (((e.k[i] + 1) * s.p + s.a[i] - 1) // s.a[i]) * 1000000 + i END), lambda x: x IS NOT NULL)) % 1000000 AS pick
-    FROM e, s WHERE e.t + 1 < s.p)),
-sl AS MATERIALIZED (SELECT pick AS i, list(t ORDER BY t) AS slots FROM e WHERE t >= 0 GROUP BY pick),
-sc AS (SELECT src, a, slots, (SELECT p FROM s) AS p
-       FROM (SELECT src, a, row_number() OVER (ORDER BY src) AS i FROM sh) JOIN sl USING (i)),
+    SELECT e.t + 1 AS t, e.k, s.n, (list_min(list_filter(list_transform(range(1, s.n + 1), lambda i:
+      CASE WHEN (e.k[i] * s.p) // s.a[i] <= e.t + 1
+           THEN (((e.k[i] + 1) * s.p + s.a[i] - 1) // s.a[i]) * 1000000 + i END), lambda x: x IS NOT NULL)) % 1000000)::BIGINT AS pick
+    FROM e, s WHERE e.t + 1 < s.slots)),
+sl AS MATERIALIZED (SELECT src, list(t ORDER BY t) AS slots FROM e
+      JOIN (SELECT src, row_number() OVER (ORDER BY src) AS i FROM sh) ON i = pick WHERE t >= 0 GROUP BY src),
 r AS (SELECT doc_id, source, src, row_number() OVER (PARTITION BY src ORDER BY h) - 1 AS no FROM d)
-SELECT doc_id, source, (no // 100)::BIGINT AS block,
-       ((no // 100) // a * p + slots[(no // 100) % a + 1])::BIGINT AS slot, (no % 100)::BIGINT AS place
-FROM r JOIN sc USING (src)
+SELECT doc_id, source, (no // 100)::BIGINT AS block, slots[no // 100 + 1]::BIGINT AS slot, (no % 100)::BIGINT AS place
+FROM r JOIN sl USING (src)
 """

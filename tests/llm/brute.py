@@ -83,32 +83,50 @@ def quality_kept(text):
                 or letters < 0.5 * len(text) or capitals > 0.5 * letters)
 
 
-def edf(shares):
-    """Slots per source of one period, for (name, slots) in order."""
-    period, done, out = sum(a for _, a in shares), [0] * len(shares), defaultdict(list)
-    for t in range(period):
-        ready = [(-(-(k + 1) * period // a), i) for i, ((_, a), k) in enumerate(zip(shares, done))
-                 if k < a and k * period // a <= t]
-        i = min(ready)[1]
-        done[i] += 1
-        out[shares[i][0]].append(t)
-    return period, dict(out)
-
-
-def mix(rows, block_docs=100, period=1000):
+def begun(parts, t):
+    """Blocks of each source that have run before slot t: due ones first as far as needed, else the earliest released."""
+    whole, places = sum(parts), range(len(parts))
+    k, f = [t * a // whole for a in parts], [t * a % whole for a in parts]
+    ahead, pool = [], []
+    for n, (due, i) in enumerate(sorted((-(-(whole - f[i]) // parts[i]), i) for i in places if f[i]), 1):
+        pool = sorted([*pool, (-(-f[i] // parts[i]), i)], key=lambda x: (-x[0], x[1]))
+        free = due - sum(max(0, (f[x] + due * parts[x]) // whole - (f[x] > 0)) for x in places)
+        need = max(0, n - free - len(ahead))
+        ahead, pool = ahead + [x for _, x in pool[:need]], pool[need:]
+    ahead += [x for _, x in pool[:sum(f) // whole - len(ahead)]]
+    return [k[i] + (i in ahead) for i in places]
+
+
+def pfair(parts, slots, stretch):
+    """(source's place, block) per slot: earliest deadline first inside stretches, windows cut to them but for the last."""
+    whole, out = sum(parts), []
+    for t0 in range(0, slots, stretch):
+        end = begun(parts, t0 + stretch) if t0 + stretch < slots else None
+        done = begun(parts, t0)
+        for t in range(t0, t0 + stretch):
+            _, i = min((min(-(-(k + 1) * whole // a), t0 + stretch if end else 10 ** 18), i) for i, (k, a) in enumerate(zip(done, parts))
+                       if k * whole // a <= t and (end is None or k < end[i]))
+            out.append((i, done[i]))
+            done[i] += 1
+    return out
+
+
+def mix(rows, block_docs=100, stretch=1000):
     """(doc_id, text) -> (block, slot, place), for (doc_id, text, source) rows."""
     by_source = defaultdict(list)
     for doc_id, text, source in rows:
         digest = hashlib.md5(f"{'' if doc_id is None else doc_id}:{text or ''}".encode()).hexdigest()
         by_source["n" if source is None else "s" + source].append((digest, doc_id, text))
-    weight = {s: int(len(r) ** 0.5 * 1_000_000) for s, r in by_source.items()}
-    total = sum(weight.values())
-    shares = [(s, max(1, (2 * period * w + total) // (2 * total))) for s, w in sorted(weight.items())]
-    length, slots = edf(shares)
+    names = sorted(by_source)
+    weight = [int(len(by_source[s]) ** 0.5 * 1_000_000) for s in names]
+    parts = [max(10 ** 6, (2 * 10 ** 11 * w + sum(weight)) // (2 * sum(weight))) for w in weight]
+    whole = sum(parts)
+    length = max(stretch, -(-whole // min(parts)) + 1)
+    end = max(-(-(-(-len(by_source[s]) // block_docs) * whole) // a) for s, a in zip(names, parts))
+    slots = {(names[i], block): t for t, (i, block) in enumerate(pfair(parts, end, length))}
     out = []
     for s, found in by_source.items():
-        a = len(slots[s])
         for no, (_, doc_id, text) in enumerate(sorted(found, key=lambda r: r[0])):
             block, place = divmod(no, block_docs)
-            out.append((doc_id, text, block, block // a * length + slots[s][block % a], place))
+            out.append((doc_id, text, block, slots[s, block], place))
     return out

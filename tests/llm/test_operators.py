@@ -251,38 +251,69 @@ def test_token_counts_on_hard_rows(hard, nothing):
 
 # -- 5 ----------------------------------------------------------------------------------------
 def test_mix_equals_brute_force(hard, nothing, small_docs):
-    for docs, block in ((hard, 2), (small_docs, 3)):
+    for docs, block, stretch in ((hard, 2, 1000), (small_docs, 3, 1000), (small_docs, 1, 40)):  # the last in several stretches
         rows = docs.select("doc_id", "text", "source").collect()
-        want = sorted(map(str, brute.mix([tuple(r) for r in rows], block)))
-        got = mixing.mixed(docs, block_docs=block)
+        want = sorted(map(str, brute.mix([tuple(r) for r in rows], block, stretch)))
+        got = mixing.mixed(docs, block_docs=block, stretch=stretch)
         assert got.columns == [*docs.columns, "block", "slot", "place"]
         assert sorted(str(tuple(r)) for r in got.select("doc_id", "text", "block", "slot", "place").collect()) == want
     assert mixing.mixed(nothing).count() == mixing.interleaved(nothing).count() == 0
+    with pytest.raises(ValueError, match="__no"):
+        mixing.mixed(small_docs.withColumn("__no", F.lit(1)))
 
 
-def test_every_share_stays_within_one_block(spark):
-    weights = spark.createDataFrame([("a", 0.5), ("b", 0.3), ("c", 0.15), ("d", 0.05), (None, 0.0)],
-                                    "source string, weight double")
-    rows = mixing.schedule(weights.select(mixing.source_key().alias("__src"), "weight"), 97).collect()
-    period = rows[0].P
-    assert sorted(t for r in rows for t in r.slots) == list(range(period))
-    for r in rows:
-        done = np.cumsum(np.isin(np.arange(period), r.slots))
-        lag = done - r.a / period * np.arange(1, period + 1)
-        assert np.abs(lag).max() < 1
+UNEVEN = {"a": 6000, "b": 3001, "c": 2000, "d": 1501, "e": 7}
 
 
-@pytest.mark.parametrize("sizes", [{"a": 6000, "b": 3001, "c": 2000, "d": 1501, "e": 7}, {"x": 1500, **{f"s{i}": 1 + i % 3 for i in range(1500)}}])
-def test_shares_follow_the_true_weights(spark, sizes):
+@pytest.mark.parametrize("sizes", [UNEVEN, {"x": 700, **{f"s{i}": 1 + i % 3 for i in range(200)}}])
+def test_mix_of_uneven_sources_follows_brute_force_and_the_weights(spark, sizes):
     rows = [(i, str(i), s) for i, s in enumerate(x for s, n in sizes.items() for x in [s] * n)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
-    got = mixing.mixed(docs, block_docs=1).select("source", "block", "slot").collect()
+    got = mixing.mixed(docs, block_docs=1).collect()
+    assert sorted((r.doc_id, r.text, r.block, r.slot, r.place) for r in got) == sorted(brute.mix(rows, 1))
     assert sorted((r.source, r.block) for r in got) == sorted((s, b) for s, n in sizes.items() for b in range(n))
-    assert len({r.slot for r in got}) == len(rows)
-    total = sum(n ** 0.5 for n in sizes.values())
+    weight = {s: int(n ** 0.5 * 1_000_000) for s, n in sizes.items()}
     for r in got:  # the share is most off just before and behind a block
-        share = sizes[r.source] ** 0.5 / total
-        assert abs(r.block - share * r.slot) < 2 and abs(r.block + 1 - share * (r.slot + 1)) < 2, r
+        share = weight[r.source] / sum(weight.values())
+        assert abs(r.block - share * r.slot) < 1 and abs(r.block + 1 - share * (r.slot + 1)) < 1, r
+
+
+def test_sql_of_the_mix_on_uneven_sources(spark):
+    rows = [(i, f"text {i}", s) for i, s in enumerate(x for s, n in {**UNEVEN, None: 333}.items() for x in [s] * n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(rows, columns=["doc_id", "text", "source"]))
+    want = con.sql(mixing.ORACLE).fetchall()
+    got = mixing.mixed(docs).select("doc_id", "source", "block", "slot", "place").collect()
+    assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in got)
+
+
+@pytest.mark.parametrize("weights, slots", [([7, 2, 1], 200_000), ([1 / (i + 1) for i in range(20)], 60_000),
+                                            ([1 / (i + 1) for i in range(250)], 8_000), ([100] + [1] * 150, 8_000)])
+def test_every_source_stays_within_one_block_of_its_true_share(spark, weights, slots):
+    total = sum(weights)
+    sizes = spark.createDataFrame([(f"{i:04}", float(w), int(w / total * slots) * 100) for i, w in enumerate(weights)],
+                                  "__src string, weight double, n long")
+    found = mixing.schedule(mixing.shares(sizes)).toPandas()
+    assert found.slot.is_unique and len(found) == sum(int(w / total * slots) for w in weights)
+    for src, rows in found.groupby("__src"):
+        rows, share = rows.sort_values("block"), weights[int(src)] / total
+        block, slot = rows.block.to_numpy(), rows.slot.to_numpy()
+        assert (block == np.arange(len(block))).all()
+        assert np.abs(block - share * slot).max() < 1 and np.abs(block + 1 - share * (slot + 1)).max() < 1
+
+
+def test_weights_given_to_the_mix(spark, small_docs):
+    weights = spark.createDataFrame([("src0", 3.0), ("src1", 0.0), ("src2", None)], "source string, weight double")
+    row = mixing.shares(mixing.root_weights(small_docs).select("__src", "n").join(
+        weights.select(mixing.source_key().alias("__src"), "weight"), "__src", "left")).first()
+    assert row.length == row.whole // 10 ** 6 + 1  # a source without a weight has the least share
+    assert {x.src: x.a for x in row.s}["ssrc0"] == 10 ** 11 and {x.a for x in row.s} == {10 ** 11, 10 ** 6}
+
+
+def test_mix_has_no_python_in_its_plans(small_docs):
+    plan = mixing.interleaved(small_docs)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_numbering_does_not_depend_on_the_prefixes(small_docs):
