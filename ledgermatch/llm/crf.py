@@ -10,6 +10,7 @@ together, word by word, as one array.
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -23,7 +24,9 @@ BUCKETS = 1 << 17
 SEGMENT = 256
 CACHED_WORDS = 150_000
 
-WORD = re.compile(r"[^\W\d_]+")
+#: Numerals such as fractions, circled and Roman numbers count as word characters for ``re``, but are no letters.
+NUMERALS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
 
 
 def words_of(text: str | None) -> list[str]:

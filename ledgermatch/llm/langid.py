@@ -13,7 +13,8 @@ documents, and ``sequences`` spliced sequences.  Every document is predicted
 from its whole text.
 
 A null or letterless text has language ``und`` and score 0; without any
-labelled document all are ``und``.  Repeated rows are predicted alike.  Further
+labelled document all are ``und``.  Of languages with the same mean the first
+in alphabetical order is taken.  Letters are those of ``str.isalpha``.  Repeated rows are predicted alike.  Further
 columns of the input are ignored.
 """
 

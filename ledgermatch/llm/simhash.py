@@ -20,7 +20,8 @@ hashes have it set.  Two fingerprints link if they differ in at most
 * Components by alternating large-star and small-star steps over the links
   between different fingerprints, each step cut by a checkpoint.
 
-Null texts count as empty; texts without words have fingerprint zero and link
+``doc_id`` is an integer; a text id that is no number is an error.  Null texts
+count as empty; texts without words have fingerprint zero and link
 like any other.  Rows with a null ``doc_id`` take part but cannot name a
 component, so a component of such rows alone has a null ``component_id``.
 Repeated rows are kept as they are.  Further columns of the input are ignored.
@@ -171,20 +172,20 @@ def one_per_component(docs: DataFrame, shingle_words: int = 3, max_distance: int
     heads = F.col("doc_id").eqNullSafe(F.col("component_id"))
     per_id = (near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"), F.count_if(heads).alias("__heads"))
               .where("__heads > 0").withColumnRenamed("doc_id", "__id"))
-    rows = docs.withColumn("__id", F.col("doc_id").cast("long"))
+    # The rows travel whole inside a struct, so no name of theirs can clash.
+    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").cast("long").alias("__id"))
     # An id of one row, which heads its component, needs no look at the row.
     plain = rows.join(per_id.where("__n = 1 AND __id IS NOT NULL").select("__id"), "__id", "left_semi")
     several = cut(per_id.where("__n > 1 OR __id IS NULL").select("__id"))
     if several.isEmpty():
-        return plain.select(*docs.columns)
+        return plain.select("__row.*")
     some = rows.join(several, rows["__id"].eqNullSafe(several["__id"]), "left_semi")
-    keyed = some.select(F.struct(*docs.columns).alias("__row"), F.col("__id"),
-                        F.xxhash64(*docs.columns).alias("__h"))
+    keyed = some.withColumn("__h", F.xxhash64("__row"))
     fps = fingerprints(keyed.select(F.col("__h").alias("doc_id"), F.col("__row.text").alias("text")), shingle_words)
     fps = fps.distinct().select(F.col("doc_id").alias("__h"), "fp")
     roots = near.where(heads).select(F.col("doc_id").alias("__i"), "fp", "root").distinct()
     with_fp = keyed.join(fps, "__h")
     headed = with_fp.join(roots, with_fp["__id"].eqNullSafe(roots["__i"]) & (with_fp["fp"] == roots["fp"]))
     best = headed.groupBy("root").agg(F.min("__row").alias("__row"))
-    return plain.select(*docs.columns).unionByName(best.select("__row.*"))
+    return plain.select("__row.*").unionByName(best.select("__row.*"))
 

@@ -473,3 +473,32 @@ def test_cascade_puts_cheap_and_telling_rules_first():
     rule = lambda n: quality.Rule(n, lambda t, w: F.lit(False))
     order = quality.ordered([(rule("dear"), 0.5, 10.0), (rule("cheap"), 0.4, 1.0), (rule("idle"), 0.0, 0.1)])
     assert [r.name for r in order] == ["cheap", "dear", "idle"]
+
+
+def test_letters_are_those_of_the_alphabet():
+    assert crf.words_of("½ ² ① Ⅷ 12 _") == [] and crf.words_of("Été ½x") == ["été", "x"]
+    assert all(bool(crf.WORD.fullmatch(c)) == c.isalpha() for c in map(chr, range(0x3000)))
+
+
+def test_one_per_component_keeps_columns_of_any_name(spark):
+    rows = [(1, "a b c d e f", "keep", 7, "r"), (2, "a b c d e f", "go", 8, "s"), (1, "a b c d e f", "keep", 6, "t"), (3, None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __id string, __h int, __row string")
+    got = sorted(map(str, map(tuple, simhash.one_per_component(docs).collect())))
+    assert got == sorted(map(str, [rows[2], rows[3]])) and simhash.one_per_component(docs).columns == docs.columns
+
+
+def test_digests_of_secrets_and_personal_data_equal_the_patterns(spark):
+    """The queries' counts, hashes and spans over all documents, against plain patterns."""
+    import hashlib
+    sf = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    from ledgermatch.llm import queries
+    for name, base, kinds in (("op2_secrets", base_secrets, secrets.BASE_KINDS), ("op6_pii", base_personal, pii.BASE_KINDS)):
+        rows = queries.QUERIES[name](spark, sf).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            want = base(texts[r.doc_id])
+            listed = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+            assert r.base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+            assert [r[f"n_{k}"] for k in kinds] == [sum(x[0] == k for x in want) for k in kinds]
+            assert [x for x in r.spans.split(",") if x.split(":")[0] in kinds] == [x for x in listed.split(",") if x]
