@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -38,15 +38,27 @@ def clean_header(name: str) -> str:
 
 
 def read_csv(spark: SparkSession, path: str, columns: dict[str, str], multi_line: bool = True) -> DataFrame:
-    """``columns`` (name -> type) of a CSV file with a header, and ``__row``, the rows' order in the file."""
+    """``columns`` (name -> type) of a CSV file, or of a folder's files, with a header; ``__row`` numbers the rows.
+
+    Rows are numbered from zero by file path, then by place in the file, however
+    Spark packs files and parts of files into tasks.
+    """
     raw = spark.read.options(header=True, escape='"', multiLine=multi_line, inferSchema=False).csv(path)
     found = {}
     for at, name in enumerate(raw.columns):
         found.setdefault(clean_header(name), at)
-    plain = raw.toDF(*[f"c{i}" for i in range(len(raw.columns))])
+    plain = raw.select("*", "_metadata.file_path", "_metadata.file_block_start").toDF(
+        *[f"c{i}" for i in range(len(raw.columns))], "__file", "__block")
     wanted = [(F.col(f"c{found[c]}").try_cast(kind) if c in found else F.lit(None).cast(kind)).alias(c)
               for c, kind in columns.items()]
-    return plain.select(*wanted, F.monotonically_increasing_id().alias("__row"))
+    rows = plain.select(*wanted, "__file", "__block", F.monotonically_increasing_id().alias("__id"))
+    # The rows of a part of a file follow each other in one task; a light pass counts them.
+    before = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    parts = (rows.groupBy("__file", "__block").agg(F.min("__id").alias("__least"), F.count(F.lit(1)).alias("n"))
+             .withColumn("__before", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
+    # One row per file, or per part of a large one (128 MB by default).
+    return (rows.join(F.broadcast(parts), ["__file", "__block"])
+            .select(*columns, (F.col("__before") + F.col("__id") - F.col("__least")).alias("__row")))
 
 
 def _feed(spark: SparkSession, paths: list[str], columns: dict[str, str], label: str, feed_ord: int,

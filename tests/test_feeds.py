@@ -39,6 +39,27 @@ def test_company_headers_and_history(spark, folder):
     assert [r.CompanyName for r in order[2:]] == [f"GAMMA {i}" for i in range(4)]
 
 
+def test_rows_of_many_files_keep_their_order(spark, folder):
+    """By file name, then by line: whatever the files' sizes, and if files are read in parts."""
+    sizes = [("part0.csv", 3), ("part1.csv", 4000), ("part2.csv", 300), ("part10.csv", 50)]
+    for name, n in sizes:
+        put(folder, name, "NHSDigital_Supplier\n" + "".join(f"{name} {i} {'x' * (i % 90)}\n" for i in range(n)))
+    want = [f"{name} {i} {'x' * (i % 90)}".strip() for name, n in sorted(sizes) for i in range(n)]
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in (None, "20000"):
+            for c in before if size else ():
+                spark.conf.set(c, size)
+            for multi_line in (True, False):
+                rows = feeds.nhs_list(spark, folder, multi_line=multi_line)
+                got = sorted(rows.collect(), key=lambda r: r.k1)
+                assert [r.NHSDigital_Supplier.strip() for r in got] == want and [r.k1 for r in got] == list(range(len(want)))
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+    assert feeds.nhs_list(spark, folder, multi_line=False).rdd.getNumPartitions() > 1
+
+
 def test_feeds_labels_and_bad_values(spark, folder):
     path = put(folder, "spend.csv", "dept,date,supplier,amount\nA,01/02/2020,X LTD,12.5\nB,01/02/2020,Y LTD,twelve\n")
     rows = payments.prepare_centgov(feeds.centgov(spark, path, path, label="Central")).collect()
