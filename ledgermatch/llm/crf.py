@@ -24,14 +24,27 @@ BUCKETS = 1 << 17
 SEGMENT = 256
 CACHED_WORDS = 150_000
 
-#: Numerals such as fractions, circled and Roman numbers count as word characters for ``re``, but are no letters.
-NUMERALS = "".join(c for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-WORD = re.compile(rf"[^\W\d_{NUMERALS}]+")
+WORD = re.compile(r"[^\W\d_]+")
+#: Fractions, circled and Roman numbers and the like are word characters for ``re``, but no letters.
+NUMERALS = {c: " " for c in map(chr, range(128, sys.maxunicode + 1)) if c.isalnum() and not c.isalpha() and not c.isdecimal()}
+_NUMERALS = frozenset(NUMERALS)
+
+
+def letters_of(text: str) -> str:
+    """The text with blanks for numerals that ``WORD`` would take for letters; of the same length."""
+    if text.isascii() or _NUMERALS.isdisjoint(text):
+        return text
+    return text.translate(str.maketrans(NUMERALS))
+
+
+def matches(text: str) -> Iterator[re.Match]:
+    """The runs of letters, with their places in the text."""
+    return WORD.finditer(letters_of(text))
 
 
 def words_of(text: str | None) -> list[str]:
     """Runs of letters, lower case."""
-    return [w.lower() for w in WORD.findall(text or "")]
+    return [w.lower() for w in WORD.findall(letters_of(text or ""))]
 
 
 def features(word: str, lexicon: dict[str, str]) -> list[int]:

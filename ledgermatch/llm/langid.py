@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold_of, text_of
-from .crf import WORD, Model, Tagger, lexicon_of, train, words_of
+from .crf import Model, Tagger, lexicon_of, matches, train, words_of
 
 SAMPLE_DOCS = 150
 SAMPLE_CHARS = 10_000
@@ -110,7 +110,7 @@ def segments(text: str, model: Model, tagger: Tagger | None = None) -> list[tupl
     """(start, end, language) of the stretches of one language in a text."""
     (_, p), = (tagger or Tagger(model)).tag([text])
     out: list[tuple[int, int, str]] = []
-    for m, y in zip(WORD.finditer(text), p.argmax(axis=1) if len(p) else []):
+    for m, y in zip(matches(text), p.argmax(axis=1) if len(p) else []):
         lang = model.labels[y]
         if out and out[-1][2] == lang:
             out[-1] = (out[-1][0], m.end(), lang)

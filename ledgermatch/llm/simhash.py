@@ -170,22 +170,25 @@ def one_per_component(docs: DataFrame, shingle_words: int = 3, max_distance: int
     """
     near = cut(near_duplicates(docs, shingle_words, max_distance))
     heads = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    own = "__id"  # the only name beside those of the input
+    while own in {c.lower() for c in docs.columns}:
+        own += "_"
     per_id = (near.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n"), F.count_if(heads).alias("__heads"))
-              .where("__heads > 0").withColumnRenamed("doc_id", "__id"))
-    # The rows travel whole inside a struct, so no name of theirs can clash.
-    rows = docs.select(F.struct(*docs.columns).alias("__row"), F.col("doc_id").cast("long").alias("__id"))
+              .where("__heads > 0").withColumnRenamed("doc_id", own))
+    rows = docs.withColumn(own, F.col("doc_id").cast("long"))
     # An id of one row, which heads its component, needs no look at the row.
-    plain = rows.join(per_id.where("__n = 1 AND __id IS NOT NULL").select("__id"), "__id", "left_semi")
-    several = cut(per_id.where("__n > 1 OR __id IS NULL").select("__id"))
+    plain = rows.join(per_id.where((F.col("__n") == 1) & F.col(own).isNotNull()).select(own), own, "left_semi")
+    several = cut(per_id.where((F.col("__n") > 1) | F.col(own).isNull()).select(F.col(own).alias(f"{own}_i")))
     if several.isEmpty():
-        return plain.select("__row.*")
-    some = rows.join(several, rows["__id"].eqNullSafe(several["__id"]), "left_semi")
-    keyed = some.withColumn("__h", F.xxhash64("__row"))
+        return plain.select(*docs.columns)
+    some = rows.join(several, rows[own].eqNullSafe(several[f"{own}_i"]), "left_semi")
+    keyed = some.select(F.struct(*docs.columns).alias("__row"), F.col(own).alias("__id"),
+                        F.xxhash64(*docs.columns).alias("__h"))
     fps = fingerprints(keyed.select(F.col("__h").alias("doc_id"), F.col("__row.text").alias("text")), shingle_words)
     fps = fps.distinct().select(F.col("doc_id").alias("__h"), "fp")
     roots = near.where(heads).select(F.col("doc_id").alias("__i"), "fp", "root").distinct()
     with_fp = keyed.join(fps, "__h")
     headed = with_fp.join(roots, with_fp["__id"].eqNullSafe(roots["__i"]) & (with_fp["fp"] == roots["fp"]))
     best = headed.groupBy("root").agg(F.min("__row").alias("__row"))
-    return plain.select("__row.*").unionByName(best.select("__row.*"))
+    return plain.select(*docs.columns).unionByName(best.select("__row.*"))
 

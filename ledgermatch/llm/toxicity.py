@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold_of, text_of
-from .crf import WORD, Model, Tagger, train, words_of
+from .crf import Model, Tagger, matches, train, words_of
 
 SAMPLE_DOCS = 1000
 SAMPLE_CHARS = 10_000
@@ -143,7 +143,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
                 found = []
                 if len(p) and p[:, TOXIC].max() >= TOXIC_TOKEN:
                     found = [{"start": m.start(), "end": m.end(), "p": float(q)}
-                             for m, q in zip(WORD.finditer(texts[i]), p[:, TOXIC]) if q >= TOXIC_TOKEN]
+                             for m, q in zip(matches(texts[i]), p[:, TOXIC]) if q >= TOXIC_TOKEN]
                 spans.append(found)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(scores, pa.float64()), pa.array(spans, span)],
                                              ["doc_id", "score", "spans"])
