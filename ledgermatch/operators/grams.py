@@ -36,15 +36,15 @@ def gram_set(name: Column) -> Column:
                                         lambda i: F.substring(padded, i, F.lit(GRAM))))
 
 
-def _listed(side: DataFrame, freq: DataFrame, t: float, size: str, place: str) -> DataFrame:
-    """One row per name and gram of its prefix, with the name's number of grams and the gram's place from one."""
+def _listed(side: DataFrame, freq: DataFrame, t: float, size: str, place: str, grams: str) -> DataFrame:
+    """One row per name and gram of its prefix, with the name's grams and their number, and the gram's place from one."""
     rest = [c for c in side.columns if c != "gram"]
     ordered = (side.join(freq, "gram").groupBy(*rest)
                .agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("ordered")))
     ordered = ordered.withColumn(size, F.size("ordered"))
     prefix = F.slice("ordered", 1, F.expr(f"cast({size} - ceil({t}D * {size} - {_EPS}D) + 1 as int)"))
-    listed = ordered.select(*rest, size, F.posexplode(prefix).alias("at", "entry"))
-    return listed.select(*rest, size, (F.col("at") + 1).alias(place), F.col("entry.gram").alias("gram"))
+    listed = ordered.select(*rest, size, F.col("ordered.gram").alias(grams), F.posexplode(prefix).alias("at", "entry"))
+    return listed.select(*rest, size, grams, (F.col("at") + 1).alias(place), F.col("entry.gram").alias("gram"))
 
 
 def candidate_pairs_by_grams(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
@@ -63,8 +63,8 @@ def candidate_pairs_by_grams(left: DataFrame, left_key: str, right: DataFrame, r
     needed = F.ceil(F.lit(t / (1 + t)) * (F.col("n") + F.col("m")) - _EPS)
     close = ((F.least("n", "m") >= t * F.greatest("n", "m") - _EPS)
              & (1 + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= needed))
-    met = dealt_join(_listed(le, freq, t, "n", "i"), _listed(re, freq, t, "m", "j"), ["gram"], "s", "r", close)
-    counted = met.withColumn("inter", F.size(F.array_intersect(gram_set(F.col("s")), gram_set(F.col("r")))))
+    met = dealt_join(_listed(le, freq, t, "n", "i", "x"), _listed(re, freq, t, "m", "j", "y"), ["gram"], "s", "r", close)
+    counted = met.withColumn("inter", F.size(F.array_intersect("x", "y")))
     similarity = F.col("inter") / (F.col("n") + F.col("m") - F.col("inter"))
     return (counted.withColumn("similarity", similarity).where(F.col("similarity") >= t - _EPS)
             .select("s", "r", *rx, "inter", "similarity").dropDuplicates(["s", "r"]))
