@@ -29,7 +29,7 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     state = tokens.counted(tokens.number_edits(table(spark, sf_dir, "documents")))
-    return tokens.edited(state).select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_encoded")
+    return tokens.edited(tokens.revision_edits(state)).select("doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_encoded")
 
 
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,31 +3,37 @@
 Byte-pair merges never cross a pre-token, so a text's count is the sum over its
 pre-tokens.  ``counted`` cuts each text into leaves of ``LEAF`` pre-tokens and
 keeps a binary tree of their characters and tokens.  ``edited`` applies edits:
-it descends to the leaf that holds an edit, steps back over the context that
-the pre-token pattern may have looked at, re-encodes until a new boundary falls
-on an old leaf's boundary behind the edit, and renews the sums on the way up.
-The rest of the text is not looked at again, and the result is exact.
+it descends to a leaf that begins ``CONTEXT`` characters or more before the
+edit, which is as far as a pre-token may have looked ahead, re-encodes until a
+new boundary falls on an old leaf's boundary behind the edit, and renews the
+sums on the way up.  A leaf that has outgrown ``2 * LEAF`` pre-tokens becomes a
+subtree of new ones; a tree that has grown too deep, or whose leaves are mostly
+empty, is laid out anew from its leaves' sums.  The rest of the text is neither
+copied nor looked at again, and the result is exact.
 
-The vocabulary is read from ``vocabulary``, a path that every executor has.
+The vocabulary is read on the driver from ``vocabulary`` and broadcast; its size
+is that of one vocabulary file.  A missing file fails there, with its path.
 
 ``edits`` is an array of (start, end, replacement) in code points of the text;
-null means none.  They count from the unedited text, by start; places outside
-the text are moved to its ends, and an edit that begins inside the one before
-begins behind it.  Null texts count as empty.  Repeated rows are kept; further
-columns are ignored.
+null means none, and a column of another type is refused.  They count from the
+unedited text, by start; places outside the text are moved to its ends, and an
+edit that begins inside the one before begins behind it.  A null start or end
+counts as 0, a null replacement as empty, a null edit as none.  Null texts count
+as empty.  Repeated rows are kept; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import base64
+import os
 from collections.abc import Iterator
-from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import text_of
@@ -35,21 +41,29 @@ from .common import text_of
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that belongs to the vocabulary (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters beyond its end that the pattern may look at for a pre-token, white space aside.
+#: Characters beyond its end that the pattern may look at for a pre-token, at most.
 CONTEXT = 4
 LEAF = 32
 CACHED_PIECES = 200_000
 
 TREE = "array<int>"
-STATE = f"text string, chars {TREE}, tokens {TREE}"
+STATE = f"pieces array<string>, chars {TREE}, tokens {TREE}"
+EDITS = "array<struct<start:int,end:int,replacement:string>>"
+Leaf = tuple[str, int, int]  # text, characters, tokens
+
+
+def ranks_of(vocabulary: str = VOCABULARY) -> dict[bytes, int]:
+    """The byte pieces of a vocabulary file and their ranks."""
+    if not os.path.exists(vocabulary):
+        raise FileNotFoundError(f"no vocabulary file at {vocabulary}: give its path as `vocabulary`")
+    with open(vocabulary, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
 class Counter:
     """Token counts of pre-tokens, kept for up to ``CACHED_PIECES`` of them."""
 
-    def __init__(self, vocabulary: str = VOCABULARY):
-        with open(vocabulary, "rb") as f:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+    def __init__(self, ranks: dict[bytes, int]):
         # one pre-token is one piece here: the splitting has been done
         self.encoder = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.pattern = regex.compile(PATTERN)
@@ -68,14 +82,15 @@ class Counter:
     def total(self, text: str) -> int:
         return sum(map(self.count, self.pattern.findall(text)))
 
-    def leaves(self, text: str) -> tuple[list[int], list[int]]:
-        """Characters and tokens of each leaf."""
-        pieces = self.pattern.findall(text)
-        if not pieces:
-            return [], []
-        at = np.arange(0, len(pieces), LEAF)
-        return (np.add.reduceat(np.fromiter(map(len, pieces), np.int64, len(pieces)), at).tolist(),
-                np.add.reduceat(np.fromiter(map(self.count, pieces), np.int64, len(pieces)), at).tolist())
+    def leaf(self, pieces: list[str]) -> Leaf:
+        text = "".join(pieces)
+        return text, len(text), sum(map(self.count, pieces))
+
+    def leaves(self, text: str) -> list[Leaf]:
+        return self.cut(self.pattern.findall(text))
+
+    def cut(self, pieces: list[str]) -> list[Leaf]:
+        return [self.leaf(pieces[k:k + LEAF]) for k in range(0, len(pieces), LEAF)]
 
 
 def build(leaves: list[int]) -> list[int]:
@@ -90,124 +105,247 @@ def build(leaves: list[int]) -> list[int]:
     return tree.tolist()
 
 
-@dataclass
 class Document:
-    text: str
-    chars: list[int]
-    tokens: list[int]
-    encoded: int = 0  # characters that edits had encoded anew
-
-    @property
-    def width(self) -> int:
-        return len(self.chars) // 2
+    """A text in leaves under a binary tree: node 1 is the root, a node without children is a leaf."""
+
+    def __init__(self, pieces: list[str], chars: list[int], tokens: list[int]):
+        self.encoded = 0  # characters that edits had encoded anew
+        self._lay(pieces, chars, tokens)
+
+    @classmethod
+    def of(cls, leaves: list[Leaf]) -> Document:
+        return cls(*trees(leaves))
+
+    def _lay(self, pieces: list[str], chars: list[int], tokens: list[int]) -> None:
+        width = len(chars) // 2
+        self.chars, self.tokens = chars, tokens
+        self.text = [""] * width + pieces + [""] * (width - len(pieces))
+        self.left, self.right = list(range(0, 2 * width, 2)) + [0] * width, list(range(1, 2 * width, 2)) + [0] * width
+        self.up = [i >> 1 for i in range(2 * width)]
+        self.emptied = 0
+
+    def leaves(self) -> list[Leaf]:
+        """The leaves that hold text, in order."""
+        out, todo = [], [1]
+        while todo:
+            node = todo.pop()
+            if self.chars[node]:
+                if self.left[node]:
+                    todo += (self.right[node], self.left[node])
+                else:
+                    out.append((self.text[node], self.chars[node], self.tokens[node]))
+        return out
 
     def descend(self, at: int) -> tuple[int, int]:
         """(leaf, its start) of the leaf that holds the character ``at``; the last leaf with text if it lies behind."""
         node, start = 1, 0
         at = min(at, max(self.chars[1] - 1, 0))
-        while node < self.width:
-            node *= 2
-            if at >= start + self.chars[node]:
-                start += self.chars[node]
-                node += 1
-        return node - self.width, start
-
-    def put(self, leaf: int, chars: int, tokens: int) -> None:
-        node = leaf + self.width
-        for tree, value in ((self.chars, chars), (self.tokens, tokens)):
-            tree[node] = value
-        node //= 2
-        while node:
+        while self.left[node]:
+            held = self.chars[self.left[node]]
+            if at >= start + held:
+                start += held
+                node = self.right[node]
+            else:
+                node = self.left[node]
+        return node, start
+
+    def behind(self, node: int) -> Iterator[int]:
+        """The leaves behind a leaf, in order."""
+        while node != 1:
+            parent = self.up[node]
+            if self.left[parent] == node:
+                node = self.right[parent]
+                while self.left[node]:
+                    node = self.left[node]
+                yield node
+            else:
+                node = parent
+
+    def plant(self, node: int, leaves: list[Leaf]) -> None:
+        """Makes a leaf the root of a balanced subtree over new leaves."""
+        if len(leaves) == 1:
+            self.text[node], self.chars[node], self.tokens[node] = leaves[0]
+            return
+        half, ends = len(leaves) // 2, (self.left, self.right)
+        self.text[node] = ""
+        for end, part in zip(ends, (leaves[:half], leaves[half:])):
+            end[node] = child = len(self.chars)
+            for column, value in ((self.chars, 0), (self.tokens, 0), (self.left, 0), (self.right, 0), (self.up, node), (self.text, "")):
+                column.append(value)
+            self.plant(child, part)
+        for tree in (self.chars, self.tokens):
+            tree[node] = tree[self.left[node]] + tree[self.right[node]]
+
+    def renew(self, node: int) -> int:
+        """Renews the sums above a node; returns its depth."""
+        depth = 0
+        while node != 1:
+            node = self.up[node]
+            depth += 1
             for tree in (self.chars, self.tokens):
-                tree[node] = tree[2 * node] + tree[2 * node + 1]
-            node //= 2
+                tree[node] = tree[self.left[node]] + tree[self.right[node]]
+        return depth
 
     def edit(self, start: int, end: int, new: str, counter: Counter) -> None:
-        safe = start
-        while safe > 0 and self.text[safe - 1].isspace():
-            safe -= 1
-        leaf, at = self.descend(max(0, safe - CONTEXT))
-        # a pre-token that ends at the leaf's start may have looked CONTEXT characters into it
-        while at > 0 and at > safe - CONTEXT:
-            leaf, at = self.descend(at - 1)
-        self.text = self.text[:start] + new + self.text[end:]
-        shift, edge = len(new) - (end - start), start + len(new)
-        last, close = leaf, at + self.chars[self.width + leaf]  # behind the last leaf touched, in old places
+        first, at = self.descend(max(0, start - CONTEXT))
+        behind = self.behind(first)
+        taken, close = [first], [at + self.chars[first]]  # leaves looked at; where each ends in the old text
+
+        def take(nodes) -> str:
+            for node in nodes:
+                taken.append(node)
+                close.append(close[-1] + self.chars[node])
+                yield self.text[node]
+
+        old = self.text[first]
+        while close[-1] < end:
+            old += "".join(take(islice(behind, len(taken))))
+        text = old[:start - at] + new + old[end - at:]
+        back = at - len(new) + end - start  # from a place in ``text`` to the old text, behind the edit
         pieces: list[str] = []
-        place = at
-        while place < len(self.text):
-            m = counter.pattern.match(self.text, place)
-            pieces.append(m[0])
-            place = m.end()
-            while close + shift < place and last + 1 < self.width:
-                last += 1
-                close += self.chars[self.width + last]
-            if place >= edge and place - shift >= end and close + shift == place:
+        place, used, more = 0, 0, True
+        while True:
+            if place + back >= end:
+                while used < len(close) and close[used] < place + back:
+                    used += 1
+                if used < len(close) and close[used] == place + back:
+                    used += 1
+                    break
+            m = counter.pattern.match(text, place) if place < len(text) else None
+            if more and (m is None or len(text) - m.end() < CONTEXT):  # what follows may change this pre-token
+                before = len(taken)
+                text += "".join(take(islice(behind, before)))
+                more = len(taken) > before
+            elif m is None:
+                used = len(taken)
                 break
-        else:
-            last = self.width - 1
-        self.encoded += place - at
-        slots = last - leaf + 1
-        for k in range(slots):
-            part = pieces[k * LEAF:(k + 1) * LEAF] if k + 1 < slots else pieces[k * LEAF:]
-            self.put(leaf + k, sum(map(len, part)), sum(map(counter.count, part)))
-
-
-def clipped(edits: list[dict] | None, size: int) -> list[tuple[int, int, str]]:
+            else:
+                pieces.append(m[0])
+                place = m.end()
+        self.encoded += place
+        grown = counter.cut(pieces) if len(pieces) > 2 * LEAF else [counter.leaf(pieces)]
+        self.plant(first, grown)
+        for node in taken[1:used]:
+            self.plant(node, [("", 0, 0)])
+            self.renew(node)
+        self.emptied += used - 1
+        depth, n_leaves = self.renew(first) + len(grown).bit_length(), len(self.chars) // 2
+        if depth > 2 * n_leaves.bit_length() + 2 or 2 * self.emptied > n_leaves:
+            self._lay(*trees(self.leaves()))
+
+
+def trees(leaves: list[Leaf]) -> tuple[list[str], list[int], list[int]]:
+    """The columns of a state: texts of the leaves, tree of characters, tree of tokens."""
+    return [t for t, _, _ in leaves], build([c for _, c, _ in leaves]), build([n for _, _, n in leaves])
+
+
+def clipped(edits: list[dict | None] | None, size: int) -> list[tuple[int, int, str]]:
     """Edits by start, inside the text and one behind the other."""
     out, behind = [], 0
-    for e in sorted(edits or [], key=lambda e: (e["start"], e["end"])):
-        start = min(max(e["start"], behind), size)
-        behind = min(max(e["end"], start), size)
-        out.append((start, behind, e["replacement"] or ""))
+    places = [(e["start"] or 0, e["end"] or 0, e["replacement"] or "") for e in edits or [] if e is not None]
+    for start, end, new in sorted(places, key=lambda e: e[:2]):
+        start = min(max(start, behind), size)
+        behind = min(max(end, start), size)
+        out.append((start, behind, new))
     return out
 
 
+def _edits(df: DataFrame) -> Column:
+    if "edits" not in df.columns:
+        return F.lit(None).cast(EDITS)
+    kind = df.schema["edits"].dataType.simpleString()
+    if kind not in (EDITS, EDITS.replace("int", "bigint"), "void"):
+        raise ValueError(f"edits must be {EDITS}, not {kind}")
+    return F.col("edits").cast(EDITS)
+
+
+def _ranks(spark: SparkSession, vocabulary: str):
+    return spark.sparkContext.broadcast(ranks_of(vocabulary))
+
+
 def counted(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
-    """``doc_id, text, chars, tokens, n_tokens``: every text with its trees; other columns go."""
+    """``doc_id, pieces, chars, tokens, edits, n_tokens``: every text in leaves with its trees; other columns go."""
+    ranks = _ranks(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary)
+        counter = Counter(ranks.value)
         for b in batches:
-            trees = [tuple(map(build, counter.leaves(t.as_py()))) for t in b.column(1)]
+            states = [trees(counter.leaves(t.as_py())) for t in b.column(1)]
+            kinds = (pa.string(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *(pa.array([t[i] for t in trees], pa.list_(pa.int32())) for i in (0, 1)),
-                 b.column(2)], ["doc_id", "text", "chars", "tokens", "edits"])
+                [b.column(0), *(pa.array([t[i] for t in states], pa.list_(k)) for i, k in enumerate(kinds)), b.column(2)],
+                ["doc_id", "pieces", "chars", "tokens", "edits"])
 
-    edits = (F.col("edits") if "edits" in docs.columns else F.lit(None)).cast(
-        "array<struct<start:int,end:int,replacement:string>>")
-    rows = docs.select("doc_id", text_of().alias("text"), edits.alias("edits"))
+    rows = docs.select("doc_id", text_of().alias("text"), _edits(docs).alias("edits"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.mapInArrow(run, f"doc_id {kind}, {STATE}, edits array<struct<start:int,end:int,replacement:string>>")
+    out = rows.mapInArrow(run, f"doc_id {kind}, {STATE}, edits {EDITS}")
     return out.withColumn("n_tokens", F.col("tokens")[1].cast("long"))  # the root
 
 
 def edited(state: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """The state after its ``edits``: also ``n_tokens_before``, ``n_edits`` and ``n_encoded``, the characters encoded anew."""
+    ranks = _ranks(state.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(vocabulary)
+        counter = Counter(ranks.value)
         for b in batches:
             done = []
-            for doc_edits, text, chars, tokens in zip(*(b.column(n).to_pylist() for n in ("edits", "text", "chars", "tokens"))):
-                doc = Document(text, chars, tokens)
-                edits = clipped(doc_edits, len(text))
-                for start, end, new in reversed(edits):  # places before stay valid
-                    doc.edit(start, end, new, counter)
-                done.append((doc.text, doc.chars, doc.tokens, len(edits), doc.encoded))
-            kinds = (pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.int64())
+            for doc_edits, *parts in zip(*(b.column(n).to_pylist() for n in ("edits", "pieces", "chars", "tokens"))):
+                edits, encoded = clipped(doc_edits, parts[1][1]), 0
+                if edits:
+                    doc = Document(*parts)
+                    for start, end, new in reversed(edits):  # places before stay valid
+                        doc.edit(start, end, new, counter)
+                    parts, encoded = trees(doc.leaves()), doc.encoded
+                done.append((*parts, len(edits), encoded))
+            kinds = (pa.list_(pa.string()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), *(pa.array([d[i] for d in done], k) for i, k in enumerate(kinds)),
                  b.column("n_tokens_before")],
-                ["doc_id", "text", "chars", "tokens", "n_edits", "n_encoded", "n_tokens_before"])
+                ["doc_id", "pieces", "chars", "tokens", "n_edits", "n_encoded", "n_tokens_before"])
 
-    rows = state.withColumnRenamed("n_tokens", "n_tokens_before")
+    rows = state.withColumn("edits", _edits(state)).withColumnRenamed("n_tokens", "n_tokens_before")
     kind = rows.schema["doc_id"].dataType.simpleString()
-    out = rows.select("doc_id", "text", "chars", "tokens", "edits", "n_tokens_before").mapInArrow(
+    out = rows.select("doc_id", "pieces", "chars", "tokens", "edits", "n_tokens_before").mapInArrow(
         run, f"doc_id {kind}, {STATE}, n_edits long, n_encoded long, n_tokens_before long")
     return out.withColumn("n_tokens", F.col("tokens")[1].cast("long"))
 
 
+def revision_edits(state: DataFrame) -> DataFrame:
+    """A counted ``state`` with five more ``edits`` per text that is not empty, as a revision would make them.
+
+    At places hashed from the id: words put in at a leaf's edge, seven
+    characters taken out, three replaced, a leaf's first blank widened or
+    removed, and in one text of eight a paragraph pasted in (in the others an
+    empty edit).  Empty texts get none.
+    """
+    size = F.greatest(F.col("chars")[1], F.lit(1))
+    n_leaves = F.greatest(F.size("pieces"), F.lit(1))
+
+    def draw(k: int, n: Column) -> Column:
+        return F.pmod(F.xxhash64("doc_id", F.lit(k)), n).cast("int")
+
+    def before(leaf: Column) -> Column:
+        """Where a leaf begins."""
+        held = F.slice("chars", (F.size("chars") / 2).cast("int") + 1, leaf)
+        return F.aggregate(held, F.lit(0), lambda a, c: a + c)
+
+    def change(start: Column, end: Column, new: Column) -> Column:
+        return F.struct(start.cast("int").alias("start"), end.cast("int").alias("end"), new.alias("replacement"))
+
+    edge, leaf, cut, put, paste = before(draw(1, n_leaves)), draw(2, n_leaves), draw(3, size), draw(4, size), draw(5, size)
+    blank = F.instr(F.coalesce(F.get("pieces", leaf), F.lit("")), " ")
+    at_blank = before(leaf) + F.greatest(blank, F.lit(1)) - 1
+    made = F.array(
+        change(edge, edge, F.lit(" as of 2024 ")),
+        change(cut, cut + 7, F.lit("")),
+        change(put, put + 3, F.lit("'ll be")),
+        change(at_blank, at_blank + F.least(blank, F.lit(1)), F.when(draw(6, F.lit(2)) == 0, "").otherwise("\n  ")),
+        change(paste, paste, F.when(draw(7, F.lit(8)) == 0, F.repeat(F.lit(" a pasted paragraph, it's longer."), 40)).otherwise("")))
+    old = F.coalesce(_edits(state), F.array().cast(EDITS))
+    return state.withColumn("edits", F.when(F.col("chars")[1] > 0, F.concat(old, made)).otherwise(old))
+
+
 def number_edits(docs: DataFrame, replacement: str = "<num>") -> DataFrame:
     """``docs`` with ``edits`` that replace every run of four digits and more."""
     long_run = regex.compile("[0-9]{4,}")

@@ -219,34 +219,87 @@ def test_one_document_of_each_component_stays(hard):
 
 # -- 4 ----------------------------------------------------------------------------------------
 def test_counts_after_edits_equal_full_encoding():
-    counter = tokens.Counter()
+    counter = tokens.Counter(tokens.ranks_of())
     plain = tiktoken.Encoding("own", pat_str=tokens.PATTERN, special_tokens={},
                               mergeable_ranks=counter.encoder._mergeable_ranks)
     rng = random.Random(2)
     parts = ["a", "bc", " ", "   ", "\n", "\t", "'", "ll", "'s", "12", "!?", "é", "\x1c", " ", "word "]
     for _ in range(1500):
         text = "".join(rng.choices(parts, k=rng.randint(0, 400)))
-        doc = tokens.Document(text, *map(tokens.build, counter.leaves(text)))
-        for _ in range(3):
-            start = rng.randint(0, len(doc.text))
-            end = min(len(doc.text), start + rng.choice((0, 1, 3, 30)))
-            doc.edit(start, end, "".join(rng.choices(parts, k=rng.randint(0, 6))), counter)
-            assert doc.tokens[1] == len(plain.encode_ordinary(doc.text)) and doc.chars[1] == len(doc.text)
-    long = "some words and more " * 5000
-    doc = tokens.Document(long, *map(tokens.build, counter.leaves(long)))
+        doc = tokens.Document.of(counter.leaves(text))
+        for _ in range(4):
+            start = rng.randint(0, len(text))
+            end = min(len(text), start + rng.choice((0, 1, 3, 30, 400)))
+            new = "".join(rng.choices(parts, k=rng.choice((0, 2, 6, 300))))
+            doc.edit(start, end, new, counter)
+            text = text[:start] + new + text[end:]
+            assert "".join(t for t, _, _ in doc.leaves()) == text
+            assert doc.tokens[1] == len(plain.encode_ordinary(text)) and doc.chars[1] == len(text)
+
+
+def test_edits_of_a_long_text_stay_local():
+    counter = tokens.Counter(tokens.ranks_of())
+    doc = tokens.Document.of(counter.leaves("some words and more " * 5000))
     doc.edit(50_000, 50_004, "new text", counter)
     assert doc.encoded < 1000
+    doc.edit(50_000, 50_000, "pasted words " * 8000, counter)  # into one leaf
+    for place in (50_001, 100_000, 153_999, 154_000):
+        held = doc.encoded
+        doc.edit(place, place, "x", counter)
+        assert doc.encoded - held < 1000
+    for k in range(300):  # at one place, the tree stays shallow
+        doc.edit(1000, 1000, "again and again and " * 30, counter)
+    deepest, todo = 0, [(1, 0)]
+    while todo:
+        node, depth = todo.pop()
+        deepest = max(deepest, depth)
+        todo += [(child, depth + 1) for child in (doc.left[node], doc.right[node]) if child]
+    assert deepest <= 2 * (len(doc.chars) // 2).bit_length() + 2
+    size = doc.chars[1]
+    doc.edit(10, size - 10, "", counter)  # nearly all goes, and the empty leaves with it
+    assert len(doc.chars) <= 16 and doc.tokens[1] == counter.total("".join(t for t, _, _ in doc.leaves()))
+
+
+def applied(text, edits):
+    for start, end, new in reversed(tokens.clipped(edits, len(text))):
+        text = text[:start] + new + text[end:]
+    return text
+
+
+def test_columns_of_the_token_query_equal_full_encoding(spark, hard, small_docs):
+    counter = tokens.Counter(tokens.ranks_of())
+    for docs in (small_docs, hard):
+        state = tokens.revision_edits(tokens.counted(tokens.number_edits(docs)))
+        made = sorted((str(r.doc_id), "".join(r.pieces), [e.asDict() for e in r.edits]) for r in state.collect())
+        got = sorted((str(r.doc_id), r.n_tokens_before, r.n_edits, r.n_tokens) for r in tokens.edited(state).collect())
+        assert got == sorted((d, counter.total(t), len(e), counter.total(applied(t, e))) for d, t, e in made)
+        assert [t for _, t, _ in made] == [t for _, t in sorted((str(r.doc_id), r.text or "") for r in docs.collect())]
+        assert all(len(e) >= 5 if t else not e for _, t, e in made)
+    from ledgermatch.llm.queries import op4_tokens
+    ran = sorted(map(tuple, op4_tokens(spark, "/root/testdata/sf0.001").collect()))
+    state = tokens.revision_edits(tokens.counted(tokens.number_edits(small_docs)))
+    assert ran == sorted(map(tuple, tokens.edited(state).select(
+        "doc_id", "n_tokens_before", "n_edits", "n_tokens", "n_encoded").collect()))
+
+
+def test_token_inputs_that_are_refused(small_docs):
+    with pytest.raises(ValueError, match="edits must be"):
+        tokens.counted(small_docs.withColumn("edits", F.lit("none")))
+    with pytest.raises(FileNotFoundError, match="/no/such/file"):
+        tokens.counted(small_docs, vocabulary="/no/such/file")
 
 
 def test_token_counts_on_hard_rows(hard, nothing):
-    counter = tokens.Counter()
+    counter = tokens.Counter(tokens.ranks_of())
     got = tokens.edited(tokens.counted(tokens.number_edits(hard))).collect()
     assert len(got) == 10
     for r in got:
-        assert r.n_tokens == counter.total(r.text) and not regex.search("[0-9]{4,}", r.text)
+        text = "".join(r.pieces)
+        assert r.n_tokens == counter.total(text) and not regex.search("[0-9]{4,}", text)
     assert tokens.edited(tokens.counted(nothing)).count() == 0
     edits = [{"start": 5, "end": 99, "replacement": None}, {"start": -3, "end": 2, "replacement": "x"}, {"start": 1, "end": 4, "replacement": "y"}]
     assert tokens.clipped(edits, 10) == [(0, 2, "x"), (2, 4, "y"), (5, 10, "")]
+    assert tokens.clipped([None, {"start": None, "end": None, "replacement": "z"}], 3) == [(0, 0, "z")]
 
 
 # -- 5 ----------------------------------------------------------------------------------------
