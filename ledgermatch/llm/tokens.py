@@ -31,12 +31,13 @@ from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_of
+from .common import SLICE_BYTES, text_of
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that belongs to the vocabulary (fixed value).
@@ -60,24 +61,30 @@ def ranks_of(vocabulary: str = VOCABULARY) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+class Known(dict):
+    """Token counts of pre-tokens, encoded when first asked for; up to ``CACHED_PIECES`` short ones are kept."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self.encode = encode
+
+    def __missing__(self, piece: str) -> int:
+        n = len(self.encode(piece))
+        if len(self) >= CACHED_PIECES:
+            self.clear()
+        if len(piece) <= 64:
+            self[piece] = n
+        return n
+
+
 class Counter:
-    """Token counts of pre-tokens, kept for up to ``CACHED_PIECES`` of them."""
+    """Cuts texts into pre-tokens and counts their tokens."""
 
     def __init__(self, ranks: dict[bytes, int]):
         # one pre-token is one piece here: the splitting has been done
-        self.encoder = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
+        encoder = tiktoken.Encoding("pieces", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.pattern = regex.compile(PATTERN)
-        self.known: dict[str, int] = {}
-
-    def count(self, piece: str) -> int:
-        n = self.known.get(piece)
-        if n is None:
-            if len(self.known) >= CACHED_PIECES:
-                self.known.clear()
-            n = len(self.encoder.encode_ordinary(piece))
-            if len(piece) <= 64:
-                self.known[piece] = n
-        return n
+        self.count = Known(encoder.encode_ordinary).__getitem__
 
     def total(self, text: str) -> int:
         return sum(map(self.count, self.pattern.findall(text)))
@@ -187,6 +194,8 @@ class Document:
         return depth
 
     def edit(self, start: int, end: int, new: str, counter: Counter) -> None:
+        if start == end and not new:
+            return
         first, at = self.descend(max(0, start - CONTEXT))
         behind = self.behind(first)
         taken, close = [first], [at + self.chars[first]]  # leaves looked at; where each ends in the old text
@@ -263,13 +272,22 @@ def _ranks(spark: SparkSession, vocabulary: str):
     return spark.sparkContext.broadcast(ranks_of(vocabulary))
 
 
+def _portions(batches: Iterator[pa.RecordBatch], size) -> Iterator[pa.RecordBatch]:
+    """The rows of batches in portions of about ``SLICE_BYTES`` of text, a longer text alone or last in one."""
+    for b in batches:
+        ends = np.cumsum(np.asarray(size(b), dtype=np.int64))
+        cuts = [0, *(np.flatnonzero(np.diff(ends // SLICE_BYTES)) + 1).tolist(), len(ends)]
+        for lo, hi in zip(cuts, cuts[1:]):
+            yield b.slice(lo, hi - lo)
+
+
 def counted(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, pieces, chars, tokens, edits, n_tokens``: every text in leaves with its trees; other columns go."""
     ranks = _ranks(docs.sparkSession, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(ranks.value)
-        for b in batches:
+        for b in _portions(batches, lambda b: pc.binary_length(b.column(1))):
             states = [trees(counter.leaves(t.as_py())) for t in b.column(1)]
             kinds = (pa.string(), pa.int32(), pa.int32())
             yield pa.RecordBatch.from_arrays(
@@ -288,7 +306,7 @@ def edited(state: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = Counter(ranks.value)
-        for b in batches:
+        for b in _portions(batches, lambda b: pc.list_element(b.column("chars"), 1)):
             done = []
             for doc_edits, *parts in zip(*(b.column(n).to_pylist() for n in ("edits", "pieces", "chars", "tokens"))):
                 edits, encoded = clipped(doc_edits, parts[1][1]), 0
@@ -352,7 +370,7 @@ def number_edits(docs: DataFrame, replacement: str = "<num>") -> DataFrame:
     shape = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("replacement", pa.string())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _portions(batches, lambda b: pc.binary_length(b.column(1))):
             edits = [[{"start": m.start(), "end": m.end(), "replacement": replacement}
                       for m in long_run.finditer(t.as_py())] for t in b.column(1)]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(edits, shape)], ["doc_id", "text", "edits"])
