@@ -270,10 +270,20 @@ def exact_matches(left: DataFrame, left_key: str, right: DataFrame, right_key: s
 def wide(long_matches: DataFrame, match_type: str, k: int = DEFAULT_K) -> DataFrame:
     """One row per supplier with best_<type>_match_<i> and ..._score columns
     for i = 1..k; missing ranks are null."""
-    aggs = []
+    return by_rank(long_matches, match_type, {"": "match", "_score": "score"}, k)
+
+
+def by_rank(long_matches: DataFrame, match_type: str, fields: dict[str, str], k: int = DEFAULT_K) -> DataFrame:
+    """Per supplier ``best_<type>_match_<i><suffix>`` for i = 1..k and every suffix -> column of ``fields``.
+
+    A supplier's ranks (``k`` at most) are collected and spread by one projection.
+    """
+    ranked = (long_matches.filter(F.col("rank").between(1, k)).groupBy("NORMALIZED_SUPPLIER")
+              .agg(F.collect_list(F.struct("rank", *fields.values())).alias("found")))
+    cols = []
     for i in range(1, k + 1):
-        hit = F.col("rank") == i
-        aggs.append(F.max(F.when(hit, F.col("match"))).alias(f"best_{match_type}_match_{i}"))
-        aggs.append(F.max(F.when(hit, F.col("score"))).cast("double")
-                    .alias(f"best_{match_type}_match_{i}_score"))
-    return long_matches.groupBy("NORMALIZED_SUPPLIER").agg(*aggs)
+        hit = F.get(F.filter("found", lambda m: m["rank"] == i), F.lit(0))
+        for suffix, name in fields.items():
+            value = hit[name].cast("double") if name == "score" else hit[name]
+            cols.append(value.alias(f"best_{match_type}_match_{i}{suffix}"))
+    return ranked.select("NORMALIZED_SUPPLIER", *cols)

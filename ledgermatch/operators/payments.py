@@ -7,6 +7,8 @@ distinct supplier text and joined back.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,9 @@ from ..functions.text import (is_numeric_text, is_redacted, org_counter,
 CORE = ["data_source", "amount", "supplier", "date", "dept"]
 NHS_ID_COLUMNS = ["CompanyName", "CompanyNumber", "CharityRegNo", "CharitySubNo",
                   "CharityNameNo", "CharityName", "audit_type", "CHnotes", "CCnotes", "isCIC"]
-ORD_KEYS = ["feed_ord", "k1", "k2", "k3", "k4"]
+# Keys of a payment's position, with the decimal digits that each may have: 38 in all, one decimal number.
+ORD_DIGITS = {"feed_ord": 1, "k1": 13, "k2": 2, "k3": 12, "k4": 10}
+ORD_KEYS = list(ORD_DIGITS)
 
 
 def row_ord(df: DataFrame) -> Column:
@@ -26,6 +30,23 @@ def row_ord(df: DataFrame) -> Column:
     return F.struct(*[F.col(c).cast("long").alias(c) for c in ORD_KEYS])
 
 
+def packed_ord(ord_col: str) -> Column:
+    """A ``row_ord`` as one decimal of the same order, which hash aggregates can hold.
+
+    A key that is negative or has more digits than ``ORD_DIGITS`` is an error.
+    """
+    def key(name: str) -> Column:
+        value = F.col(ord_col)[name]
+        return F.when(value.between(0, 10 ** ORD_DIGITS[name] - 1), value).otherwise(
+            F.raise_error(F.concat(F.lit(f"{name} out of range in a payment's position: "), F.coalesce(value.cast("string"), F.lit("null")))))
+
+    digits = ORD_DIGITS
+    high = (key("feed_ord") * 10 ** digits["k1"] + key("k1")) * 10 ** digits["k2"] + key("k2")
+    low = digits["k3"] + digits["k4"]
+    return (high.cast("decimal(16,0)") * F.lit(Decimal(10 ** low)) + key("k3").cast("decimal(12,0)") * F.lit(Decimal(10 ** digits["k4"]))
+            + key("k4")).cast("decimal(38,0)")
+
+
 # -- B1 / B2 / B3: shape the three feeds --------------------------------------
 def prepare_centgov(df: DataFrame) -> DataFrame:
     return df.select(*CORE, row_ord(df).alias("row_ord"))

@@ -7,7 +7,8 @@ payments never lands whole in one task:
 1. ``groupBy(SUPPLIER, dept, region, vcse)`` with map-side partial
    aggregation: the first position, sum, count and date bounds of every
    distinct value combination.  Its size is bounded by the value domains,
-   not by the number of payments.
+   not by the number of payments.  Positions are packed in one decimal, so that
+   this is a hash aggregate: no payment is sorted.
 2. ``groupBy(SUPPLIER)`` over those combinations: first-seen-order distinct
    lists are built from (first position, value) pairs, sums and counts are
    added up.
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_range_text
 from ..functions.normalise import normalise_frame
 from ..functions.text import org_counter, quote_escape, supplier_clean
+from .payments import packed_ord
 
 LIST_COLUMNS = {"dept": "dept", "contractsfinder_region": "region",
                 "contractsfinder_awardedToVcse": "vcse"}
@@ -47,7 +49,7 @@ def rollup(clean_rows: DataFrame) -> DataFrame:
                          F.col("dept"),
                          F.col("contractsfinder_region").alias("region"),
                          F.col("contractsfinder_awardedToVcse").alias("vcse"))
-              .agg(F.min("row_ord").alias("first_ord"),
+              .agg(F.min(packed_ord("row_ord")).alias("first_ord"),
                    F.sum("amount").alias("amount"),
                    F.count(F.lit(1)).alias("n"),
                    F.min("pay_date").alias("min_date"),
@@ -67,7 +69,7 @@ def rollup(clean_rows: DataFrame) -> DataFrame:
 def date_list(clean_rows: DataFrame) -> DataFrame:
     """E1 for the date column: per supplier, distinct payment dates in
     first-seen order (pre-aggregated per (supplier, date))."""
-    firsts = clean_rows.groupBy("SUPPLIER", "date").agg(F.min("row_ord").alias("first_ord"))
+    firsts = clean_rows.groupBy("SUPPLIER", "date").agg(F.min(packed_ord("row_ord")).alias("first_ord"))
     return firsts.groupBy("SUPPLIER").agg(_first_seen_list("date").alias("date_list"))
 
 

@@ -317,6 +317,10 @@ def q_match_bands(spark, sf):
     return RV.match_bands(q_matches_all(spark, sf)).withColumn("avg_score", F.round("avg_score", 6))
 
 
+def q_match_histogram(spark, sf):
+    return RV.match_histogram(q_matches_all(spark, sf)).withColumn("avg_margin", F.round("avg_margin", 6))
+
+
 SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feed_counts": q_feed_counts,
     "feed_nhs": q_feed_nhs,
@@ -364,6 +368,7 @@ SPARK_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "unnormalise": q_unnormalise,
     "review_wide": q_review_wide,
     "match_bands": q_match_bands,
+    "match_histogram": q_match_histogram,
 }
 
 
@@ -543,5 +548,11 @@ def oracle_sql() -> dict[str, str]:
         "match_bands": _full(f"SELECT match_type, {band} AS band, count(*) AS n_suppliers, "
                              "round(avg(score), 6) AS avg_score FROM (" + all_final + ") WHERE rank = 1 GROUP BY ALL",
                              all_ctes),
+        "match_histogram": _full(
+            "SELECT a.match_type, CAST(least(a.score // 10, 10) + 1 AS INTEGER) AS bucket, count(*) AS n_suppliers, "
+            "count(*) FILTER (b.score IS NULL) AS n_alone, min(a.score - coalesce(b.score, 0)) AS min_margin, "
+            "max(a.score - coalesce(b.score, 0)) AS max_margin, round(avg(a.score - coalesce(b.score, 0)), 6) AS avg_margin "
+            f"FROM (SELECT * FROM ({all_final}) WHERE rank = 1) a LEFT JOIN (SELECT * FROM ({all_final}) WHERE rank = 2) b "
+            "USING (match_type, NORMALIZED_SUPPLIER) GROUP BY ALL", all_ctes),
     }
     return sql

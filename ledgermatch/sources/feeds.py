@@ -66,8 +66,8 @@ def _feed(spark: SparkSession, paths: list[str], columns: dict[str, str], label:
     """The files one after the other, with ``data_source`` and the keys of a payment's position."""
     parts = [read_csv(spark, p, columns, multi_line).select(
         F.lit(label).alias("data_source"), *columns, F.lit(feed_ord).alias("feed_ord"),
-        F.lit(i).cast("long").alias("k1"), F.col("__row").alias("k2"),
-        F.lit(0).cast("long").alias("k3"), F.lit(0).cast("long").alias("k4")) for i, p in enumerate(paths)]
+        F.lit(i).cast("long").alias("k1"), F.lit(0).cast("long").alias("k2"),
+        F.col("__row").alias("k3"), F.lit(0).cast("long").alias("k4")) for i, p in enumerate(paths)]
     return _union(parts)
 
 
