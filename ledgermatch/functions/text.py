@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -47,46 +50,53 @@ def quote_escape(col: Column) -> Column:
 
 
 # -- F5: HTML to text --------------------------------------------------------
-# Regex definition of "text of an HTML fragment": drop comments, the bodies
-# of script and style elements, and tags; then decode the common named
-# entities.  Entities are decoded after tags are gone so a decoded '<' is
-# never taken for a tag; '&amp;' and numbered characters go last, in one pass,
-# so '&amp;lt;' yields '&lt;' and '&amp;#39;' yields '&#39;'.
-HTML_ENTITIES = [
-    ("(?i)&lt;", "<"),
-    ("(?i)&gt;", ">"),
-    ("(?i)&quot;", '"'),
-    ("&apos;", "'"),
-    ("&nbsp;", "\u00a0"),
-]
-HTML_CODE = r"(?i)&(?:amp|#[0-9]{1,7}|#x[0-9a-f]{1,6});"
-HTML_COMMENT = r"(?s)<!--.*?-->"
-HTML_SCRIPT = r"(?is)<script\b[^>]*>.*?</script\s*>"
-HTML_STYLE = r"(?is)<style\b[^>]*>.*?</style\s*>"
-HTML_TAG = r"<[A-Za-z/!?][^>]*>"
+# One pass over the text takes each piece of markup where it starts: a comment
+# (to the end if it is left open), a script or style element with its body, a
+# tag whose quoted attributes may hold '>', and what else begins like a tag
+# (declarations, tags with an odd quote).  The text between them is then
+# decoded in one pass, so a decoded '<' is never taken for a tag and '&amp;lt;'
+# yields '&lt;'.  Quantifiers are possessive: no backtracking, no deep recursion.
+_ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+HTML_MARKUP = (r"(?is)<!--.*?(?:-->|\z)"
+               rf"|<(script|style)(?=[\t-\r />]){_ATTRIBUTES}>.*?(?:</\1(?=[\t-\r />])[^>]*+>|\z)"
+               rf"|</?[a-z]{_ATTRIBUTES}>"
+               r"|<[/!?a-z][^>]*+>")
+HTML_CODE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
+
+
+def _entities() -> Column:
+    """Named characters of HTML 5, and the numbers 128 to 159, which HTML reads as Windows-1252, as a map."""
+    table = {name[:-1]: value for name, value in html5.items() if name.endswith(";")}
+    for n in range(128, 160):
+        table[f"#{n}"] = bytes([n]).decode("cp1252", errors="ignore") or chr(n)
+    return F.from_json(F.lit(json.dumps(table)), "map<string,string>")
 
 
 def strip_html(col: Column) -> Column:
-    """The text of an HTML fragment; text without ``<`` and ``&`` is left alone."""
-    s = F.regexp_replace(col, HTML_COMMENT, "")
-    s = F.regexp_replace(s, HTML_SCRIPT, "")
-    s = F.regexp_replace(s, HTML_STYLE, "")
-    s = F.regexp_replace(s, HTML_TAG, "")
-    for pattern, repl in HTML_ENTITIES:
-        s = F.regexp_replace(s, pattern, repl)
-    # bound by a lambda, so that the passes above run once
-    s = F.get(F.transform(F.array(s), lambda t: F.when(t.contains("&"), _decoded(t)).otherwise(t)), F.lit(0))
-    return F.when(col.contains("<") | col.contains("&"), s).otherwise(col)
+    """The text of an HTML fragment; text without ``<`` and ``&`` is left alone.
+
+    An unknown name stays as it is written; a number that is no character
+    becomes U+FFFD.
+    """
+    # bound by a lambda, so that the pass over markup runs once
+    bare = F.when(col.contains("<"), F.regexp_replace(col, HTML_MARKUP, "")).otherwise(col)
+    text = F.get(F.transform(F.array(bare), lambda t: F.when(t.contains("&"), _decoded(t)).otherwise(t)), F.lit(0))
+    return F.when(col.contains("<") | col.contains("&"), text).otherwise(col)
 
 
 def _decoded(s: Column) -> Column:
-    """``&amp;`` and numbered characters; a number that is no character becomes U+FFFD."""
+    """``s`` with its named and numbered characters in place."""
+    table = _entities()
+
     def char(c: Column) -> Column:
-        n = F.when(F.lower(c).startswith("&#x"), F.conv(F.substring(c, F.lit(4), F.length(c) - 4), 16, 10)).otherwise(
-            F.substring(c, F.lit(3), F.length(c) - 3)).try_cast("int")
+        name = F.substring(c, F.lit(2), F.length(c) - 2)
+        n = F.when(F.lower(name).startswith("#x"), F.conv(F.substring(name, F.lit(3), F.length(name) - 2), 16, 10)).otherwise(
+            F.substring(name, F.lit(2), F.length(name) - 1)).try_cast("int")
         valid = n.between(1, 0xD7FF) | n.between(0xE000, 0x10FFFF)
-        point = F.lpad(F.hex(F.when(valid, n).otherwise(0xFFFD)), 8, "0")
-        return F.when(F.lower(c) == "&amp;", "&").otherwise(F.decode(F.unhex(point), "UTF-32"))
+        point = F.decode(F.unhex(F.lpad(F.hex(F.when(valid, n).otherwise(0xFFFD)), 8, "0")), "UTF-32")
+        return (F.when(~name.startswith("#"), F.coalesce(F.try_element_at(table, name), c))
+                .when(n.between(128, 159), F.try_element_at(table, F.concat(F.lit("#"), n.cast("string"))))
+                .otherwise(point))
 
     codes = F.transform(F.regexp_extract_all(s, F.lit(HTML_CODE), F.lit(0)), char)
     return F.array_join(F.zip_with(F.split(s, HTML_CODE, -1), codes, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")

@@ -10,9 +10,11 @@ scalar functions below restate the Spark expressions in DuckDB's dialect
 
 from __future__ import annotations
 
+import html.entities
+
 from ..functions import rules as R
 from ..functions.normalise import DUCKDB, WS_CLASS, normalise_sql
-from ..functions.text import HTML_CODE, HTML_COMMENT, HTML_ENTITIES, HTML_SCRIPT, HTML_STYLE, HTML_TAG, NUMERIC_TEXT
+from ..functions.text import NUMERIC_TEXT
 from ..operators.matching import DEFAULT_MIN_SIMILARITY
 from ..sources.fixtures import duckdb_fixture
 
@@ -32,18 +34,28 @@ def is_numeric(x: str) -> str:
     return f"regexp_matches({x}, {lit(NUMERIC_TEXT)})"
 
 
+def _html_names() -> str:
+    """A DuckDB map of HTML's named characters and of the numbers that it reads as Windows-1252."""
+    undefined = {0x81, 0x8D, 0x8F, 0x90, 0x9D}
+    entries = [(k.removesuffix(";"), v) for k, v in sorted(html.entities.html5.items()) if k.endswith(";")]
+    entries += [(f"#{n}", chr(n) if n in undefined else bytes([n]).decode("cp1252")) for n in range(0x80, 0xA0)]
+    return "MAP {" + ", ".join(f"{lit(k)}: {lit(v)}" for k, v in entries) + "}"
+
+
 def strip_html(x: str) -> str:
-    s = x
-    for pattern in (HTML_COMMENT, HTML_SCRIPT, HTML_STYLE, HTML_TAG):
-        s = f"regexp_replace({s}, {lit(pattern)}, '', 'g')"
-    for pattern, repl in HTML_ENTITIES:
-        s = f"regexp_replace({s}, {lit(pattern)}, {lit(repl)}, 'g')"
+    """Restated for RE2, which has neither look-ahead nor back references."""
+    inside = """([^>"']|"[^"]*"|'[^']*')*"""
+    body = r"<{0}([\t-\r /]" + inside + r")?>.*?(</{0}([\t-\r /][^>]*)?>|\z)"
+    markup = "|".join([r"<!--.*?(-->|\z)", body.format("script"), body.format("style"), "</?[a-z]" + inside + ">", "<[/!?a-z][^>]*>"])
+    bare = f"regexp_replace({x}, {lit('(?is)' + markup)}, '', 'g')"
+    code = lit("&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});")
     number = "try_cast(CASE WHEN c[3] IN ('x', 'X') THEN '0x' || c[4:-2] ELSE c[3:-2] END AS INTEGER)"
-    char = (f"CASE WHEN lower(c) = '&amp;' THEN '&' WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 "
-            f"THEN chr({number}) ELSE '\ufffd' END")
-    decoded = (f"array_to_string(list_transform(list_zip(string_split_regex(t, {lit(HTML_CODE)}), list_transform("
-               f"regexp_extract_all(t, {lit(HTML_CODE)}), lambda c: {char})), lambda p: p[1] || coalesce(p[2], '')), '')")
-    return f"list_transform([{s}], lambda t: CASE WHEN contains(t, '&') THEN {decoded} ELSE t END)[1]"
+    names = _html_names()
+    char = (f"CASE WHEN c[2] <> '#' THEN coalesce({names}[c[2:-2]], c) WHEN {number} BETWEEN 128 AND 159 THEN {names}['#' || {number}] "
+            f"WHEN {number} BETWEEN 1 AND 55295 OR {number} BETWEEN 57344 AND 1114111 THEN chr({number}) ELSE '\ufffd' END")
+    decoded = (f"array_to_string(list_transform(list_zip(string_split_regex(t, {code}), list_transform("
+               f"regexp_extract_all(t, {code}), lambda c: {char})), lambda p: p[1] || coalesce(p[2], '')), '')")
+    return f"list_transform([{bare}], lambda t: CASE WHEN contains(t, '&') THEN {decoded} ELSE t END)[1]"
 
 
 def quote_escape(x: str) -> str:

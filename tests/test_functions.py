@@ -67,3 +67,24 @@ def test_strip_html(spark):
                                 ("&amp;lt;",), ("O&#39;NEIL &#X26;amp; &#8364; &amp;#39; &#55296;",), ("PLAIN",), (None,)], "s string")
     got = [r.o for r in df.select(T.strip_html(F.col("s")).alias("o")).collect()]
     assert got == ["ACME & SONS", "A B", "&lt;", "O'NEIL &amp; \u20ac &#39; \ufffd", "PLAIN", None]
+
+
+HTML_CASES = [
+    ('<a title="x>y">in</a> out', "in out"), ("<a title='a>b\"c' href=x>in</a>", "in"), ("caf&eacute; &Eacute;A &EACUTE;", "caf\u00e9 \u00c9A &EACUTE;"),
+    ("seen <!-- open", "seen "), ("a<!-- b --!> c --> d", "a d"), ('<a title="open>tail', "tail"), ("a <b", "a <b"), ("1 < 2 & 3 > 2", "1 < 2 & 3 > 2"),
+    ("x<SCRIPT type='a>b'>if (a<b) '</p>' </script >y", "xy"), ("x<script>never closed <b>y</b>", "x"), ("<scripted>y</scripted>", "y"),
+    ("<style>a > b {}</STYLE>z<styled>", "z"), ("x<script>'</scripts>'</script>y", "xy"), ("&#150;&#x96;&#129;&#8211;", "\u2013\u2013\x81\u2013"),
+    ("&nosuch; &amp;eacute; &amp &;", "&nosuch; &eacute; &amp &;"), ("<!DOCTYPE html><?php x ?>t</p\n>", "t"), ("&NotEqualTilde;", "\u2242\u0338"),
+    ("<p " + "a='>' b=\"<\" c " * 3000 + ">long</p>", "long"), ("<" + "p" * 50000 + ">", ""), ("", ""), (None, None)]
+
+
+def test_strip_html_corner_cases_in_both_dialects(spark):
+    import duckdb
+    from ledgermatch.plans.oracle import strip_html
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(HTML_CASES)], "i int, s string")
+    got = [r.o for r in df.select("i", T.strip_html(F.col("s")).alias("o")).orderBy("i").collect()]
+    assert got == [c[1] for c in HTML_CASES]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t (i INTEGER, s VARCHAR)")
+    con.executemany("INSERT INTO t VALUES (?, ?)", [(i, c[0]) for i, c in enumerate(HTML_CASES)])
+    assert [r[0] for r in con.execute(f"SELECT {strip_html('s')} FROM t ORDER BY i").fetchall()] == got
