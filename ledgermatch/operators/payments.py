@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import fmt_dmy, parse_mixed_date
@@ -114,6 +114,12 @@ def annotate(payments: DataFrame) -> DataFrame:
     return df.withColumn("drop_reason", reason)
 
 
+def drop_counts() -> list[Column]:
+    """C15 as aggregates over ``annotate``'s rows, for ``DataFrame.observe``: one count per rule and ``kept``."""
+    reason = F.coalesce("drop_reason", F.lit("kept"))
+    return [F.count(F.when(reason == r, 1)).alias(r) for r in [*DROP_REASONS, "kept"]]
+
+
 def drop_audit(payments: DataFrame) -> DataFrame:
     """Rows dropped per rule (first failing rule wins) plus rows kept."""
     a = annotate(payments)
@@ -121,14 +127,18 @@ def drop_audit(payments: DataFrame) -> DataFrame:
             .groupBy("reason").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-def clean(payments: DataFrame) -> DataFrame:
+def clean(payments: DataFrame, audit: Observation | None = None) -> DataFrame:
     """Rows that pass every rule, shaped like the reference's cleaned payments.
 
     ``SUPPLIER_TEXT`` is the supplier text before the organisation split; the
     row-level ``NORMALIZED_SUPPLIER`` is derived from it (as the reference
-    does), while the roll-up re-derives names from ``SUPPLIER``.
+    does), while the roll-up re-derives names from ``SUPPLIER``.  ``audit``
+    takes the drop counts while the rows pass.
     """
-    a = annotate(payments).filter(F.col("drop_reason").isNull())
+    a = annotate(payments)
+    if audit is not None:
+        a = a.observe(audit, *drop_counts())
+    a = a.filter(F.col("drop_reason").isNull())
     out = a.select(
         *[c for c in a.columns if c not in {"SUPPLIER", "date", "pay_date", "is_numeric",
                                             "is_short", "org", "drop_reason"}],

@@ -11,7 +11,7 @@ runs them as sort aggregates: each task sorts its own rows first.  Measured on
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.dates import parse_dayfirst_date
@@ -47,6 +47,18 @@ def drop_ambiguous(df: DataFrame, name_col: str, order_col: str) -> DataFrame:
             .select(name_col, *[F.col("r")[c].alias(c) for c in others]))
 
 
+def counted(df: DataFrame, audit: dict[str, Observation] | None, step: str) -> DataFrame:
+    """``df`` with its rows counted on the way into ``audit[step]``.
+
+    Rows are counted before a shuffle, so what a lost executor makes Spark
+    compute again is counted again; the counts of written rows are exact.
+    """
+    if audit is None:
+        return df
+    audit[step] = Observation()
+    return df.observe(audit[step], F.count(F.lit(1)).alias("rows"))
+
+
 def company_snapshot_merge(raw: DataFrame) -> DataFrame:
     """Current file first, then the historical parts; the first row
     of each company number wins.  ``choice_ord`` records that order."""
@@ -55,9 +67,9 @@ def company_snapshot_merge(raw: DataFrame) -> DataFrame:
     return keep_first(df, "CompanyNumber", ["choice_ord"])
 
 
-def company_register(raw: DataFrame) -> DataFrame:
+def company_register(raw: DataFrame, audit: dict[str, Observation] | None = None) -> DataFrame:
     """A3/A10: normalised, unambiguous company register."""
-    df = company_snapshot_merge(raw)
+    df = counted(company_snapshot_merge(counted(raw, audit, "read_")), audit, "merged_")
     df = normalise_frame(df.withColumn("NORMALIZED_CompanyName", as_text(F.col("CompanyName"))),
                          "NORMALIZED_CompanyName", "NORMALIZED_CompanyName")
     df = drop_ambiguous(df, "NORMALIZED_CompanyName", "choice_ord")
@@ -70,10 +82,10 @@ SPINE_COLUMNS = ["uid", "organisationname", "fulladdress", "city", "postcode",
                  "registerdate", "removeddate"]
 
 
-def spine_register(raw: DataFrame) -> DataFrame:
+def spine_register(raw: DataFrame, audit: dict[str, Observation] | None = None) -> DataFrame:
     """A5/A10: normalised, unambiguous charity spine, with removal date parsed
     day-first."""
-    df = raw.select(*SPINE_COLUMNS, F.col("k1").cast("long").alias("choice_ord"))
+    df = counted(raw, audit, "read_").select(*SPINE_COLUMNS, F.col("k1").cast("long").alias("choice_ord"))
     df = normalise_frame(df.withColumn("NORMALIZED_organisationname", as_text(F.col("organisationname"))),
                          "NORMALIZED_organisationname", "NORMALIZED_organisationname")
     df = drop_ambiguous(df, "NORMALIZED_organisationname", "choice_ord")
@@ -97,9 +109,9 @@ def spine_asof_split(spine: DataFrame, asof: str = ASOF_DATE) -> tuple[DataFrame
     return spine.filter(~closed), spine.filter(closed)
 
 
-def nhs_register(raw: DataFrame) -> DataFrame:
+def nhs_register(raw: DataFrame, audit: dict[str, Observation] | None = None) -> DataFrame:
     """Normalised, unambiguous NHS supplier list."""
-    df = raw.select("NHSDigital_Supplier", F.col("k1").cast("long").alias("choice_ord"))
+    df = counted(raw, audit, "read_").select("NHSDigital_Supplier", F.col("k1").cast("long").alias("choice_ord"))
     df = normalise_frame(df.withColumn("NORMALIZED_NHSDigital_Supplier", as_text(F.col("NHSDigital_Supplier"))),
                          "NORMALIZED_NHSDigital_Supplier", "NORMALIZED_NHSDigital_Supplier")
     df = drop_ambiguous(df, "NORMALIZED_NHSDigital_Supplier", "choice_ord")

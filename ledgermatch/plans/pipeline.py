@@ -11,12 +11,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import matching, payments, registers, review, suppliers
 from ..session import scratch_path
 from ..sources.fixtures import fixture
+from .stages import Stages, input_mark
 
 # Which register each match type runs against (notebook order).
 MATCH_TYPES = ["spine", "spine_notclosed2010", "spine_closed2010", "ch", "nhsdigital"]
@@ -48,10 +49,10 @@ class Inputs:
         return (payments.prepare_nhs(self.nhs), payments.prepare_centgov(self.centgov),
                 payments.prepare_contracts(self.contracts))
 
-    def normalised_registers(self) -> dict[str, DataFrame]:
-        return {"spine": registers.spine_register(self.registers["spine"]),
-                "ch": registers.company_register(self.registers["ch"]),
-                "nhsdigital": registers.nhs_register(self.registers["nhsdigital"])}
+    def normalised_registers(self, audit: dict[str, dict[str, Observation]]) -> dict[str, DataFrame]:
+        """The registers; ``audit`` takes each one's observed counts by step."""
+        make = {"spine": registers.spine_register, "ch": registers.company_register, "nhsdigital": registers.nhs_register}
+        return {t: f(self.registers[t], audit.setdefault(t, {})) for t, f in make.items()}
 
 
 # -- feeds and payments -----------------------------------------------------------
@@ -143,39 +144,45 @@ def review_wide(supplier_df: DataFrame, regs: dict[str, DataFrame], scorer: str
 def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
         scorer: str = "jaccard", profile: str = "notebook",
         min_similarity: float | None = None, inputs: Inputs | None = None,
-        from_stage: str | None = None) -> dict[str, str]:
+        from_stage: str | None = None) -> Stages:
     """Run every stage and write it as Parquet; returns stage -> path.
 
     ``inputs`` takes the place of the driver tables.  With ``from_stage`` the
-    stages before it are read as an earlier run left them in ``out_dir``.
+    stages before it are read as an earlier run left them in ``out_dir``, where
+    they are whole and made from these inputs and settings; others are run again.
+
+    ``counts`` of the result holds, per stage, the rows written and what was
+    counted in the same job: payments dropped per rule, register rows read,
+    merged and kept, suppliers that can be matched.
 
     Stage outputs are read back before the next stage, which cuts lineage
     (a lost executor recomputes from the last written stage, not from the
     raw feeds) and keeps each plan small.
     """
     base = (out_dir or scratch_path(spark, "pipeline")).rstrip("/")
-    paths = {}
+    stages = Stages(spark, base)
     if from_stage is not None and from_stage not in STAGES:
         raise ValueError(f"from_stage must be one of {STAGES}")
     first = 0 if from_stage is None else STAGES.index(from_stage)
     given = inputs or Inputs.of_tables(spark, sf_dir)
 
-    def save(name: str, df: DataFrame, partition_by: str | None = None) -> DataFrame:
-        path = f"{base}/{name}"
-        paths[name] = path
-        if STAGES.index(name) < first:
-            return spark.read.parquet(path)
-        writer = df.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(partition_by)
-        writer.parquet(path)
-        return spark.read.parquet(path)
+    def save(name: str, df: DataFrame, made_from: list, **more) -> DataFrame:
+        return stages.save(name, df, made_from, keep=STAGES.index(name) < first, **more)
 
+    done = stages.marks
     feed_rows = given.feeds()
-    rows = save("payments_clean", payments.clean(payments.union_feeds(*feed_rows)))
-    save("payments_output", payments.payments_output(rows))
-    sup = save("suppliers", suppliers.by_spend(suppliers.suppliers(rows, feed_rows[0], profile=profile)))
-    regs = {t: save(f"register_{t}", df) for t, df in given.normalised_registers().items()}
+    feed_marks = [input_mark(spark, df) for df in (given.nhs, given.centgov, given.contracts)]
+    drops = Observation()
+    rows = save("payments_clean", payments.clean(payments.union_feeds(*feed_rows), drops), feed_marks, observed={"": drops})
+    save("payments_output", payments.payments_output(rows), [done["payments_clean"]])
+    name = F.col("NORMALIZED_SUPPLIER")
+    sup = save("suppliers", suppliers.by_spend(suppliers.suppliers(rows, feed_rows[0], profile=profile)),
+               [done["payments_clean"], feed_marks[0], profile],
+               counts={"n_matchable": F.count(F.when(name != "", 1))})
+    audit: dict[str, dict[str, Observation]] = {}
+    regs = {t: save(f"register_{t}", df, [input_mark(spark, given.registers[t])], observed=audit[t])
+            for t, df in given.normalised_registers(audit).items()}
+    settings = [done["suppliers"], *[done[f"register_{t}"] for t in regs], scorer, min_similarity]
     long_parts = [matches(sup, regs, mt, scorer, min_similarity, with_names=True)
                   .withColumnRenamed(REGISTER_KEYS["spine" if mt.startswith("spine") else mt][1],
                                      "notnormalised")
@@ -183,9 +190,9 @@ def run(spark: SparkSession, sf_dir: str, out_dir: str | None = None,
     long_all = long_parts[0]
     for part in long_parts[1:]:
         long_all = long_all.unionByName(part)
-    long_all = save("matches", long_all, partition_by="match_type")
+    long_all = save("matches", long_all, settings, partition_by="match_type")
     by_type = {t: long_all.filter(F.col("match_type") == t)
                .withColumnRenamed("notnormalised", REGISTER_KEYS[t][1])
                for t in review.REVIEW_TYPES}
-    save("review", review_wide(sup, regs, scorer, min_similarity, by_type))
-    return paths
+    save("review", review_wide(sup, regs, scorer, min_similarity, by_type), [done["matches"]])
+    return stages

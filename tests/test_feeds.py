@@ -106,5 +106,31 @@ def test_restart_from_a_stage(spark, folder):
     again = P.run(spark, SMALL_SF, out, inputs=inputs, from_stage="matches")
     assert again == paths and os.path.getmtime(f"{out}/payments_clean/_SUCCESS") == before
     assert spark.read.parquet(again["review"]).collect() == review
+    assert again.ran == ["matches", "review"] and again.counts == paths.counts
+    assert {k: again.counts["register_ch"][k] for k in ("read_rows", "merged_rows", "n_rows")} == dict.fromkeys(
+        ("read_rows", "merged_rows", "n_rows"), 1)
+    assert again.counts["suppliers"] == {"n_rows": 1, "n_matchable": 1}
     with pytest.raises(ValueError):
         P.run(spark, SMALL_SF, out, from_stage="nowhere")
+    # a stage that lost a file, one without a manifest and one whose input has changed are run again, with what follows from it
+    part = next(f for f in os.listdir(f"{out}/register_spine") if f.endswith(".parquet"))
+    os.remove(f"{out}/register_spine/{part}")
+    for f in os.listdir(f"{out}/manifests/payments_output"):
+        os.remove(f"{out}/manifests/payments_output/{f}")
+    put(folder, "ch.csv", "CompanyName, CompanyNumber,RegAddress.PostTown,RegAddress.PostCode\nXENON LTD,1,A,B\nXENON TWO LTD,2,A,B\n")
+    company = feeds.company(spark, os.path.join(folder, "ch.csv"))
+    inputs = P.Inputs(inputs.nhs, inputs.centgov, inputs.contracts, {**inputs.registers, "ch": company})
+    third = P.run(spark, SMALL_SF, out, inputs=inputs, from_stage="review")
+    assert third.ran == ["payments_output", "register_spine", "register_ch", "matches", "review"]
+    assert third.counts["register_ch"]["n_rows"] == 2
+    assert os.path.getmtime(f"{out}/payments_clean/_SUCCESS") == before
+
+
+def test_run_over_empty_inputs(spark, folder):
+    """Every stage is written with its columns and no rows; all counts are zero."""
+    given = P.Inputs.of_tables(spark, SMALL_SF)
+    empty = P.Inputs(given.nhs.limit(0), given.centgov.limit(0), given.contracts.limit(0), {t: df.limit(0) for t, df in given.registers.items()})
+    run = P.run(spark, SMALL_SF, f"{folder}/empty", inputs=empty)
+    assert run.ran == P.STAGES and all(v == 0 for counts in run.counts.values() for v in counts.values())
+    assert run.counts["payments_clean"]["multi_org"] == 0
+    assert spark.read.parquet(run["suppliers"]).count() == 0
