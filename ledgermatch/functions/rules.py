@@ -400,17 +400,3 @@ def ordinal_digit_rules() -> list[tuple[str, str]]:
         for suffix in ("ST", "ND", "RD", "TH"):
             out.append((f" {d}{suffix} ", f" {d} "))
     return out
-
-
-# Named fold stages, in pipeline order, for per-stage inspection and the SQL
-# oracle generator.
-FOLD_TABLES = {
-    "punct": PUNCTUATION,
-    "apostrophe": APOSTROPHES,
-    "spelling": SPELLING,
-    "abbrev": ABBREVIATIONS,
-    "stopwords": STOPWORDS,
-    "domain": DOMAIN,
-    "ordinal_digits": ordinal_digit_rules(),
-    "tail": TAIL,
-}

@@ -64,12 +64,12 @@ DATE_TEXT = f"""CASE WHEN l_linenumber = 7 THEN NULL ELSE CASE l_orderkey % 15
   WHEN 13 THEN 'n/a ' || {_YEAR}
   ELSE substr({SHIP_TEXT}, 1, 10) END END"""
 
-DEPT_TEXT = "CASE WHEN l_orderkey % 50 = 0 THEN NULL ELSE n_name END"
+DEPT_TEXT = "CASE WHEN l_orderkey % 50 = 0 THEN NULL WHEN l_orderkey % 43 = 0 THEN n_name || '; ' || r_name ELSE n_name END"
 
 # One row per line item: the noisy supplier payment every feed is built from.
 PAYMENTS_SQL = f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-       l_extendedprice AS amount,
+       CASE WHEN l_orderkey % 101 = 0 THEN NULL ELSE l_extendedprice END AS amount,
        {SUPPLIER_TEXT} AS supplier,
        {DATE_TEXT} AS date,
        {DEPT_TEXT} AS dept,
@@ -161,6 +161,11 @@ FROM (
 # Charity register ("spine").  Removal dates are order dates moved 12 years
 # on, so they straddle the 2010-01-01 as-of date; every 7th is still open.
 SPINE_DATE = "cast(o_orderdate AS string)"
+_REMOVED = (f"substr({SPINE_DATE}, 9, 2)", f"substr({SPINE_DATE}, 6, 2)", f"cast(cast(substr({SPINE_DATE}, 1, 4) AS int) + 12 AS string)")
+# Removal dates come with several separators, with the year first, and with a time.
+REMOVED_TEXT = "CASE p_partkey % 5 " + " ".join(
+    f"WHEN {i} THEN " + f" || '{mark}' || ".join(_REMOVED) for i, mark in enumerate("/-.")) + (
+    " WHEN 3 THEN " + " || '-' || ".join(reversed(_REMOVED)) + " ELSE " + " || '/' || ".join(_REMOVED) + " || ' 00:00' END")
 SPINE_SQL = f"""
 SELECT cast(p_partkey AS string) AS uid,
        p_name || ' ' || p_brand || ' ' ||
@@ -170,8 +175,7 @@ SELECT cast(p_partkey AS string) AS uid,
        'PC' || cast(p_partkey % 100 AS string) AS postcode,
        substr({SPINE_DATE}, 9, 2) || '/' || substr({SPINE_DATE}, 6, 2) || '/' || substr({SPINE_DATE}, 1, 4) AS registerdate,
        CASE WHEN p_partkey % 7 = 0 THEN NULL
-            ELSE substr({SPINE_DATE}, 9, 2) || '/' || substr({SPINE_DATE}, 6, 2) || '/' ||
-                 cast(cast(substr({SPINE_DATE}, 1, 4) AS int) + 12 AS string) END AS removeddate,
+            ELSE {REMOVED_TEXT} END AS removeddate,
        p_partkey AS k1
 FROM {{part}}
 LEFT JOIN {{orders}} ON o_orderkey = p_partkey
