@@ -96,3 +96,44 @@ def test_typo_in_a_single_word_is_found(spark):
     assert [r.match for r in rows][:2] == ["GREGGS", "GREGS LTD"] and len(rows) == 4
     plan = M.match_top_k(left, "NORMALIZED_SUPPLIER", right, "name", scorer="levenshtein")._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
+
+
+def numbered(rng, count):
+    """Names whose numbers of 5 to 9 digits differ by a few digits, swapped, missing or among letters."""
+    def name():
+        number = str(rng.randint(0, 300)).zfill(rng.choice([5, 6, 7, 9]))
+        for _ in range(rng.choice([0, 0, 1, 2])):
+            at = rng.randint(0, len(number))
+            number = number[:at] + rng.choice(["", "7", "Q", " "]) + number[at + rng.randint(0, 1):]
+        return rng.choice(["", "CUSTOMER ", "A"]) + number + rng.choice(["", "", " LTD", " HOLDINGS"])
+    return sorted({name() for _ in range(count)})
+
+
+@pytest.mark.parametrize("bucket, rungs", [(5000, E.RUNGS), (7, (0.9, 0.6, 0.4)), (3, ())])
+def test_names_with_numbers_equal_all_pairs(spark, monkeypatch, bucket, rungs):
+    monkeypatch.setattr(E, "ROWS_PER_BUCKET", bucket)
+    monkeypatch.setattr(E.best_pairs_by_edits, "__defaults__", (5, ("choice_ord",), rungs))
+    rng = random.Random(bucket)
+    left, right = numbered(rng, 80) + names(rng, 20), numbered(rng, 150) + names(rng, 20)
+    rng.shuffle(right)
+    L, R = frames(spark, left, right)
+    got = M.match_top_k(L, "NORMALIZED_SUPPLIER", R, "name", scorer="levenshtein")
+    assert {(r.NORMALIZED_SUPPLIER, r.rank): r.choice_ord for r in got.collect()} == all_pairs(left, right)
+
+
+def test_names_that_differ_by_digits_join_few_rows(spark, monkeypatch):
+    left = [f"CUSTOMER {i:09d}" for i in range(2000)]
+    right = [f"CUSTOMER {i:09d} {end}" for i in range(2000) for end in ("LTD", "HOLDINGS")]
+    joined, dealt = [], E.dealt_join
+
+    def counting(*args, **options):
+        out = dealt(*args[:5], F.lit(True), **options)
+        joined.append(out.count())
+        return out.where(args[5])
+
+    L, R = frames(spark, left, right)
+    seeds = M.best_pairs(L, "NORMALIZED_SUPPLIER", R, "name")
+    monkeypatch.setattr(E, "dealt_join", counting)
+    rows = E.best_pairs_by_edits(L, "NORMALIZED_SUPPLIER", R, "name", seeds).where("s = 'CUSTOMER 000001234'").collect()
+    assert max(rows, key=lambda r: r.sim).r == "CUSTOMER 000001234 LTD" and len(rows) == 5
+    assert sum(joined) < 300 * len(left)  # of 8,000,000 pairs
