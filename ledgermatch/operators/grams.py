@@ -8,9 +8,13 @@ or cut names.  The join is exact, by inverted lists with three filters:
 * **Prefix**: grams are ordered from rare to common.  Names of n and m grams
   share ``o = ceil(t / (1 + t) (n + m))`` at least, and m >= t n, so the rarest
   shared gram is among the first ``n - ceil(t n) + 1`` of each name; only those are listed.
-* **Position**: a pair that meets at places i and j shares
-  ``1 + min(n - i, m - j)`` grams at most, as earlier shared grams would have
-  met earlier.  It must reach ``o``.
+* **Pairs**: the list of a gram that many names hold is not joined.  Its names meet
+  by the two rarest grams that they share, which are among the first
+  ``n - ceil(t n) + 2`` of each; only names that may share a single gram
+  (``ceil(t n) < 2``) are listed under a common gram alone, too.
+* **Position**: a pair whose first shared gram is at places i and j shares
+  ``1 + min(n - i, m - j)`` grams at most; one whose second is there shares one more.
+  It must reach ``o``; where a pair meets by later grams it is dropped, as it met earlier.
 * **Count**: the grams both share are counted, and the similarity computed.
 
 A list of many names is dealt to buckets on both sides, so no gram is dropped
@@ -26,6 +30,8 @@ from .edit_distance import dealt_join
 
 GRAM = 3
 DEFAULT_MIN_SIMILARITY = 0.7
+#: Names that hold a gram of more names than this meet by two grams.
+HOT_NAMES = 200
 _EPS = 1e-9
 
 
@@ -36,15 +42,20 @@ def gram_set(name: Column) -> Column:
                                         lambda i: F.substring(padded, i, F.lit(GRAM))))
 
 
-def _listed(side: DataFrame, freq: DataFrame, t: float, size: str, place: str, grams: str) -> DataFrame:
-    """One row per name and gram of its prefix, with the name's grams and their number, and the gram's place from one."""
+def _listed(side: DataFrame, freq: DataFrame, t: float, size: str, place: str) -> DataFrame:
+    """One row per name and key (one rare gram, or two) of its prefix, with the number of its grams and of those before the key."""
     rest = [c for c in side.columns if c != "gram"]
     ordered = (side.join(freq, "gram").groupBy(*rest)
                .agg(F.array_sort(F.collect_list(F.struct("df", "gram"))).alias("ordered")))
-    ordered = ordered.withColumn(size, F.size("ordered"))
-    prefix = F.slice("ordered", 1, F.expr(f"cast({size} - ceil({t}D * {size} - {_EPS}D) + 1 as int)"))
-    listed = ordered.select(*rest, size, F.col("ordered.gram").alias(grams), F.posexplode(prefix).alias("at", "entry"))
-    return listed.select(*rest, size, grams, (F.col("at") + 1).alias(place), F.col("entry.gram").alias("gram"))
+    ordered = (ordered.withColumn(size, F.size("ordered")).withColumn("need", F.expr(f"cast(ceil({t}D * {size} - {_EPS}D) as int)"))
+               .withColumn("heads", F.expr(f"slice(ordered, 1, {size} - need + 2)")).drop("ordered"))
+    hot = f"x.df > {int(HOT_NAMES)}"
+    singles = f"""filter(transform(heads, (x, i) -> struct(x.gram AS gram, i AS {place}, i <= {size} - need AND (need < 2 OR NOT {hot}) AS used)),
+        k -> k.used)"""
+    pairs = f"""flatten(transform(heads, (x, i) -> transform(slice(heads, i + 2, if({hot}, size(heads), 0)),
+        (y, j) -> struct(concat(x.gram, y.gram) AS gram, i + j AS {place}, true AS used))))"""
+    listed = ordered.withColumn("key", F.explode(F.expr(f"concat({singles}, {pairs})")))
+    return listed.select(*rest, size, f"key.{place}", "key.gram")
 
 
 def candidate_pairs_by_grams(left: DataFrame, left_key: str, right: DataFrame, right_key: str,
@@ -62,9 +73,9 @@ def candidate_pairs_by_grams(left: DataFrame, left_key: str, right: DataFrame, r
     freq = le.select("gram").unionByName(re.select("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("df"))
     needed = F.ceil(F.lit(t / (1 + t)) * (F.col("n") + F.col("m")) - _EPS)
     close = ((F.least("n", "m") >= t * F.greatest("n", "m") - _EPS)
-             & (1 + F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= needed))
-    met = dealt_join(_listed(le, freq, t, "n", "i", "x"), _listed(re, freq, t, "m", "j", "y"), ["gram"], "s", "r", close)
-    counted = met.withColumn("inter", F.size(F.array_intersect("x", "y")))
+             & (F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= needed))
+    met = dealt_join(_listed(le, freq, t, "n", "i"), _listed(re, freq, t, "m", "j"), ["gram"], "s", "r", close)
+    counted = met.withColumn("inter", F.size(F.array_intersect(gram_set(F.col("s")), gram_set(F.col("r")))))
     similarity = F.col("inter") / (F.col("n") + F.col("m") - F.col("inter"))
     return (counted.withColumn("similarity", similarity).where(F.col("similarity") >= t - _EPS)
             .select("s", "r", *rx, "inter", "similarity").dropDuplicates(["s", "r"]))

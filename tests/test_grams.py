@@ -68,3 +68,32 @@ def test_plan_has_no_product_and_no_python(spark):
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "Python" not in plan
     with pytest.raises(ValueError):
         G.candidate_pairs_by_grams(left, "NORMALIZED_SUPPLIER", right, "name", 0)
+
+
+@pytest.mark.parametrize("t, hot", [(0.2, 1), (0.3, 3), (0.5, 1), (0.7, 1), (1.0, 1)])
+def test_names_of_common_grams_equal_all_pairs(spark, monkeypatch, t, hot):
+    monkeypatch.setattr(G, "HOT_NAMES", hot)
+    rng = random.Random(2)
+    names = sorted({"".join(rng.choices("AB", k=rng.randint(1, 7))) for _ in range(80)}
+                   | {f"CUSTOMER{rng.randint(0, 300):05d}" + rng.choice(["", " LTD"]) for _ in range(80)})
+    L, R = frames(spark, names[::2], names)
+    got = {(r.s, r.r): r.inter for r in G.candidate_pairs_by_grams(L, "NORMALIZED_SUPPLIER", R, "name", t).collect()}
+    grams = {n: gram_set(n) for n in names}
+    assert got == {(s, r): len(grams[s] & grams[r]) for s in names[::2] for r in names
+                   if len(grams[s] & grams[r]) >= (t - 1e-9) * len(grams[s] | grams[r])}
+
+
+def test_numbered_names_join_few_rows(spark, monkeypatch):
+    left = [f"CUSTOMER{i:09d}" for i in range(2000)]
+    right = [f"CUSTOMER{i:09d} {end}" for i in range(2000) for end in ("LTD", "HOLDINGS")]
+    L, R = frames(spark, left, right)
+    joined = []
+
+    def counting(*args, **options):
+        out = E.dealt_join(*args[:5], F.lit(True), **options)
+        joined.append(out.count())
+        return out.where(args[5])
+
+    monkeypatch.setattr(G, "dealt_join", counting)
+    kept = G.candidate_pairs_by_grams(L, "NORMALIZED_SUPPLIER", R, "name").count()
+    assert kept >= len(left) and joined[0] < 100 * len(left)
