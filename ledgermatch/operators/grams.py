@@ -42,6 +42,12 @@ def gram_set(name: Column) -> Column:
                                         lambda i: F.substring(padded, i, F.lit(GRAM))))
 
 
+def _cut_again(name: Column) -> Column:
+    """The 3-grams of ``gram_set``, with repeats; names of ASCII alone are cut by a pattern, which is compiled."""
+    padded = F.concat(F.lit("  "), name, F.lit(" "))
+    return F.when(F.octet_length(name) == F.length(name), F.regexp_extract_all(padded, F.lit("(?s)(?=(.{3}))"), F.lit(1))).otherwise(gram_set(name))
+
+
 def _listed(side: DataFrame, freq: DataFrame, t: float, size: str, place: str) -> DataFrame:
     """One row per name and key (one rare gram, or two) of its prefix, with the number of its grams and of those before the key."""
     rest = [c for c in side.columns if c != "gram"]
@@ -75,7 +81,8 @@ def candidate_pairs_by_grams(left: DataFrame, left_key: str, right: DataFrame, r
     close = ((F.least("n", "m") >= t * F.greatest("n", "m") - _EPS)
              & (F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) >= needed))
     met = dealt_join(_listed(le, freq, t, "n", "i"), _listed(re, freq, t, "m", "j"), ["gram"], "s", "r", close)
-    counted = met.withColumn("inter", F.size(F.array_intersect(gram_set(F.col("s")), gram_set(F.col("r")))))
+    met = met.select("s", "r", *rx, "n", "m").dropDuplicates(["s", "r"])  # a pair meets at several keys
+    counted = met.withColumn("inter", F.size(F.array_intersect(_cut_again(F.col("s")), _cut_again(F.col("r")))))
     similarity = F.col("inter") / (F.col("n") + F.col("m") - F.col("inter"))
     return (counted.withColumn("similarity", similarity).where(F.col("similarity") >= t - _EPS)
-            .select("s", "r", *rx, "inter", "similarity").dropDuplicates(["s", "r"]))
+            .select("s", "r", *rx, "inter", "similarity"))
