@@ -33,6 +33,19 @@ def test_mixed_dates_of_a_frame_equal_the_column(spark):
     assert [(r.d, r.x) for r in rows] == [(r.d, r.want) for r in rows] and sum(r.want is not None for r in rows) > 150
 
 
+def test_numbers_of_dates_are_split_without_a_pattern(spark):
+    df = spark.createDataFrame([("1/2.2020",), ("2020-1/2",), ("31.12-69",)], "d string")
+    out = D.with_mixed_date(df, "d", "x")
+    assert [str(r.x) for r in out.collect()] == ["2020-01-02", "2020-01-02", "2069-12-31"]
+    assert "split(" in (plan := out._jdf.queryExecution().optimizedPlan().toString()) and ", [-./], -1)" not in plan
+
+
+def test_ampersands_without_a_semicolon_stay(spark):
+    texts = {"Tom & Co": "Tom & Co", "A &amp B": "A &amp B", "A &amp; B": "A & B", "<b>A</b> & B": "A & B", ";&": ";&", "<i>&lt;": "<"}
+    rows = spark.createDataFrame([(x,) for x in texts], "s string").withColumn("t", T.strip_html(F.col("s"))).collect()
+    assert {r.s: r.t for r in rows} == texts
+
+
 def test_strip_and_org_columns_equal_the_plain_forms(spark):
     texts = ["\u3000 a\x85", "\xa0\u2009\u2009", "x\u200b", "\x1cB\x1f", "", None, " a b ", "A,B", "Acme Ltd, ACME LTD", "AB, CDE ,FGHI", "a,,b",
              "ACME,\xa0INC\u2028", ","]

@@ -1,6 +1,8 @@
 """CSV sources: odd headers, quotes, line breaks, labels, bad values; CSV export; restart of the pipeline."""
 
+import datetime
 import os
+import re
 import tempfile
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgermatch.operators import payments, registers
 from ledgermatch.plans import pipeline as P
-from ledgermatch.sources import feeds
+from ledgermatch.sources import feeds, fixtures
 
 from small import SMALL_SF
 
@@ -134,3 +136,33 @@ def test_run_over_empty_inputs(spark, folder):
     assert run.ran == P.STAGES and all(v == 0 for counts in run.counts.values() for v in counts.values())
     assert run.counts["payments_clean"]["multi_org"] == 0
     assert spark.read.parquet(run["suppliers"]).count() == 0
+
+
+def line_tables(spark, folder):
+    """The tables of two dozen line items, of which one comes twice and some have no part, below ``folder``."""
+    line = ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_extendedprice double, l_returnflag string, "
+            "l_linestatus string, l_shipdate timestamp_ntz")
+    rows = [(o, p, 1, n, 10.0 * o, "R", "F" if o % 2 else "O", datetime.datetime(1996, 9, 1 + o)) for o in range(14) for p, n in ((1, o % 7 + 1), (9, 1))]
+    tables = {"lineitem": (rows + rows[:1], line),
+              "part": ([(1, "hot bolt", "LARGE", "Brand#7"), (1, "hot bolt", "LARGE", "Brand#7"), (None, "x", "y", "z")], "p_partkey long, p_name string, p_type string, p_brand string"),
+              "supplier": ([(1, 2)], "s_suppkey long, s_nationkey int"), "nation": ([(2, 3, "PERU")], "n_nationkey int, n_regionkey int, n_name string"),
+              "region": ([(3, "AMERICA")], "r_regionkey int, r_name string"), "customer": ([(5, "Customer#5", 2)], "c_custkey long, c_name string, c_nationkey int"),
+              "orders": ([(1, 5, 3.0, datetime.datetime(1998, 2, 6))], "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp_ntz")}
+    for name, (values, schema) in tables.items():
+        spark.createDataFrame(values, schema).write.parquet(os.path.join(folder, f"{name}.parquet"))
+
+
+def test_both_feeds_of_line_items_come_from_one_pass(spark, folder):
+    line_tables(spark, folder)
+    one, apart = P.payments_union(spark, folder), payments.union_feeds(*P.feeds(spark, folder))
+    assert one.schema.simpleString() == apart.schema.simpleString()
+    rows = sorted(map(str, one.collect()))
+    assert rows == sorted(map(str, apart.collect())) and len(rows) > 50
+    plan = one._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_shipdate") > 0 and plan.count("Relation [l_orderkey") == 1
+
+
+def test_a_payment_makes_the_text_of_its_date_once(spark, folder):
+    line_tables(spark, folder)
+    plan = fixtures.fixture(spark, folder, "payments")._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"cast\(l_shipdate#\d+ as string\)", plan)) == 1
