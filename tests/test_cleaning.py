@@ -89,3 +89,27 @@ def test_feeds_run_without_methods_that_the_jvm_leaves_interpreted(spark):
 
     with_small_methods(spark)
     assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_dates_of_a_feed_need_no_lambda_no_title_case_and_no_calendar_arithmetic(spark):
+    texts = ["13/02/2020", "02/13/2020", "31/12/69", "00/12/2020", "12/00/2020", "5 ſep 2020", "5 Auguſt 2020", "JAN 05, 20", "5 Jan 0000", "0000-01-05",
+             "01/02/0000", "5-Jan -70", "5 Jan 020", "2020-13-01", "2020", "20200230", "2020-2-3", "2020.02/03"]
+    df = spark.createDataFrame([(x,) for x in texts], "d string")
+    out = D.with_mixed_date(df, "d", "x")
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan and "initcap" not in plan and "last_day" not in plan
+    assert {r.d: r.x and str(r.x) for r in out.select("d", F.col("x").cast("string")).collect()} == {
+        "13/02/2020": "2020-02-13", "02/13/2020": "2020-02-13", "31/12/69": "2069-12-31", "00/12/2020": None, "12/00/2020": None,
+        "5 ſep 2020": "2020-09-05", "5 Auguſt 2020": None, "JAN 05, 20": "2020-01-05", "5 Jan 0000": "0000-01-05", "0000-01-05": None,
+        "01/02/0000": None, "5-Jan -70": "1970-01-05", "5 Jan 020": None, "2020-13-01": None, "2020": "2020-01-01", "20200230": None,
+        "2020-2-3": "2020-02-03", "2020.02/03": "2020-02-03"}
+
+
+def test_rows_without_a_needed_value_are_not_cleaned(spark):
+    pay = union(spark, [("Acme", "2020", 1.0, "A", 1), (None, "2020", 1.0, "A", 2), ("Acme", None, 1.0, "A", 3), ("Acme", "2020", None, "A", 4),
+                        ("Acme", "2020", 1.0, None, 5), ("Acme", "2020", float("nan"), "A", 6)])
+    out = PM.clean(pay)
+    assert sorted(r.row_ord.k1 for r in out.collect()) == [1, 6]
+    plan = out._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    at = {x: next(i for i, line in enumerate(plan) if x in line) for x in ("isnotnull(amount", "__pay_date_shape")}
+    assert at["isnotnull(amount"] > at["__pay_date_shape"]
