@@ -82,3 +82,25 @@ def test_normalise_where_equals_the_frame(spark):
     df = normalise_frame(spark.createDataFrame([(n,) for n in names], "n string"), "n", "whole")
     rows = df.select("n", "whole", normalise_where("n", "length(n) <= 3").alias("short")).collect()
     assert [r.short for r in rows] == [r.whole if r.n is not None and len(r.n) <= 3 else None for r in rows]
+
+
+def test_long_rule_tables_run_only_on_names_that_hold_one_of_their_texts(spark):
+    import re
+
+    from ledgermatch.functions import normalise as N
+    from ledgermatch.functions import rules as R
+
+    tables = [t for t in (R.PUNCTUATION, R.SPELLING, R.ABBREVIATIONS, R.STOPWORDS, R.DOMAIN, R.TAIL) if len(t) >= N.MANY]
+    assert len(tables) >= 4
+    for table in tables:
+        finds = [find for find, _ in table]
+        pattern = re.compile(N.any_of(finds))
+        for text in ["", "ACME LTD", *finds, *[f[1:] for f in finds], *[f[:-1] for f in finds], *[f"x{f}y" for f in finds]]:
+            assert (pattern.search(text) is not None) == any(f in text for f in finds), (text, finds)
+        sql = N.fold_sql("x", table, N.SPARK)
+        assert sql.startswith("(CASE WHEN (x RLIKE ") and "RLIKE" not in N.fold_sql("x", table, N.DUCKDB)
+        df = spark.createDataFrame([(f"x{f}y",) for f in finds] + [(None,), ("",), ("A",)], "x string")
+        plain = "x"
+        for a, b in table:
+            plain = f"replace({plain}, {N.SPARK.lit(a)}, {N.SPARK.lit(b)})"
+        assert df.where(f"NOT ({sql} <=> {plain})").count() == 0
