@@ -137,3 +137,42 @@ def test_names_that_differ_by_digits_join_few_rows(spark, monkeypatch):
     rows = E.best_pairs_by_edits(L, "NORMALIZED_SUPPLIER", R, "name", seeds).where("s = 'CUSTOMER 000001234'").collect()
     assert max(rows, key=lambda r: r.sim).r == "CUSTOMER 000001234 LTD" and len(rows) == 5
     assert sum(joined) < 300 * len(left)  # of 8,000,000 pairs
+
+
+def counted(monkeypatch):
+    joined, dealt = [], E.dealt_join
+
+    def counting(*args, **options):
+        out = dealt(*args[:5], F.lit(True), **options)
+        joined.append(out.count())
+        return out.where(args[5])
+
+    monkeypatch.setattr(E, "dealt_join", counting)
+    return joined
+
+
+def test_names_without_numbers_meet_groups_of_numbered_names(spark, monkeypatch):
+    """Names that differ only in digits which a supplier lacks are one group to it; its first names count."""
+    left = ["OLD GEAR PROMO BRAND4 LTD", "NEW ROD SMALL BRAND12", "TOM MERTON", "0 HOLDINGS", "CUSTOMER 7"]
+    right = [f"CUSTOMER{i:09d} {end}" for i in range(1500) for end in ("LTD", "HOLDINGS")] + ["OLD GEAR", "NEW RODS"]
+    random.Random(4).shuffle(right)
+    L, R = frames(spark, left, right)
+    joined = counted(monkeypatch)
+    got = M.match_top_k(L, "NORMALIZED_SUPPLIER", R, "name", scorer="levenshtein")
+    assert {(r.NORMALIZED_SUPPLIER, r.rank): r.choice_ord for r in got.collect()} == all_pairs(left, right)
+    joined_by_edits = sum(joined[2:])  # behind the two joins of the seeds
+    assert joined_by_edits < 200 * len(left)  # of 15,000 pairs
+
+
+def test_names_of_common_words_meet_once(spark, monkeypatch):
+    """Segments that most names hold would bring each pair several times; its names meet as a class."""
+    words = [("OLD", "NEW", "RED", "HOT"), ("GEAR", "BOLT", "RING"), ("PROMO", "SMALL"), ("BRAND1", "BRAND2", "BRAND3", "BRAND4")]
+    right = [" ".join((a, b, c, d)) for a in words[0] for b in words[1] for c in words[2] for d in words[3]]
+    left = [f"{name} LTD" for name in right]
+    L, R = frames(spark, left, [f"{name} PLC" for name in right])
+    seeds = M.best_pairs(L, "NORMALIZED_SUPPLIER", R, "name")
+    joined = counted(monkeypatch)
+    rows = E.best_pairs_by_edits(L, "NORMALIZED_SUPPLIER", R, "name", seeds).collect()
+    want = all_pairs(left, [f"{name} PLC" for name in right])
+    assert {(r.s, r.choice_ord) for r in rows} == {(s, i) for (s, _), i in want.items()}
+    assert sum(joined) < 2.5 * len(left) * len(right)
