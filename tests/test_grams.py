@@ -97,3 +97,23 @@ def test_numbered_names_join_few_rows(spark, monkeypatch):
     monkeypatch.setattr(G, "dealt_join", counting)
     kept = G.candidate_pairs_by_grams(L, "NORMALIZED_SUPPLIER", R, "name").count()
     assert kept >= len(left) and joined[0] < 100 * len(left)
+
+
+def test_names_without_a_partner_of_their_size_are_not_listed(spark, monkeypatch):
+    """Grams that no name of a fitting size holds cannot be shared; pairs that only share a key do not leave the join."""
+    left = [f"CUSTOMER{i:09d}" for i in range(3000)]
+    right = [f"CUSTOMER{i:09d} {end}" for i in range(3000) for end in ("LTD", "HOLDINGS")]
+    L, R = frames(spark, [*left, "COLD RING PROMO BRAND12 COMPANY"], right)
+    listed, met = [], []
+
+    def counting(*args, **options):
+        out = E.dealt_join(*args, **options)
+        listed.extend(side.count() for side in args[:2])
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(G, "dealt_join", counting)
+    got = {(r.s, r.r) for r in G.candidate_pairs_by_grams(L, "NORMALIZED_SUPPLIER", R, "name").collect()}
+    assert {(s, f"{s} LTD") for s in left} <= got and len(got) < 2 * len(left)
+    assert listed[0] < 12 * len(left) and listed[1] < 30 * len(left)  # no list entry of the 3,000 long names
+    assert met[0] < 12 * len(left)
